@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from catalog.inputs import AS_OF_DATE, CUTOFF, CUTOFFS, EARLY_CUTOFF, view, with_views
+from catalog.registry import registry, rounded as _rounded
 from propensity.functions.scalars import click_through_rate, days_between
 from propensity.operators import clicks as click_ops
 from propensity.operators import conversions as orders_ops
@@ -14,23 +15,7 @@ from propensity.plans import rfm
 from propensity.plans.user_row import in_sample, user_row, user_rows
 from propensity.sources.tables import time_range, user_pull
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(sql: str | None = None):
-    """Register a query under its function name, with the SQL that must give the same rows."""
-
-    def register(function):
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLES[function.__name__] = sql
-        return function
-
-    return register
-
-
-def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    return df.withColumns({name: F.round(F.col(name), digits) for name in names})
+QUERIES, ORACLES, query = registry()
 
 
 # ---------------------------------------------------------------- scans
