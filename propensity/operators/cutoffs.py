@@ -1,24 +1,42 @@
-"""Columns of an event table relative to a cut-off time."""
+"""Columns of an event table relative to a cut-off time.
+
+Windows are measured in whole seconds, each side rounded down first. ``age < n`` then means that
+the event is not before a fixed instant, so every window test is one comparison of the event column
+with a constant: cheap per row, and usable by the scan.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
-from propensity.functions.scalars import DAY, seconds_between
+from propensity.functions.scalars import DAY
 
 #: Look-back windows in days, longest first. The longest is also the look-ahead.
 HORIZONS = (30, 15, 5)
 
 
+def _moved(at: Column, seconds: int, kind: T.DataType) -> Column:
+    """``at`` without its fraction of a second, moved by ``seconds``."""
+    step = F.make_dt_interval(secs=F.lit(seconds))
+    return (F.date_trunc("second", at) + step).cast(kind)
+
+
+def _offsets(horizons: Sequence[int]) -> list[int]:
+    spans = [days * DAY for days in horizons]
+    return sorted({o for span in spans for o in (-span, 1 - span, span)})
+
+
 @dataclass(frozen=True)
 class Cutoff:
-    """One event time column seen from the cut-off ``at``."""
+    """One event time column seen from the cut-off ``at``; ``edges`` are instants around it."""
 
     ts: Column
     at: Column
+    edges: Mapping[int, Column]
 
     @property
     def before(self) -> Column:
@@ -33,26 +51,50 @@ class Cutoff:
         return self.ts <= self.at
 
     def younger_than(self, days: int) -> Column:
-        return seconds_between(self.ts, self.at) < days * DAY
+        """Less than ``days`` before the cut-off."""
+        return self.ts >= self.edges[1 - days * DAY]
 
     def at_most(self, days: int) -> Column:
-        return seconds_between(self.ts, self.at) <= days * DAY
+        """No more than ``days`` before the cut-off."""
+        return self.ts >= self.edges[-days * DAY]
 
     def sooner_than(self, days: int) -> Column:
-        return seconds_between(self.at, self.ts) < days * DAY
+        """Less than ``days`` after the cut-off."""
+        return self.ts < self.edges[days * DAY]
 
 
-def cutoff(df: DataFrame, time_point, ts: str = "event_dt_utc") -> Cutoff:
+def _spans(horizons: Sequence[int]) -> list[int]:
+    return sorted({*horizons, *HORIZONS})
+
+
+def cutoff(
+    df: DataFrame, time_point, ts: str = "event_dt_utc", horizons: Sequence[int] = HORIZONS
+) -> Cutoff:
     """``time_point`` takes the type of the event column, so comparisons leave that column bare."""
-    return Cutoff(F.col(ts), F.lit(time_point).cast(df.schema[ts].dataType))
+    kind = df.schema[ts].dataType
+    at = F.lit(time_point).cast(kind)
+    return Cutoff(F.col(ts), at, {o: _moved(at, o, kind) for o in _offsets(_spans(horizons))})
 
 
-def snapshots(df: DataFrame, time_points: Sequence, ts: str = "event_dt_utc") -> DataFrame:
-    """Every row once per cut-off, tagged ``time_point``.
+def snapshots(
+    df: DataFrame,
+    time_points: Sequence,
+    ts: str = "event_dt_utc",
+    horizons: Sequence[int] = HORIZONS,
+) -> tuple[DataFrame, Cutoff]:
+    """Every row once per cut-off, tagged ``time_point``, and the cut-off columns to use on it.
 
-    The list is part of the plan: rows multiply inside the scan's stage and are reduced by the
-    map-side aggregation of the same stage, so nothing extra is shuffled.
+    The cut-offs and their edges are constants of the plan. Rows multiply inside the scan's stage
+    and are reduced by the map-side aggregation of the same stage.
     """
     kind = df.schema[ts].dataType
-    points = F.array(*[F.lit(point).cast(kind) for point in time_points])
-    return df.withColumn("time_point", F.explode(points))
+    offsets = _offsets(_spans(horizons))
+    names = {offset: f"edge_{i}" for i, offset in enumerate(offsets)}
+
+    def entry(time_point) -> Column:
+        at = F.lit(time_point).cast(kind)
+        edges = [_moved(at, o, kind).alias(names[o]) for o in offsets]
+        return F.struct(at.alias("time_point"), *edges)
+
+    tagged = df.select("*", F.inline(F.array(*[entry(point) for point in time_points])))
+    return tagged, Cutoff(F.col(ts), F.col("time_point"), {o: F.col(n) for o, n in names.items()})

@@ -21,18 +21,31 @@ def of_type(product_type: str) -> Column:
     return F.col("ad_product_type") == product_type
 
 
-def traffic_summary(
+def campaigns(rows: Column | None = None) -> list[Column]:
+    """Distinct campaigns."""
+    return [F.count_distinct(only(rows, F.col("campaign_id_string"))).alias("search_campaign_cnt")]
+
+
+def window_totals(
     cut: Cutoff, rows: Column | None = None, horizons: Sequence[int] = HORIZONS
 ) -> list[Column]:
+    """Impressions and clicks per look-back window."""
+    return [
+        F.sum(only(rows, F.when(cut.younger_than(days), F.col(name)).otherwise(0))).alias(
+            f"total_{name}_{days}d"
+        )
+        for days in horizons
+        for name in ("impressions", "clicks")
+    ]
+
+
+def last_event(cut: Cutoff, rows: Column | None = None) -> list[Column]:
+    return [F.max(only(rows, cut.ts)).alias("last_event_dt_before")]
+
+
+def traffic_summary(cut: Cutoff, horizons: Sequence[int] = HORIZONS) -> list[Column]:
     """Distinct campaigns, impressions and clicks per look-back window, and the last event."""
-    columns = [F.count_distinct(only(rows, F.col("campaign_id_string"))).alias("search_campaign_cnt")]
-    for days in horizons:
-        inside = cut.younger_than(days)
-        for name, value in (("impressions", F.col("impressions")), ("clicks", F.col("clicks"))):
-            counted = F.when(inside, value).otherwise(0)
-            columns.append(F.sum(only(rows, counted)).alias(f"total_{name}_{days}d"))
-    columns.append(F.max(only(rows, cut.ts)).alias("last_event_dt_before"))
-    return columns
+    return [*campaigns(), *window_totals(cut, None, horizons), *last_event(cut)]
 
 
 def product_totals(cut: Cutoff, tag: str, rows: Column | None = None, days: int = 30) -> list[Column]:
@@ -51,12 +64,20 @@ def search_terms(rows: Column | None = None) -> list[Column]:
     return [F.count(only(rows, F.col("customer_search_term"))).alias("search_term_count")]
 
 
-def ad_days(cut: Cutoff, rows: Column | None = None) -> list[Column]:
+def ad_days(cut: Cutoff) -> list[Column]:
     """Distinct days with an impression, and with a click."""
     day = F.to_date(cut.ts)
     return [
-        F.count_distinct(only(rows, F.when(value > 0, day))).alias(f"{name}_day_count")
-        for name, value in (("impression", F.col("impressions")), ("click", F.col("clicks")))
+        F.count_distinct(F.when(F.col(f"{name}s") > 0, day)).alias(f"{name}_day_count")
+        for name in ("impression", "click")
+    ]
+
+
+def ad_day_flags(rows: Column | None = None) -> list[Column]:
+    """For a frame grouped by day: 1 on a day with an impression, or a click, else NULL."""
+    return [
+        F.max(only(rows, F.when(F.col(f"{name}s") > 0, 1))).alias(f"{name}_day_count")
+        for name in ("impression", "click")
     ]
 
 

@@ -1,8 +1,10 @@
 """The point-in-time feature row: one row per user around a cut-off.
 
-All traffic blocks share one ``groupBy`` and all conversion blocks another, so each table is
-scanned once for them; a narrow second scan of traffic reads the clicks for the click gap. The
-three results have one row per user and meet on the partitioning their aggregation left.
+Traffic is reduced in two steps, by user and day and then by user, so that the blocks share one
+scan, days are counted without a distinct aggregate, and a user with a large share of all rows is
+spread over days before meeting in one group. Distinct campaigns take the same way by user and
+campaign and join the second step as extra rows. Clicks and orders give one row per user each and
+meet the rest on the partitioning their own aggregation left, without another shuffle.
 """
 
 from __future__ import annotations
@@ -19,18 +21,41 @@ from propensity.sources.tables import CONVERSIONS, TRAFFIC, conform
 TARGET = ("total_conversions_after_30d", "total_revenue_after_30d", "total_quantity_after_30d")
 
 
-def _traffic_blocks(cut: Cutoff, horizons: Sequence[int], as_of: bool) -> list[Column]:
+def _traffic_rows(traffic: DataFrame, cut: Cutoff, key: Sequence[str], horizons: Sequence[int], as_of: bool) -> DataFrame:
+    """All traffic blocks, one row per user with a sponsored-products event before the cut-off."""
     products = ads.of_type(ads.PRODUCTS) & cut.before
     brands = ads.of_type(ads.BRANDS) & cut.before
-    return [
-        *ads.traffic_summary(cut, products, horizons),
-        *ads.search_terms(cut.up_to if as_of else None),
-        *ads.product_totals(cut, "sp", products),
-        *ads.product_totals(cut, "sb", brands),
-        *ads.ad_days(cut, cut.up_to),
-        *ads.last_impression(cut, cut.up_to),
-        *ads.last_click(cut, cut.up_to),
-    ]
+    per_day = (
+        (traffic.where(cut.up_to) if as_of else traffic)
+        .groupBy(*key, F.to_date(cut.ts).alias("day"))
+        .agg(
+            *ads.window_totals(cut, products, horizons),
+            *ads.last_event(cut, products),
+            *ads.search_terms(),
+            *ads.product_totals(cut, "sp", products),
+            *ads.product_totals(cut, "sb", brands),
+            *ads.ad_day_flags(cut.up_to),
+            *ads.last_impression(cut, cut.up_to),
+            *ads.last_click(cut, cut.up_to),
+        )
+        .drop("day")
+    )
+    per_campaign = (
+        traffic.where(products & F.col("campaign_id_string").isNotNull())
+        .select(*key, "campaign_id_string")
+        .distinct()
+        .select(*key, F.lit(1).alias("search_campaign_cnt"))
+    )
+    parts = per_day.unionByName(per_campaign, allowMissingColumns=True)
+    counts = ("search_campaign_cnt", "impression_day_count", "click_day_count", "search_term_count")
+
+    def merged(name: str) -> Column:
+        if name in counts:
+            return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+        return (F.max(name) if name.endswith(("_dt", "_dt_before")) else F.sum(name)).alias(name)
+
+    per_user = parts.groupBy(*key).agg(*[merged(n) for n in parts.columns if n not in key])
+    return per_user.where(F.col("last_event_dt_before").isNotNull())
 
 
 def _conversion_blocks(cut: Cutoff, horizons: Sequence[int]) -> list[Column]:
@@ -96,12 +121,7 @@ def _assemble(
     horizons: Sequence[int],
     as_of: bool,
 ) -> DataFrame:
-    per_user = (
-        (traffic.where(cut.up_to) if as_of else traffic)
-        .groupBy(*key)
-        .agg(*_traffic_blocks(cut, horizons, as_of))
-        .where(F.col("last_event_dt_before").isNotNull())
-    )
+    per_user = _traffic_rows(traffic, cut, key, horizons, as_of)
     gaps = clicks.click_interval(traffic.where((F.col("clicks") > 0) & cut.up_to), key)
     bought = orders.where(conversions.is_order()).groupBy(*key).agg(*_conversion_blocks(cut, horizons))
     joined = per_user.join(bought, list(key), "left").join(gaps, list(key), "left")
@@ -127,7 +147,7 @@ def user_row(
     if sample_percent is not None:
         chosen = in_sample(F.col("user_id"), sample_percent, seed)
         traffic, orders = traffic.where(chosen), orders.where(chosen)
-    cut = cutoff(traffic, time_point)
+    cut = cutoff(traffic, time_point, horizons=horizons)
     return _assemble(traffic, orders, cut, ("user_id",), horizons, as_of)
 
 
@@ -139,9 +159,8 @@ def user_rows(
     as_of: bool = False,
 ) -> DataFrame:
     """Feature rows at several cut-offs in one job, keyed by ``time_point`` and ``user_id``."""
-    traffic = snapshots(conform(traffic, TRAFFIC), time_points)
-    orders = snapshots(conform(orders, CONVERSIONS), time_points)
-    cut = Cutoff(F.col("event_dt_utc"), F.col("time_point"))
+    traffic, cut = snapshots(conform(traffic, TRAFFIC), time_points, horizons=horizons)
+    orders, _ = snapshots(conform(orders, CONVERSIONS), time_points, horizons=horizons)
     return _assemble(traffic, orders, cut, ("time_point", "user_id"), horizons, as_of)
 
 
