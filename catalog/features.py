@@ -88,9 +88,14 @@ def _age(at: str) -> str:
     return f"date_diff('second', event_dt_utc, TIMESTAMP '{at}')"
 
 
+def _sum_in(value: str, inside: str) -> str:
+    """Zero outside the window; NULL only where every value inside is."""
+    return f"sum(CASE WHEN {inside} THEN {value} ELSE 0 END)"
+
+
 def _windowed(value: str, at: str, days: int, op: str, name: str) -> str:
     inside = f"{_age(at)} {op} {days * 86400}"
-    return f"CAST(coalesce(sum({value}) FILTER ({inside}), 0) AS BIGINT) AS {name}"
+    return f"CAST({_sum_in(value, inside)} AS BIGINT) AS {name}"
 
 
 def _traffic_summary_sql(at: str) -> str:
@@ -109,9 +114,9 @@ def _traffic_summary_sql(at: str) -> str:
 def _target_sql(at: str) -> str:
     inside = f"date_diff('second', TIMESTAMP '{at}', event_dt_utc) < 2592000"
     return f"""SELECT user_id,
-      CAST(coalesce(sum(conversions) FILTER ({inside}), 0) AS BIGINT) AS total_conversions_after_30d,
-      CAST(coalesce(sum(total_product_sales) FILTER ({inside}), 0) AS DOUBLE) AS total_revenue_after_30d,
-      CAST(sum(CASE WHEN {inside} THEN total_units_sold ELSE 0 END) AS BIGINT) AS total_quantity_after_30d
+      CAST({_sum_in('conversions', inside)} AS BIGINT) AS total_conversions_after_30d,
+      CAST({_sum_in('total_product_sales', inside)} AS DOUBLE) AS total_revenue_after_30d,
+      CAST({_sum_in('total_units_sold', inside)} AS BIGINT) AS total_quantity_after_30d
       FROM fx_conversions
       WHERE event_subtype = 'order' AND event_dt_utc > TIMESTAMP '{at}'
       GROUP BY user_id"""
@@ -122,12 +127,9 @@ def _history_sql(at: str) -> str:
     for days in (30, 15, 5):
         inside = f"{_age(at)} < {days * 86400}"
         parts += [
-            f"CAST(coalesce(sum(conversions) FILTER ({inside}), 0) AS BIGINT)"
-            f" AS total_conversions_before_{days}d",
-            f"CAST(coalesce(sum(total_product_sales) FILTER ({inside}), 0) AS DOUBLE)"
-            f" AS total_revenue_before_{days}d",
-            f"CAST(sum(CASE WHEN {inside} THEN total_units_sold ELSE 0 END) AS BIGINT)"
-            f" AS total_quantity_before_{days}d",
+            f"CAST({_sum_in('conversions', inside)} AS BIGINT) AS total_conversions_before_{days}d",
+            f"CAST({_sum_in('total_product_sales', inside)} AS DOUBLE) AS total_revenue_before_{days}d",
+            f"CAST({_sum_in('total_units_sold', inside)} AS BIGINT) AS total_quantity_before_{days}d",
         ]
     columns = ",\n".join(parts)
     return f"""SELECT user_id, {columns} FROM fx_conversions
