@@ -7,8 +7,9 @@ with a constant: cheap per row, and usable by the scan.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
@@ -25,18 +26,21 @@ def _moved(at: Column, seconds: int, kind: T.DataType) -> Column:
     return (F.date_trunc("second", at) + step).cast(kind)
 
 
-def _offsets(horizons: Sequence[int]) -> list[int]:
+def _offsets(horizons: Iterable[int]) -> list[int]:
     spans = [days * DAY for days in horizons]
     return sorted({o for span in spans for o in (-span, 1 - span, span)})
 
 
 @dataclass(frozen=True)
 class Cutoff:
-    """One event time column seen from the cut-off ``at``; ``edges`` are instants around it."""
+    """One event time column seen from the cut-off ``at``.
+
+    ``edge`` gives the instant a number of whole seconds from the cut-off.
+    """
 
     ts: Column
     at: Column
-    edges: Mapping[int, Column]
+    edge: Callable[[int], Column]
 
     @property
     def before(self) -> Column:
@@ -52,28 +56,22 @@ class Cutoff:
 
     def younger_than(self, days: int) -> Column:
         """Less than ``days`` before the cut-off."""
-        return self.ts >= self.edges[1 - days * DAY]
+        return self.ts >= self.edge(1 - days * DAY)
 
     def at_most(self, days: int) -> Column:
         """No more than ``days`` before the cut-off."""
-        return self.ts >= self.edges[-days * DAY]
+        return self.ts >= self.edge(-days * DAY)
 
     def sooner_than(self, days: int) -> Column:
         """Less than ``days`` after the cut-off."""
-        return self.ts < self.edges[days * DAY]
-
-
-def _spans(horizons: Sequence[int]) -> list[int]:
-    return sorted({*horizons, *HORIZONS})
+        return self.ts < self.edge(days * DAY)
 
 
-def cutoff(
-    df: DataFrame, time_point, ts: str = "event_dt_utc", horizons: Sequence[int] = HORIZONS
-) -> Cutoff:
+def cutoff(df: DataFrame, time_point, ts: str = "event_dt_utc") -> Cutoff:
     """``time_point`` takes the type of the event column, so comparisons leave that column bare."""
     kind = df.schema[ts].dataType
     at = F.lit(time_point).cast(kind)
-    return Cutoff(F.col(ts), at, {o: _moved(at, o, kind) for o in _offsets(_spans(horizons))})
+    return Cutoff(F.col(ts), at, cache(lambda offset: _moved(at, offset, kind)))
 
 
 def snapshots(
@@ -88,7 +86,7 @@ def snapshots(
     and are reduced by the map-side aggregation of the same stage.
     """
     kind = df.schema[ts].dataType
-    offsets = _offsets(_spans(horizons))
+    offsets = _offsets({*horizons, *HORIZONS})
     names = {offset: f"edge_{i}" for i, offset in enumerate(offsets)}
 
     def entry(time_point) -> Column:
@@ -97,4 +95,4 @@ def snapshots(
         return F.struct(at.alias("time_point"), *edges)
 
     tagged = df.select("*", F.inline(F.array(*[entry(point) for point in time_points])))
-    return tagged, Cutoff(F.col(ts), F.col("time_point"), {o: F.col(n) for o, n in names.items()})
+    return tagged, Cutoff(F.col(ts), F.col("time_point"), lambda offset: F.col(names[offset]))

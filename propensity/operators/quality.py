@@ -94,24 +94,27 @@ def label_correlation(df: DataFrame, label: str) -> DataFrame:
     NULL where it is undefined: a constant column or label, fewer than two pairs, or infinities.
     """
     _require(df, label)
-    names = set(numeric_columns(df, excluded=[label]))
-    raw = F.col(label).cast("double")
-    y = F.when(~F.isnan(raw), raw)
+    names = numeric_columns(df, excluded=[label])
+
+    def number(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return F.when(~F.isnan(value), value).alias(name)
+
+    y = F.col(label)
+    known = df.select(number(label), *map(number, names)).where(y.isNotNull())
 
     def correlation(name: str) -> Column | None:
-        if name not in names:
+        if name == label:
             return None
-        value = F.col(name).cast("double")
-        x = F.when(~F.isnan(value) & y.isNotNull(), value)
-        finite = non_finite_to_null(x)
-        paired = F.when(finite.isNotNull(), y)
-        varies = (F.min(finite) < F.max(finite)) & (F.min(paired) < F.max(paired))
-        spread = F.when(varies, F.stddev_pop(finite) * F.stddev_pop(paired))
-        strength = F.abs(F.try_divide(F.covar_pop(finite, paired), spread))
-        infinite = F.count_if(x.isNotNull() & finite.isNull()) > 0
-        return F.when(~infinite, F.when(strength > 1, F.lit(1.0)).otherwise(strength))
-
-    return column_report(df, correlation=correlation).orderBy(
+        x = F.col(name)
+        paired = F.when(x.isNotNull(), y)
+        varies = (F.min(x) < F.max(x)) & (F.min(paired) < F.max(paired))
+        finite = F.max(F.abs(x)) < float("inf")
+        spread = F.when(varies & finite, F.stddev_pop(x) * F.stddev_pop(paired))
+        strength = F.abs(F.try_divide(F.covar_pop(x, y), spread))
+        return F.when(strength > 1, F.lit(1.0)).otherwise(strength)
+
+    return column_report(known, correlation=correlation).orderBy(
         F.desc_nulls_last("correlation"), "column_name"
     )
 
