@@ -56,7 +56,12 @@ def blank_to_null(text: Column) -> Column:
     return F.when(~text.rlike(r"^\s*$"), text)
 
 
-def hash_number(value: Column, seed: int, hex_digits: int = 15) -> Column:
-    """A seeded md5 prefix as a non-negative number: the same in every engine and every run."""
+def hash_text(value: Column, seed: int, hex_digits: int) -> Column:
+    """A seeded md5 prefix in hexadecimal: the same in every engine, run and partitioning."""
     digest = F.md5(F.concat_ws("-", value.cast("string"), F.lit(str(seed))))
-    return F.conv(F.substring(digest, 1, hex_digits), 16, 10).cast("long")
+    return F.substring(digest, 1, hex_digits)
+
+
+def hash_number(value: Column, seed: int, hex_digits: int = 15) -> Column:
+    """The same prefix as a non-negative number."""
+    return F.conv(hash_text(value, seed, hex_digits), 16, 10).cast("long")

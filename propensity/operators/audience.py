@@ -7,7 +7,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, functions as F
 
-from propensity.operators.ranking import at_or_before, hash_cuts, values_at_ranks
+from propensity.operators.ranking import at_or_before, hash_cuts, order_hash, values_at_ranks
 
 
 def ranked(scored: DataFrame, key: str = "user_id") -> DataFrame:
@@ -46,5 +46,6 @@ def top_percent(scored: DataFrame, percent: float = 15, key: str = "user_id", se
     if room == sides.tied:
         return scored.where(probability >= cut)
     last = hash_cuts(known.where(probability == cut), F.lit(0), key, {0: [room]}, seed)[0, room]
-    chosen_tie = (probability == cut) & at_or_before(F.col(key), last, seed)
+    hashed = order_hash(F.col(key), seed)
+    chosen_tie = (probability == cut) & at_or_before(hashed, F.col(key), last)
     return scored.where((probability > cut) | chosen_tie)

@@ -22,6 +22,7 @@ from propensity.operators.ranking import (
 )
 
 MAX_CLASSES = 100
+_HASH = "order_hash"
 BROADCAST_ROWS = 10_000
 
 
@@ -40,14 +41,19 @@ def _by_class(label: str, values: Mapping[object, Column], otherwise: Column) ->
     return result
 
 
+def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """The order hash as a column, so that it is computed once however often it is compared."""
+    return df.withColumn(_HASH, order_hash(F.col(key), seed))
+
+
 def stratified_split(
     df: DataFrame, label: str, key: str = "user_id", test_size: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Add ``is_test``: exactly the rounded share of every class, chosen by hash order."""
     sizes = {c: int(n * test_size + 0.5) for c, n in class_counts(df, label).items()}
     cuts = hash_cuts(df, F.col(label), key, {c: [n] for c, n in sizes.items()}, seed)
-    tests = {c: at_or_before(F.col(key), cuts[c, n], seed) for c, n in sizes.items() if n > 0}
-    return df.withColumn("is_test", _by_class(label, tests, F.lit(False)))
+    tests = {c: at_or_before(F.col(_HASH), F.col(key), cuts[c, n]) for c, n in sizes.items() if n > 0}
+    return _hashed(df, key, seed).withColumn("is_test", _by_class(label, tests, F.lit(False))).drop(_HASH)
 
 
 def hash_split(df: DataFrame, key: str = "user_id", test_size: float = 0.2, seed: int = 42) -> DataFrame:
@@ -68,11 +74,12 @@ def stratified_folds(
     numbers = {}
     for c, ranks in ends.items():
         past = [
-            F.lit(1) if rank == 0 else (~at_or_before(F.col(key), cuts[c, rank], seed)).cast("int")
+            F.lit(1) if rank == 0 else (~at_or_before(F.col(_HASH), F.col(key), cuts[c, rank])).cast("int")
             for rank in ranks
         ]
         numbers[c] = reduce(lambda a, b: a + b, past)
-    return df.withColumn("fold", _by_class(label, numbers, F.lit(None).cast("int")))
+    fold = _by_class(label, numbers, F.lit(None).cast("int"))
+    return _hashed(df, key, seed).withColumn("fold", fold).drop(_HASH)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -92,15 +99,13 @@ def _numbered(df: DataFrame, key: str, seed: int) -> DataFrame:
     offsets = ranges_before(df, F.lit(0), F.col(key), seed).select(
         "hash_range", (F.col("upto") - F.col("count")).alias("offset")
     )
-    hashed = df.withColumn("hash", order_hash(F.col(key), seed)).withColumn(
-        "hash_range", hash_range(F.col("hash"))
-    )
-    in_range = Window.partitionBy("hash_range").orderBy("hash", key)
+    hashed = _hashed(df, key, seed).withColumn("hash_range", hash_range(F.col(_HASH)))
+    in_range = Window.partitionBy("hash_range").orderBy(_HASH, key)
     return (
         hashed.withColumn("place", F.row_number().over(in_range) - 1)
         .join(F.broadcast(offsets), "hash_range")
         .withColumn("draw", F.col("offset") + F.col("place"))
-        .drop("hash", "hash_range", "offset", "place")
+        .drop(_HASH, "hash_range", "offset", "place")
     )
 
 

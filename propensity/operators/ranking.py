@@ -11,12 +11,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from propensity.functions.scalars import hash_number
+from propensity.functions.scalars import hash_text
 
 _RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
-#: A 60-bit hash is cut into 65,536 ranges for counting.
-_HASH_DIGITS, _RANGE_SHIFT = 15, 44
+#: Rows are ordered by 15 hexadecimal digits and counted by the first 4: 65,536 ranges.
+_HASH_DIGITS, _RANGE_DIGITS = 15, 4
 
 
 # ------------------------------------------------------------ by value
@@ -32,19 +32,19 @@ def values_at_ranks(
     widened and tried again. Values that many rows share collapse map-side.
     """
     found: dict[tuple[str, int], float] = {}
-    pending = [(c, tuple(g)) for c, ranks in wanted.items() for g in _neighbours(ranks)]
+    pending = {c: [tuple(group) for group in _neighbours(ranks)] for c, ranks in wanted.items()}
     margin = 4 / accuracy
     while pending:
-        brackets = _approximate(df, pending, sizes, margin, accuracy)
+        brackets = _brackets(df, pending, sizes, margin, accuracy)
         counts = df.agg(
             *[F.count_if(F.col(c) < low).alias(f"below{i}") for i, (c, _, low, _) in enumerate(brackets)],
             *[F.count_if(F.col(c) <= top).alias(f"upto{i}") for i, (c, _, _, top) in enumerate(brackets)],
         ).first()
-        pending, inside = [], []
+        pending, inside = {}, []
         for i, (c, ranks, low, top) in enumerate(brackets):
             below, upto = counts[f"below{i}"], counts[f"upto{i}"]
             if not below < ranks[0] <= ranks[-1] <= upto:
-                pending.append((c, ranks))
+                pending.setdefault(c, []).append(ranks)
             elif low == top:
                 found.update({(c, rank): low for rank in ranks})
             else:
@@ -65,14 +65,30 @@ def _neighbours(ranks: Sequence[int]) -> list[list[int]]:
     return groups
 
 
-def _approximate(df, pending, sizes, margin, accuracy):
-    columns = []
-    for i, (c, ranks) in enumerate(pending):
-        low = max(0.0, (ranks[0] - 1) / sizes[c] - margin)
-        top = min(1.0, ranks[-1] / sizes[c] + margin)
-        columns.append(F.percentile_approx(F.col(c), [low, top], accuracy).alias(f"p{i}"))
-    row = df.agg(*columns).first()
-    return [(c, ranks, *row[f"p{i}"]) for i, (c, ranks) in enumerate(pending)]
+def _brackets(df, pending, sizes, margin, accuracy):
+    """``column, ranks, low, top`` per group of ranks, from one sketch per column."""
+    row = df.agg(
+        *[
+            F.percentile_approx(
+                F.col(c),
+                [
+                    share
+                    for ranks in groups
+                    for share in (
+                        max(0.0, (ranks[0] - 1) / sizes[c] - margin),
+                        min(1.0, ranks[-1] / sizes[c] + margin),
+                    )
+                ],
+                accuracy,
+            ).alias(f"p{i}")
+            for i, (c, groups) in enumerate(pending.items())
+        ]
+    ).first()
+    return [
+        (c, ranks, row[f"p{i}"][2 * j], row[f"p{i}"][2 * j + 1])
+        for i, (c, groups) in enumerate(pending.items())
+        for j, ranks in enumerate(groups)
+    ]
 
 
 def _inside(df, slots) -> dict[tuple[str, int], float]:
@@ -80,13 +96,13 @@ def _inside(df, slots) -> dict[tuple[str, int], float]:
     if not slots:
         return {}
     brackets = list(dict.fromkeys((c, low, top) for c, _, low, top, _ in slots))
+    hits = [F.col(c).between(low, top) for c, low, top in brackets]
     entries = [
-        F.when(F.col(c).between(low, top), F.struct(F.lit(i).alias("bracket"), F.col(c).cast("double").alias("value")))
-        for i, (c, low, top) in enumerate(brackets)
+        F.when(hit, F.struct(F.lit(i).alias("bracket"), F.col(c).cast("double").alias("value")))
+        for i, (hit, (c, _, _)) in enumerate(zip(hits, brackets))
     ]
-    counted = (
-        df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("bracket", "value").count()
-    )
+    near = df.where(_any(hits)).select(F.inline(F.array_compact(F.array(*entries))))
+    counted = near.groupBy("bracket", "value").count()
     in_order = Window.partitionBy("bracket").orderBy("value").rowsBetween(*_RUNNING)
     running = counted.withColumn("upto", F.sum("count").over(in_order))
     hit = F.lit(False)
@@ -108,11 +124,11 @@ def _inside(df, slots) -> dict[tuple[str, int], float]:
 
 def order_hash(key: Column, seed: int) -> Column:
     """The pseudo-random order of keys; ties are settled by the key itself."""
-    return hash_number(key, seed, _HASH_DIGITS)
+    return hash_text(key, seed, _HASH_DIGITS)
 
 
 def hash_range(hashed: Column) -> Column:
-    return F.shiftright(hashed, _RANGE_SHIFT)
+    return F.substring(hashed, 1, _RANGE_DIGITS)
 
 
 def ranges_before(df: DataFrame, group: Column, key: Column, seed: int) -> DataFrame:
@@ -131,7 +147,7 @@ def ranges_before(df: DataFrame, group: Column, key: Column, seed: int) -> DataF
 
 def hash_cuts(
     df: DataFrame, group: Column, key: str, ranks: Mapping[object, Sequence[int]], seed: int
-) -> dict[tuple[object, int], tuple[int, object]]:
+) -> dict[tuple[object, int], tuple[str, object]]:
     """``(hash, key)`` of the row at each wanted 1-based rank of each group, in hash order.
 
     Ranks of 0 are left out. Groups and ranks are few; a group may hold any share of the rows.
@@ -149,9 +165,8 @@ def hash_cuts(
     hashed = df.select(
         group.alias("group_value"), F.col(key).alias("key"), order_hash(F.col(key), seed).alias("hash")
     )
-    chosen = _any(
-        (F.col("group_value") == g) & (hash_range(F.col("hash")) == r)
-        for (g, _), (r, _) in cut_ranges.items()
+    chosen = F.concat_ws("-", "group_value", hash_range(F.col("hash"))).isin(
+        [f"{g}-{r}" for (g, _), (r, _) in cut_ranges.items()]
     )
     counted = (
         hashed.where(chosen)
@@ -176,9 +191,9 @@ def hash_cuts(
     }
 
 
-def at_or_before(key: Column, cut: tuple[int, object], seed: int) -> Column:
-    """Is the row at or before a cut found by ``hash_cuts``?"""
-    hashed, (cut_hash, cut_key) = order_hash(key, seed), cut
+def at_or_before(hashed: Column, key: Column, cut: tuple[str, object]) -> Column:
+    """Is the row at or before a cut found by ``hash_cuts``? ``hashed`` is its order hash."""
+    cut_hash, cut_key = cut
     return (hashed < cut_hash) | ((hashed == cut_hash) & (key <= cut_key))
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from propensity.functions.scalars import hash_number
+from propensity.functions.scalars import hash_number, hash_text
 from propensity.operators.audience import top_n, top_percent
 from propensity.operators.quality import describe
 from propensity.operators.ranking import at_or_before, hash_cuts, values_at_ranks
@@ -55,12 +55,12 @@ def test_hash_cuts(spark, copies):
     df = spark.range(2000).selectExpr("id AS k", "IF(id % 20 = 0, 'b', 'a') AS g")
     if copies > 1:
         df = df.unionAll(spark.range(copies).selectExpr("7L AS k", "'a' AS g"))
-    rows = df.select("k", "g", hash_number(F.col("k"), 5).alias("h")).collect()
+    rows = df.select("k", "g", hash_text(F.col("k"), 5, 15).alias("h")).collect()
     ordered = {g: sorted((r.h, r.k) for r in rows if r.g == g) for g in "ab"}
     ranks = {"a": [1, 400, len(ordered["a"])], "b": [0, 30]}
     cuts = hash_cuts(df, F.col("g"), "k", ranks, 5)
     assert cuts == {(g, n): ordered[g][n - 1] for g, ns in ranks.items() for n in ns if n}
-    kept = df.where((F.col("g") == "b") & at_or_before(F.col("k"), cuts["b", 30], 5)).count()
+    kept = df.where((F.col("g") == "b") & at_or_before(hash_text(F.col("k"), 5, 15), F.col("k"), cuts["b", 30])).count()
     assert kept == 30
 
 
