@@ -63,7 +63,7 @@ def model_rf_scores(spark, directory):
 def _folded(spark, directory):
     prepared = training.prepare(labelled_rows(spark, directory), "high_potential")
     fit_on = prepared.where(~F.col("is_test")).drop("is_test")
-    return materialize(balance.stratified_folds(fit_on, "high_potential"), "folds")
+    return materialize(balance.stratified_folds(fit_on, "high_potential"), "folds", partition_by="fold")
 
 
 @query()

@@ -9,15 +9,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from propensity.operators.ranking import at_or_before, hash_cuts, order_hash, values_at_ranks
 
+#: Audiences up to this size are kept sorted in memory by every task and by the driver.
+SORTED_ROWS = 100_000
+
 
 def ranked(scored: DataFrame, key: str = "user_id") -> DataFrame:
     """All users, most likely first; a range-partitioned sort."""
     return scored.orderBy(F.desc("probability"), key)
 
 
-def top_n(scored: DataFrame, n: int = 2000, key: str = "user_id") -> DataFrame:
-    """The ``n`` most likely users; each task keeps its own top n and the results are merged."""
-    return ranked(scored, key).limit(n)
+def top_n(scored: DataFrame, n: int = 2000, key: str = "user_id", seed: int = 42) -> DataFrame:
+    """The ``n`` most likely users.
+
+    Up to ``SORTED_ROWS`` each task keeps its own top n and the results are merged, ties going by
+    key; a larger audience is cut by threshold, ties going by seeded hash.
+    """
+    if n <= SORTED_ROWS:
+        return ranked(scored, key).limit(n)
+    known = scored.where(F.col("probability").isNotNull())
+    size = known.count()
+    return _best(scored, known, size, min(n, size), key, seed)
 
 
 def above(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -26,19 +37,25 @@ def above(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def top_percent(scored: DataFrame, percent: float = 15, key: str = "user_id", seed: int = 42) -> DataFrame:
-    """The most likely ``percent`` of scored users, rounded up; ties at the cut go by seeded hash.
+    """The most likely ``percent`` of scored users, rounded up; ties at the cut go by seeded hash."""
+    known = scored.where(F.col("probability").isNotNull())
+    size = known.count()
+    return _best(scored, known, size, math.ceil(Fraction(str(percent)) * size / 100), key, seed)
+
+
+def _best(
+    scored: DataFrame, known: DataFrame, size: int, wanted: int, key: str, seed: int
+) -> DataFrame:
+    """The ``wanted`` most likely of ``size`` users.
 
     The cut is found first, in a few narrow passes, so that the result is a filter of the scored
     table. Nothing is sorted as a whole, and any share of users may have the same probability.
     """
-    probability = F.col("probability")
-    known = scored.where(probability.isNotNull())
-    n = known.count()
-    wanted = math.ceil(Fraction(str(percent)) * n / 100)
     if wanted == 0:
         return scored.where(F.lit(False))
-    place = n - wanted + 1
-    cut = values_at_ranks(known, {"probability": [place]}, {"probability": n})["probability", place]
+    probability = F.col("probability")
+    place = size - wanted + 1
+    cut = values_at_ranks(known, {"probability": [place]}, {"probability": size})["probability", place]
     sides = known.agg(
         F.count_if(probability > cut).alias("higher"), F.count_if(probability == cut).alias("tied")
     ).first()

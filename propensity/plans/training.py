@@ -28,7 +28,8 @@ def prepare(
     Columns the label was made from are dropped by default.
     """
     cleaned = materialize(cleaning.clean(df, label, key, drop), "cleaned")
-    return materialize(balance.stratified_split(cleaned, label, key, test_size, seed), "split")
+    split = balance.stratified_split(cleaned, label, key, test_size, seed)
+    return materialize(split, "split", partition_by="is_test")
 
 
 def train(

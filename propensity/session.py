@@ -34,8 +34,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``partition_by`` names its last column; readers that filter on it skip the other files.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*([partition_by] if partition_by else [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from propensity.functions.scalars import hash_number, hash_text
+from propensity.operators import audience
 from propensity.operators.audience import top_n, top_percent
 from propensity.operators.quality import describe
 from propensity.operators.ranking import at_or_before, hash_cuts, values_at_ranks
@@ -80,3 +81,12 @@ def test_top_percent(spark, shape, percent):
 def test_top_n_breaks_ties_by_user(spark):
     df = spark.createDataFrame([(3, 0.5), (1, 0.5), (2, 0.9)], "user_id int, probability double")
     assert [r.user_id for r in top_n(df, 2).collect()] == [2, 1]
+
+
+def test_large_top_n_is_cut_by_threshold(spark, monkeypatch):
+    monkeypatch.setattr(audience, "SORTED_ROWS", 10)
+    rows = [(i, (i * 37 % 100) / 100) for i in range(500)]
+    df = spark.createDataFrame(rows, "user_id int, probability double")
+    chosen = [r.probability for r in top_n(df, 203).collect()]
+    assert sorted(chosen, reverse=True) == sorted((p for _, p in rows), reverse=True)[:203]
+    assert top_n(df, 1000).count() == 500
