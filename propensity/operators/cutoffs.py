@@ -94,5 +94,6 @@ def snapshots(
         edges = [_moved(at, o, kind).alias(names[o]) for o in offsets]
         return F.struct(at.alias("time_point"), *edges)
 
-    tagged = df.select("*", F.inline(F.array(*[entry(point) for point in time_points])))
+    entries = F.array_distinct(F.array(*[entry(point) for point in time_points]))
+    tagged = df.select("*", F.inline(entries))
     return tagged, Cutoff(F.col(ts), F.col("time_point"), lambda offset: F.col(names[offset]))

@@ -165,9 +165,7 @@ def hash_cuts(
     hashed = df.select(
         group.alias("group_value"), F.col(key).alias("key"), order_hash(F.col(key), seed).alias("hash")
     )
-    chosen = F.concat_ws("-", "group_value", hash_range(F.col("hash"))).isin(
-        [f"{g}-{r}" for (g, _), (r, _) in cut_ranges.items()]
-    )
+    chosen = hash_range(F.col("hash")).isin(sorted({r for r, _ in cut_ranges.values()}))
     counted = (
         hashed.where(chosen)
         .withColumn("hash_range", hash_range(F.col("hash")))

@@ -81,8 +81,9 @@ def write_predictions(scored: DataFrame, path: str) -> None:
     scored.select(*names).write.mode("overwrite").csv(path, header=True)
 
 
-def write_audience(scored: DataFrame, path: str) -> None:
+def write_audience(scored: DataFrame, path: str, format: str = "parquet") -> None:
     """Features together with ``predicted_high_potential`` and ``predicted_probability``."""
-    scored.withColumnsRenamed(
+    renamed = scored.withColumnsRenamed(
         {"prediction": "predicted_high_potential", "probability": "predicted_probability"}
-    ).write.mode("overwrite").parquet(path)
+    )
+    renamed.write.mode("overwrite").format(format).option("header", True).save(path)

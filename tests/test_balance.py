@@ -46,6 +46,12 @@ def test_split_extremes(frame, share):
     assert [r.is_test for r in flags] == [share == 1.0]
 
 
+@pytest.mark.parametrize("kind", ["boolean", "double", "string"])
+def test_labels_of_other_types(frame, kind):
+    typed = frame.withColumn("label", F.col("label").cast(kind))
+    assert _split(typed) == _split(frame)
+
+
 def test_hash_split_is_close(frame):
     n = balance.hash_split(frame).where("is_test").count()
     assert abs(n - 200) < 50

@@ -66,3 +66,11 @@ def test_materialize_reads_back_the_same(spark):
     back = session.materialize(df, "test")
     assert sorted(map(tuple, back.collect())) == [(1, None), (2, "b")]
     assert "LogicalRDD" not in back._jdf.queryExecution().toString()
+
+
+def test_audience_as_csv(spark, tmp_path):
+    df = spark.createDataFrame([("u1", 2.0, 1, 0.75)], "user_id string, x double, prediction int, probability double")
+    csv_files.write_audience(df, str(tmp_path / "out"), format="csv")
+    back = csv_files.read_csv_directory(spark, str(tmp_path / "out"))
+    assert back.columns == ["user_id", "x", "predicted_high_potential", "predicted_probability"]
+    assert back.collect() == [("u1", 2.0, 1, 0.75)]
