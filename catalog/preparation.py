@@ -178,7 +178,7 @@ def prep_split_hash(spark, directory):
 
 
 @query(_train(_CLEAN + f"""SELECT user_id, target_col,
-   ntile(5) OVER (PARTITION BY target_col ORDER BY {_order('user_id')}) - 1 AS fold FROM fx_clean"""))
+   CAST(ntile(5) OVER (PARTITION BY target_col ORDER BY {_order('user_id')}) - 1 AS INT) AS fold FROM fx_clean"""))
 def prep_stratified_folds(spark, directory):
     df = balance.stratified_folds(_clean(spark, directory), "target_col")
     return df.select("user_id", "target_col", "fold")

@@ -28,11 +28,12 @@ def test_split_sizes_are_exact_per_class(frame):
 
 def test_split_does_not_depend_on_partitioning(spark, frame):
     once = _split(frame.repartition(1))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "200")
     try:
         assert _split(frame.repartition(50)) == once
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_another_seed_gives_another_split(frame):
