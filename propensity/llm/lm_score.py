@@ -34,10 +34,10 @@ BUCKETS = 512
 WORD_BYTES = 64
 BEGIN, END = 0, 1
 DIMENSIONS = 32
-NOISE = 64
+NOISE = 48
 BATCH = 2048
 ROUNDS = 2
-RATE = 0.1
+RATE = 0.05
 #: Bytes of text in a block. A longer text is a block of its own.
 BLOCK_BYTES = 8 << 20
 CLASSES = 2 + SHORTLIST + BUCKETS
@@ -123,10 +123,11 @@ def initial(shares: np.ndarray) -> dict[str, np.ndarray]:
 
 def _rows_added(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Add ``rows`` to the rows ``at`` of ``to``; the distinct places."""
-    order = np.argsort(at, kind="stable")
-    places, first = np.unique(at[order], return_index=True)
-    to[places] += np.add.reduceat(rows[order], first, axis=0)
-    return places
+    order = np.argsort(at.astype(np.int16), kind="stable")  # a radix sort
+    at = at[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    to[at[first]] += np.add.reduceat(rows.take(order, 0), first, axis=0)
+    return at[first]
 
 
 def train(model: dict[str, np.ndarray], shares: np.ndarray, batches: Iterator[tuple], seed: int) -> int:
@@ -139,24 +140,24 @@ def train(model: dict[str, np.ndarray], shares: np.ndarray, batches: Iterator[tu
     for w, v1, v2 in batches:
         seen += len(w)
         noise = np.searchsorted(cumulated, draw.random(NOISE) * cumulated[-1]).clip(0, CLASSES - 1)
-        r1, r2, qw, qn = model["r"][v1], model["r"][v2], model["q"][w], model["q"][noise]
+        r1, r2, qw, qn = model["r"].take(v1, 0), model["r"].take(v2, 0), model["q"].take(w, 0), model["q"].take(noise, 0)
         context = r1 @ model["c1"] + r2 @ model["c2"]
         real = np.einsum("ij,ij->i", context, qw) + model["b"][w] - log_noise[w]
         fake = context @ qn.T + (model["b"][noise] - log_noise[noise])
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+        up = 0.5 - 0.5 * np.tanh(0.5 * real)
+        fake *= 0.5
+        down = np.tanh(fake, out=fake)
+        down += 1
+        down *= -0.5
         towards = up[:, None] * qw + down @ qn
-        steps = {k: np.zeros_like(v) for k, v in model.items() if k in ("c1", "c2")}
-        steps["c1"], steps["c2"] = r1.T @ towards, r2.T @ towards
-        _step(model, squares, "c1", slice(None), steps["c1"])
-        _step(model, squares, "c2", slice(None), steps["c2"])
         into = np.zeros_like(model["r"])
-        at = _rows_added(into, np.concatenate([v1, v2]), np.concatenate([towards @ model["c1"].T, towards @ model["c2"].T]))
+        at = np.union1d(_rows_added(into, v1, towards @ model["c1"].T), _rows_added(into, v2, towards @ model["c2"].T))
+        _step(model, squares, "c1", slice(None), r1.T @ towards)
+        _step(model, squares, "c2", slice(None), r2.T @ towards)
         _step(model, squares, "r", at, into[at])
+        wide = np.concatenate([context, np.ones((len(w), 1), np.float32)], 1)
         out = np.zeros((CLASSES, DIMENSIONS + 1), np.float32)
-        one = np.ones((len(w), 1), np.float32)
-        rows = np.concatenate([np.concatenate([context, one], 1) * up[:, None], down.T @ np.concatenate([context, one], 1)])
-        at = _rows_added(out, np.concatenate([w, noise]), rows.astype(np.float32))
+        at = np.union1d(_rows_added(out, w, wide * up[:, None]), _rows_added(out, noise, down.T @ wide))
         _step(model, squares, "q", at, out[at, :-1])
         _step(model, squares, "b", at, out[at, -1])
     return seen

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import registry
-from propensity.llm import lm_score, ngram_join
+from propensity.llm import fingerprint, language, lm_score, ngram_join, token_counts
 from propensity.llm.common import read, remainder
 
 QUERIES, ORACLES, query = registry()
@@ -17,6 +18,27 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(read(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
 
 
+@query()
+def op2_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """Token counts of all documents under a 32,000-piece vocabulary, and where 4,096 tokens end."""
+    path = path or public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), path, limit=4096)
+
+
+@query()
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the two thirds of labelled ids that are not held out."""
+    docs, part = read(spark, sf_dir, "documents"), remainder("doc_id", 3)
+    told = language.predict(docs, language.fit(docs.where(part != 1)))
+    return told.select("doc_id", (part == 1).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query()
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, with likenesses."""
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
 @query(
     r"""
     WITH RECURSIVE cut AS (
