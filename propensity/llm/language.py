@@ -21,9 +21,9 @@ from propensity.llm import common
 SAMPLE_TEXTS = 64
 SAMPLE_CHARS = 2048
 CHUNK_BYTES = 4096
-LEVEL = 3
+LEVEL = 6
 #: The second-best size must exceed the best by this share of itself.
-MARGIN = 0.02
+MARGIN = 0.01
 UNKNOWN = "und"
 
 _NO_LETTERS = re.compile(r"[\W\d_]+")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from catalog.registry import registry
-from propensity.llm import fingerprint, language, lm_score, ngram_join, token_counts
+from propensity.llm import fingerprint, language, lm_score, ngram_join, pii, token_counts
 from propensity.llm.common import read, remainder
 
 QUERIES, ORACLES, query = registry()
@@ -33,6 +33,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", (part == 1).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@query()
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and spans of patterns, and spans of terms that disclose them."""
+    return pii.digests(pii.spans(read(spark, sf_dir, "documents")))
+
+
 @query()
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, with likenesses."""
