@@ -38,7 +38,7 @@ def keyed_bytes(batch: pa.RecordBatch) -> Iterator[tuple[object, bytes | None]]:
     return zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())
 
 
-def word_hashes(tokens: list[bytes]) -> np.ndarray:
+def word_hashes(tokens: list[bytes] | list[str]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
 
 

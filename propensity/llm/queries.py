@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.registry import registry
-from propensity.llm import fingerprint, language, lm_score, ngram_join, pii, token_counts
+from propensity.llm import decontaminate, fingerprint, language, lm_score, main_text, mixing, ngram_join, pii, quality
+from propensity.llm import token_counts
 from propensity.llm.common import read, remainder
 
 QUERIES, ORACLES, query = registry()
@@ -25,6 +26,25 @@ def op2_token_counts(spark: SparkSession, sf_dir: str, path: str | None = None)
     return token_counts.token_counts(read(spark, sf_dir, "documents"), path, limit=4096)
 
 
+@query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; its source is the host and its language the path."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality.score(docs, labels, F.col("source"), F.col("lang"))
+
+
+@query()
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(read(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of benchmark items, the passage and its alignment score."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), threshold=0.5)
+
+
 @query()
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the two thirds of labelled ids that are not held out."""
@@ -33,6 +53,47 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", (part == 1).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@query(
+    r"""
+    WITH RECURSIVE counted AS (
+      SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS n
+      FROM documents),
+    sums AS (SELECT source, CAST(sum(n) AS BIGINT) AS tokens FROM counted GROUP BY source HAVING sum(n) > 0),
+    shares AS (SELECT *, tokens / (SELECT sum(tokens) FROM sums) AS share FROM sums),
+    halves AS (
+      SELECT 0 AS step, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high, (SELECT max(share) / min(share) FROM shares) AS spread
+      UNION ALL
+      SELECT step + 1, CASE WHEN pow(spread, 1 - (low + high) / 2) <= 4 THEN low ELSE (low + high) / 2 END,
+        CASE WHEN pow(spread, 1 - (low + high) / 2) <= 4 THEN (low + high) / 2 ELSE high END, spread
+      FROM halves WHERE step < 40),
+    raised AS (SELECT *, pow(share, (SELECT round(high, 9) FROM halves WHERE step = 40)) AS power FROM shares),
+    weighted AS (
+      SELECT source, tokens, round(power / (SELECT sum(power) FROM raised), 9) AS weight,
+        round(power / share / (SELECT min(power / share) FROM raised), 6) AS repeats
+      FROM raised),
+    blocks AS (SELECT CAST(ceil(sum(tokens * repeats) / 1048576) AS BIGINT) AS blocks FROM weighted),
+    uses AS (
+      SELECT c.doc_id, c.source, c.n, w.tokens, w.weight, w.repeats, unnest(range(CAST(ceil(w.repeats) AS BIGINT))) AS round
+      FROM counted c JOIN weighted w ON c.source IS NOT DISTINCT FROM w.source WHERE c.n > 0),
+    placed AS (
+      SELECT *, round * tokens + coalesce(sum(n) OVER (
+          PARTITION BY source, round ORDER BY md5('mix:' || round || ':' || doc_id), doc_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spot
+      FROM uses)
+    SELECT doc_id, source, CAST(round AS INT) AS round,
+      CAST(least(floor(spot / (tokens * repeats) * blocks), blocks - 1) AS BIGINT) AS block,
+      md5('mix:place:' || round || ':' || doc_id) AS place, n AS n_tokens, weight, repeats
+    FROM placed, blocks WHERE spot < tokens * repeats
+    UNION ALL
+    SELECT doc_id, source, 0, 0, md5('mix:place:0:' || doc_id), n, NULL, NULL FROM counted WHERE n = 0
+    """
+)
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents dealt into blocks of about a million tokens, no source repeated over four times as often as another."""
+    return mixing.mix(read(spark, sf_dir, "documents"), repeat=4.0, block_tokens=1 << 20)
+
+
 @query()
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and spans of patterns, and spans of terms that disclose them."""
