@@ -5,14 +5,17 @@ hash of the set). Two nodes link when the sizes of intersection and union are at
 
 1. ``_counts``: how often each hash of a fixed part of the hash space occurs. Hashes of more than ``HOT``
    sets go into a bit array. All sets are ordered alike: hashes seen to be rare first, hot ones last.
-2. ``_prefixes``: two linked sets of n hashes share one of their first n - ceil(n percent / 100) + 1 hashes in
-   any common order, so only these are shuffled. With the rare first, a passage that many documents share
-   brings no documents together, unless most of their text is shared.
-3. Documents that share such a hash are compared with one of them, the hub (``_stars``), and so copies
+2. ``_prefixes``: two linked sets of n hashes share at least k of their first n - ceil(n percent / 100) + k hashes in any
+   common order, so only these are shuffled, with k growing with n (``overlap``). With the rare first, a passage that many
+   documents share brings no documents together, unless most of their text is shared.
+3. A set with fewer than k hashes that any other set has links with nothing (``_shared``). Most sets end here.
+4. Documents that share such a hash are compared with one of them, the hub (``_stars``), and so copies
    of a text fall into one component in linear work. This repeats with other hubs.
-4. What still shares a hash across components is compared in full (``_tiled``): tiles of bounded size, bands
-   of sizes within them, and a bound from the number of differing bits of hashed bitmaps.
-5. Pairs left by the bound are decided by intersecting the sorted hash arrays (``_linked``).
+5. What still shares a hash across components is compared in full (``_tiled``): tiles of bounded size, bands
+   of sizes within them, the places of the hash in both sets (what comes before the first common hash is not
+   shared), and a bound from the number of differing bits of hashed bitmaps.
+6. Pairs left by the bound are decided by intersecting the sorted hash arrays (``_linked``), which are made
+   anew from the texts of these few documents.
 
 No step caps a group. The order and the filters decide only how much work there is, never which links exist.
 """
@@ -34,8 +37,12 @@ from propensity.session import materialize
 HOT = 64
 #: Share of the hash space in which occurrences are counted; it holds the prefix and the hot hashes it skips.
 COUNTED = 0.4
+#: One more hash must be shared for so many hashes of a set, and the prefix is as much longer.
+STEP = 16
 #: Rows of a hash's documents that one tile compares.
 TILE = 2048
+#: Tiles of so few rows are compared one by one.
+SMALL_TILE = 12
 STAR_ROUNDS = 2
 #: Hashes collected by a task before it passes on its counts.
 COUNT_ROWS = 1 << 21
@@ -58,12 +65,17 @@ def prefix(hashes: np.ndarray, hot: np.ndarray, percent: int) -> tuple[np.ndarra
     """The first hashes in the common order, as many as two linked sets can't both miss; which are hot."""
     n = len(hashes)
     counted = hashes < np.uint64(int(COUNTED * 2**64))
-    is_hot = counted & common.maybe_in(hot, hashes)
+    is_hot = counted & common.maybe_in(hot, _bucket(hashes))
     rank = np.where(is_hot, 2, np.where(counted, 0, 1))
-    first = np.argsort(rank, kind="stable")[: n - -(-n * percent // 100) + 1]
+    first = np.argsort(rank, kind="stable")[: n - -(-n * percent // 100) + overlap(n)]
     return hashes[first], is_hot[first]
 
 
+def overlap(n: int) -> int:
+    """Hashes that the prefixes of two linked sets share, if the smaller has n."""
+    return 1 + n // STEP
+
+
 def bitmap(hashes: np.ndarray) -> bytes:
     """The parity of the number of hashes in each of 2^k cells, at least as many cells as hashes (to 16,384).
 
@@ -89,11 +101,16 @@ def may_link(n: int, m: int, differing: int, percent: int) -> bool:
     return 100 * both >= percent * (n + m - both) and 100 * min(n, m) >= percent * max(n, m)
 
 
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    """What occurrences are counted by: half of a hash, as half as many bytes are shuffled. Collisions only make hashes hot."""
+    return hashes & np.uint64(0xFFFFFFFF)
+
+
 def _counts(docs: DataFrame, size: int) -> DataFrame:
     top = np.uint64(int(COUNTED * 2**64))
 
     def tell(held: list[np.ndarray]) -> pa.RecordBatch:
-        values, n = np.unique(np.concatenate(held), return_counts=True)
+        values, n = np.unique(_bucket(np.concatenate(held)), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(common.signed(values)), pa.array(n)], ["h", "n"])
 
     def count(batches: Iterator) -> Iterator:
@@ -115,6 +132,8 @@ def _counts(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, hot) -> DataFrame:
+    """(h, node, n, at) of each prefix hash that another set may have; ``at`` hashes of the set come before it. 48 bits of a hash are enough to find who shares it."""
+
     def emit(batches: Iterator) -> Iterator:
         seen = set()
         for batch in batches:
@@ -125,45 +144,72 @@ def _prefixes(docs: DataFrame, size: int, percent: int, hot) -> DataFrame:
                     seen.add(node)
                     first, is_hot = prefix(hashes, hot.value, percent)
                     k = len(first)
-                    spread = np.where(is_hot, node & 15, 0).astype(np.int32)
-                    out.append((common.signed(first), np.full(k, node), np.full(k, len(hashes), np.int32), spread, is_hot))
+                    spread = np.where(is_hot, 1 + (node & 15), 0).astype(np.int32)
+                    sizes, places = np.full(k, len(hashes), np.int32), np.arange(k, dtype=np.int32)
+                    out.append((common.signed(first >> np.uint64(16)), np.full(k, node), sizes, places, spread))
             if out:
                 columns = [pa.array(np.concatenate(x)) for x in zip(*out)]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "node", "n", "spread", "hot"])
+                yield pa.RecordBatch.from_arrays(columns, ["h", "node", "n", "at", "spread"])
+
+    found = common.in_batches(docs.select("text"), emit, "h long, node long, n int, at int, spread int")
+    # the documents of a hot hash are spread over tasks, which don't see all of them; copies in other tasks repeat a row
+    other = "spread > 0 or min(node) over (partition by h, spread) <> max(node) over (partition by h, spread)"
+    found = found.withColumn("other", F.expr(other)).where("other")
+    return found.dropDuplicates(["h", "spread", "node"]).select("h", "node", "n", "at")
+
 
-    found = common.in_batches(docs.select("text"), emit, "h long, node long, n int, spread int, hot boolean")
-    # Copies in other tasks repeat a row; the stars and tiles are the same with and without them.
-    alone = "count(*) over (partition by h, spread) > 1"
-    return found.withColumn("shared", F.expr(f"hot or {alone}")).where("shared").select("h", "node", "n")
+def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Of ``_prefixes``, the sets that share enough hashes to link with any."""
+    least = F.floor(F.ceil(F.col("n") * percent / 100) / STEP) + 1
+    enough = prefixes.groupBy("node").agg(F.count("*").alias("hashes"), F.first("n").alias("n")).where(F.col("hashes") >= least)
+    return prefixes.join(enough.select("node"), "node", "left_semi")
 
 
 def _described(docs: DataFrame, size: int, wanted) -> DataFrame:
-    """Each document's node and size; for wanted nodes, once a task, also the bitmap and the hash array."""
+    """Each document's node and size; for wanted nodes, once a task, also the bitmap."""
 
     def describe(batches: Iterator) -> Iterator:
         seen = set()
         for batch in batches:
-            keys, nodes, sizes, maps, arrays = batch.column(0), [], [], [], []
+            nodes, sizes, maps = [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 hashes = shingles(text, size)
                 node = node_of(hashes) if len(hashes) else None
-                full = node is not None and node not in seen
-                full = full and bool(common.maybe_in(wanted.value, np.array([node], np.int64).view(np.uint64))[0])
-                if full:
+                new = node is not None and node not in seen
+                new = new and bool(common.maybe_in(wanted.value, np.array([node], np.int64).view(np.uint64))[0])
+                if new:
                     seen.add(node)
                 nodes.append(node)
                 sizes.append(len(hashes))
-                maps.append(bitmap(hashes) if full else None)
-                arrays.append(hashes.tobytes() if full else None)
-            columns = [keys, pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
-            columns += [pa.array(maps, pa.binary()), pa.array(arrays, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "bits", "hashes"])
+                maps.append(bitmap(hashes) if new else None)
+            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "bits"])
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return common.in_batches(docs, describe, f"doc_id {key}, node long, n long, bits binary, hashes binary")
+    return common.in_batches(docs.select("doc_id", "text"), describe, f"doc_id {key}, node long, n long, bits binary")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _arrays(docs: DataFrame, size: int, sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, hashes) of the given nodes, from the document that stands for each."""
+    known = sets.join(nodes, "node", "left_semi").select(F.xxhash64("doc_id").alias("h"))
+    wanted = docs.sparkSession.sparkContext.broadcast(common.filter_bits(known, "h"))
+
+    def run(batches: Iterator) -> Iterator:
+        seen = set()
+        for batch in batches:
+            ids = batch.column(1).to_numpy().view(np.uint64)
+            mine = pa.array(common.maybe_in(wanted.value, ids))
+            found = [shingles(t, size) for t in batch.column(0).filter(mine).cast(pa.binary()).to_pylist()]
+            each = {node_of(h): h.tobytes() for h in found if len(h)}
+            each = {k: v for k, v in each.items() if k not in seen}
+            seen.update(each)
+            yield pa.RecordBatch.from_arrays([pa.array(list(each), pa.int64()), pa.array(list(each.values()), pa.binary())], ["node", "hashes"])
+
+    told = common.in_batches(docs.select("text", F.xxhash64("doc_id").alias("h")), run, "node long, hashes binary")
+    return told.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Of distinct pairs (a, b), those that link: bitmaps first, then the sorted arrays of what is left."""
 
     def bounded(batches: Iterator) -> Iterator:
@@ -171,8 +217,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             a, b, n, m, x, y = (batch.column(i).to_pylist() for i in range(6))
             keep = []
             for i in range(len(a)):
-                size = min(len(x[i]), len(y[i]))
-                differing = int(np.bitwise_count(folded(x[i], size) ^ folded(y[i], size)).sum())
+                least = min(len(x[i]), len(y[i]))
+                differing = int(np.bitwise_count(folded(x[i], least) ^ folded(y[i], least)).sum())
                 keep.append(may_link(n[i], m[i], differing, percent))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -185,19 +231,26 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def beside(pairs: DataFrame, *columns: str) -> DataFrame:
+    def beside(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
         for end in "ab":
-            of = sets.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns))
-            pairs = pairs.join(of, end)
+            pairs = pairs.join(of.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns)), end)
         return pairs.select("a", "b", *(f"{c}_{end}" for c in columns for end in "ab"))
 
-    left = common.in_batches(beside(pairs, "n", "bits"), bounded, "a long, b long")
-    return common.in_batches(beside(left, "hashes"), exact, "a long, b long")
+    left = materialize(common.in_batches(beside(pairs, sets, "n", "bits"), bounded, "a long, b long"), "pairs")
+    nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    if nodes.isEmpty():
+        return left
+    arrays = materialize(_arrays(docs, size, sets, nodes), "arrays")
+    return common.in_batches(beside(left, arrays, "hashes"), exact, "a long, b long")
 
 
 def _stars(shared: DataFrame, salt: int, percent: int) -> DataFrame:
-    """For each node, the hub that most of its hashes propose: a document of the hash in another component."""
-    order = F.xxhash64("node", F.lit(salt))
+    """For each node, the hub that most of its hashes propose: a document of the hash in another component.
+
+    At first a hash proposes the set with the fewest hashes before it: copies of a text have hashes of their own, which are
+    rare and come first, and the text itself has not. Later it proposes any.
+    """
+    order = F.xxhash64("node", F.lit(salt)).cast("double") if salt else F.col("at") / F.col("n")
     hubs = shared.groupBy("h").agg(F.min(F.struct(order.alias("o"), "node", "n", "root")).alias("hub"))
     pairs = (
         shared.join(hubs, "h")
@@ -212,30 +265,36 @@ def _stars(shared: DataFrame, salt: int, percent: int) -> DataFrame:
 
 def _tiled(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs across components, from tiles of the documents of a hash."""
-    runs = shared.groupBy("h").agg(F.count("*").alias("rows"))
+    runs = shared.groupBy("h").agg(F.min("n").alias("smallest"))
+    # as in ``reachable``, for the smallest set of the hash: a row that can't meet it meets none
+    reach = f"(n - at) * {100 + percent} >= {percent} * (n + greatest(smallest, n * {percent} / 100))"
+    rows = shared.join(runs, "h").where(reach).select("h", "node", "n", "at", "root")
+    runs = rows.groupBy("h").agg(F.count("*").alias("rows"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
     pieces = F.ceil(F.col("rows") / TILE).cast("int")
     rows = (
-        shared.join(runs, "h")
-        .join(sets.select("node", "bits"), "node")
+        rows.join(runs, "h")
         .withColumn("own", F.pmod(F.xxhash64("node"), pieces).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .select("h", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "n", "node", "root", "own", "bits")
+        .join(sets.select("node", "bits"), "node")
+        .select("h", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "n", "node", "root", "own", "at", "bits")
     )
 
     def compare(batches: Iterator) -> Iterator:
         held: list[tuple] = []
+        found: set[tuple[int, int]] = set()
         for batch in batches:
-            found: set[tuple[int, int]] = set()
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and row[:3] != held[0][:3]:
                     found |= tile_pairs(held, percent)
                     held = []
                 held.append(row)
-            yield _pair_batch(found)
-        yield _pair_batch(tile_pairs(held, percent))
+            if len(found) > 1 << 16:
+                yield _pair_batch(found)
+                found = set()
+        yield _pair_batch(found | tile_pairs(held, percent))
 
     parts = rows.repartition("h", "p", "q").sortWithinPartitions("h", "p", "q", "n")
-    return common.in_batches(parts, compare, "a long, b long").distinct()
+    return common.in_batches(parts, compare, "a long, b long", rows=4096).distinct()
 
 
 def _pair_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
@@ -243,47 +302,62 @@ def _pair_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
 
+def reachable(n, m, i, j, percent: int):
+    """Whether sets of n and m hashes whose first common hash has i and j before it can link: the rest must hold the overlap.
+
+    Pairs of which it is not the first are met where that is. Numbers or arrays; sizes are checked as well.
+    """
+    least = percent * (n + m)
+    return ((n - i) * (100 + percent) >= least) & ((m - j) * (100 + percent) >= least) & (100 * n >= percent * m) & (100 * m >= percent * n)
+
+
 def tile_pairs(rows: list[tuple], percent: int) -> set[tuple[int, int]]:
-    """Pairs of a tile's rows (h, p, q, n, node, root, own, bits), sorted by n, that may link.
+    """Pairs of a tile's rows (h, p, q, n, node, root, own, at, bits), sorted by n, that may link.
 
     Bands are the sizes that share a bitmap width; a band meets itself and, on folded bitmaps, larger bands in reach.
     """
-    if len(rows) < 2 or len({r[5] for r in rows}) < 2:
-        return set()
-    cross = rows[0][1] != rows[0][2]
+    cross = rows and rows[0][1] != rows[0][2]
+    found = set()
+    if len(rows) <= SMALL_TILE:
+        for y in range(len(rows)):
+            for x in range(y):
+                (_, _, _, n, a, r, o, i, u), (_, _, _, m, b, s, p, j, v) = rows[x], rows[y]
+                if r == s or cross and o == p or not reachable(n, m, i, j, percent):
+                    continue
+                width = min(len(u), len(v))
+                if may_link(n, m, int(np.bitwise_count(folded(u, width) ^ folded(v, width)).sum()), percent):
+                    found.add((max(a, b), min(a, b)))
+        return found
     bands: dict[int, list[tuple]] = {}
     for r in rows:
-        bands.setdefault(len(r[7]), []).append(r)
-    found = set()
+        bands.setdefault(len(r[8]), []).append(r)
     widths = sorted(bands)
-    for at, width in enumerate(widths):
+    for place, width in enumerate(widths):
         small = _band(bands[width], width)
-        for other in widths[at:]:
+        for other in widths[place:]:
             if 100 * bands[width][-1][3] < percent * bands[other][0][3]:
                 break
             large = small if other == width else _band(bands[other], width)
-            n, m = small[0][:, None], large[0][None, :]
             # rows of ``small`` by blocks, so that a tile takes some MB only
             for start in range(0, len(small[0]), 64):
-                block = slice(start, start + 64)
-                differing = np.zeros((len(small[0][block]), len(large[0])), np.int64)
-                for word in range(small[4].shape[1]):
-                    differing += np.bitwise_count(small[4][block, word][:, None] ^ large[4][:, word][None, :])
-                both = (n[block] + m - differing) / 2
-                keep = 100 * both >= percent * (n[block] + m - both)
-                keep &= 100 * np.minimum(n[block], m) >= percent * np.maximum(n[block], m)
-                keep &= small[2][block][:, None] != large[2][None, :]
+                n, node, root, own, at = (c[start : start + 64, None] for c in small[:5])
+                keep = (root != large[2]) & reachable(n, large[0], at, large[4], percent)
                 if cross:
-                    keep &= small[3][block][:, None] != large[3][None, :]
-                i, j = np.nonzero(keep)
-                x, y = small[1][block][i], large[1][j]
-                found.update(zip(np.maximum(x, y).tolist(), np.minimum(x, y).tolist()))
+                    keep &= own != large[3]
+                x, y = np.nonzero(keep)
+                differing = np.zeros(len(x), np.int64)
+                for word in range(small[5].shape[1]):
+                    differing += np.bitwise_count(small[5][start + x, word] ^ large[5][y, word])
+                sizes = n[x, 0] + large[0][y]
+                near = (100 + percent) * (sizes - differing) >= 2 * percent * sizes
+                a, b = node[x[near], 0], large[1][y[near]]
+                found.update(zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist()))
     return found
 
 
 def _band(rows: list[tuple], width: int) -> tuple[np.ndarray, ...]:
-    n, node, root, own = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6))
-    return n, node, root, own, np.stack([folded(r[7], width) for r in rows])
+    columns = tuple(np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6, 7))
+    return (*columns, np.stack([folded(r[8], width) for r in rows]))
 
 
 def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
@@ -296,28 +370,25 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     session = docs.sparkSession
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     hot = session.sparkContext.broadcast(common.filter_bits(_counts(docs, size).where(F.col("n") > HOT), "h"))
-    shared = materialize(_prefixes(docs, size, percent, hot), "shared")
-    wanted = session.sparkContext.broadcast(common.filter_bits(shared, "node"))
+    prefixes = materialize(_prefixes(docs, size, percent, hot), "prefixes")
+    shared = materialize(_shared(prefixes, percent), "shared")
+    wanted = session.sparkContext.broadcast(common.filter_bits(shared.select("node").distinct(), "node"))
     described = materialize(_described(docs, size, wanted), "described")
-    of = described.where("hashes is not null").select("node", "n", "bits", "hashes")
-    sets = materialize(of.dropDuplicates(["node"]), "sets")
+    sets = materialize(described.where("bits is not null").dropDuplicates(["node"]), "sets")
     links, roots = None, None
-
-    def rooted() -> DataFrame:
-        """Rows of hashes that more than one component has."""
+    for step in range(STAR_ROUNDS + 1):
         rows = shared.withColumn("root", F.col("node"))
         if roots is not None:
             rows = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        split = rows.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("h")
-        return rows.join(split, "h").dropDuplicates(["h", "node"])
-
-    for step in range(STAR_ROUNDS + 1):
-        rows = materialize(rooted(), "rooted")
+        # hashes that more than one component has
+        split = rows.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
+        shared = materialize(rows.join(split, "h").select("h", "node", "n", "at", "root"), "rooted")
         last = step == STAR_ROUNDS
-        pairs = _tiled(rows, sets, percent) if last else _stars(rows, step, percent)
-        more = materialize(_linked(pairs, sets, percent), "links")
+        pairs = _tiled(shared, sets, percent) if last else _stars(shared, step, percent)
+        more = materialize(_linked(pairs, sets, docs, size, percent), "links")
         links = more if links is None else links.union(more)
         roots = materialize(components(links), "roots")
+        shared = shared.drop("root")
     classes = described.join(roots, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root")
     )
