@@ -43,7 +43,9 @@ STEP = 16
 TILE = 2048
 #: Tiles of so few rows are compared one by one.
 SMALL_TILE = 12
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
+#: Hubs that a node is compared with in a round.
+HUBS = 3
 #: Hashes collected by a task before it passes on its counts.
 COUNT_ROWS = 1 << 21
 
@@ -77,12 +79,12 @@ def overlap(n: int) -> int:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """The parity of the number of hashes in each of 2^k cells, at least as many cells as hashes (to 16,384).
+    """The parity of the number of hashes in each of 2^k cells, at least four cells a hash (up to 65,536).
 
     Half as many cells are the exclusive or of both halves. Each cell in which two sets differ holds a
     hash that only one of them has.
     """
-    cells = min(max(256, 1 << (len(hashes) - 1).bit_length()), 16384)
+    cells = min(max(1024, 4 << (len(hashes) - 1).bit_length()), 65536)
     places = ((hashes >> np.uint64(20)) & np.uint64(cells - 1)).astype(np.int64)
     return np.packbits(np.bincount(places, minlength=cells) & 1, bitorder="little").tobytes()
 
@@ -245,7 +247,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, perce
 
 
 def _stars(shared: DataFrame, salt: int, percent: int) -> DataFrame:
-    """For each node, the hub that most of its hashes propose: a document of the hash in another component.
+    """For each node, the HUBS hubs that most of its hashes propose: a document of the hash in another component.
 
     At first a hash proposes the set with the fewest hashes before it: copies of a text have hashes of their own, which are
     rare and come first, and the text itself has not. Later it proposes any.
@@ -259,7 +261,9 @@ def _stars(shared: DataFrame, salt: int, percent: int) -> DataFrame:
         .groupBy("node", F.col("hub.node").alias("hub"))
         .agg(F.count("*").alias("times"))
     )
-    best = pairs.groupBy("node").agg(F.max_by("hub", F.struct("times", "hub")).alias("hub"))
+    # a node has no more hubs than prefix hashes
+    most = F.slice(F.sort_array(F.collect_list(F.struct("times", "hub")), asc=False), 1, HUBS)
+    best = pairs.groupBy("node").agg(most.alias("most")).select("node", F.explode("most.hub").alias("hub"))
     return best.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
