@@ -129,17 +129,36 @@ def log_metrics(spark, directory):
 # ---------------------------------------------------------------- audiences
 
 
-@query(_sql("SELECT user_id, prediction, probability, label FROM fx_scored"))
+_HASHED = "substr(md5(concat(user_id, '-42')), 1, 15), user_id"
+
+
+@query(_sql(f"""SELECT user_id, prediction, probability, label,
+   CAST(row_number() OVER (ORDER BY probability DESC, {_HASHED}) - 1 AS BIGINT) AS place FROM fx_scored"""))
 def audience_ranked(spark, directory):
-    return audience.ranked(_scored(spark, directory))
+    """The order itself is compared: rows are numbered as they are sorted."""
+    rows = audience.ranked(_scored(spark, directory))
+    return rows.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])).toDF(rows.schema.add("place", "long"))
+
 
+def _top_sql(view: str, n: int) -> str:
+    return f"""SELECT user_id, probability FROM {view} WHERE probability IS NOT NULL AND NOT isnan(probability)
+       ORDER BY probability DESC, {_HASHED} LIMIT {n}"""
 
-@query(_sql("SELECT user_id, probability FROM fx_scored ORDER BY probability DESC, user_id LIMIT 2000"))
+
+@query(_sql(_top_sql("fx_scored", 100)))
 def audience_top_n(spark, directory):
-    return audience.top_n(_scored(spark, directory).select("user_id", "probability"), 2000)
+    return audience.top_n(_scored(spark, directory).select("user_id", "probability"), 100)
 
 
-_HASHED = "substr(md5(concat(user_id, '-42')), 1, 15), user_id"
+_UNSCORED = """SELECT user_id, CASE WHEN user_id % 5 = 0 THEN NULL WHEN user_id % 7 = 0 THEN CAST('NaN' AS DOUBLE)
+   ELSE floor(probability * 4) / 4 END AS probability FROM {scored}"""
+
+
+@query(_sql(f", rough AS ({_UNSCORED.format(scored='fx_scored')}) " + _top_sql("rough", 100)))
+def audience_unscored(spark, directory):
+    """The cut among tied users where others have no score or NaN."""
+    rough = spark.sql(_UNSCORED, scored=_scored(spark, directory))
+    return audience.top_n(rough, 100)
 
 
 @query(_sql(f"""SELECT user_id, probability FROM

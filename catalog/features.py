@@ -13,7 +13,8 @@ from propensity.operators import traffic as ads
 from propensity.operators.cutoffs import cutoff
 from propensity.plans import rfm
 from propensity.plans.user_row import in_sample, user_row, user_rows
-from propensity.sources.tables import time_range, user_pull
+from propensity.session import use_utc
+from propensity.sources.tables import read_table, time_range, user_pull
 
 QUERIES, ORACLES, query = registry()
 
@@ -384,11 +385,12 @@ def feat_multi_cutoff(spark, directory):
     )
 
 
-def _bucket_sql(user: str, seed: int = 42) -> str:
-    return f"CAST('0x' || substr(md5(concat({user}, '-', {seed})), 1, 8) AS BIGINT) % 10000"
+def _share_sql(user: str, share: str, seed: int = 42) -> str:
+    hashed = f"CAST('0x' || substr(md5(concat({user}, '-', {seed})), 1, 15) AS BIGINT)"
+    return f"{hashed} < CAST(ceil(CAST({share} AS DECIMAL(18, 9)) * 1152921504606846976) AS HUGEINT)"
 
 
-@query(_both(_user_row_sql(CUTOFF, traffic_rows=f"WHERE {_bucket_sql('k.user_id')} < 2000")))
+@query(_both(_user_row_sql(CUTOFF, traffic_rows=f"WHERE {_share_sql('k.user_id', '0.2')}")))
 def sample_hash(spark, directory):
     """A reproducible share of users, cut before the shuffle; 20 % so that small data keeps rows."""
     return _row(spark, directory, CUTOFF, sample_percent=20)
@@ -401,7 +403,7 @@ def sample_random(spark, directory):
 
 
 @query(with_views(
-    f"""SELECT user_id FROM fx_traffic WHERE {_bucket_sql('user_id')} < 100 GROUP BY user_id""",
+    f"""SELECT user_id FROM fx_traffic WHERE {_share_sql('user_id', '0.01')} GROUP BY user_id""",
     "fx_traffic"))
 def sample_users(spark, directory):
     df = view(spark, directory, "fx_traffic")
@@ -501,3 +503,16 @@ def feat_time_diff_days(spark, directory):
     return seen.join(bought, "user_id", "left").select(
         "user_id", days_between(F.col("last_order"), F.col("last_event")).alias("time_diff_days")
     )
+
+
+_EXACT = """SELECT user_id, CAST(ts AS DATE) AS event_date_utc, 'order' AS event_subtype,
+   value / 1000 AS total_product_sales, 1 AS total_units_sold FROM {events} WHERE event_type = 'purchase'"""
+
+
+@query(f"""SELECT user_id, round(sum(total_product_sales), 6) AS revenue, sum(total_product_sales) > 0 AS paid
+   FROM ({_EXACT.format(events='events')}) GROUP BY user_id""")
+def feat_revenue_exact(spark, directory):
+    """Amounts below a cent are not cut before they are summed."""
+    orders = use_utc(spark).sql(_EXACT, events=read_table(spark, directory, "events"))
+    rows = rfm.purchase_summary(orders)
+    return rows.select("user_id", F.round("total_sales_value", 6).alias("revenue"), (F.col("total_sales_value") > 0).alias("paid"))

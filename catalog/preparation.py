@@ -171,7 +171,8 @@ def prep_stratified_split(spark, directory):
 
 
 @query(_train(_CLEAN + """SELECT user_id, target_col,
-   CAST('0x' || substr(md5(concat(user_id, '-42')), 1, 8) AS BIGINT) % 10000 < 2000 AS is_test FROM fx_clean"""))
+   CAST('0x' || substr(md5(concat(user_id, '-42')), 1, 15) AS BIGINT) < CAST(230584300921369396 AS BIGINT) AS is_test
+   FROM fx_clean"""))
 def prep_split_hash(spark, directory):
     df = balance.hash_split(_clean(spark, directory))
     return df.select("user_id", "target_col", "is_test")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 from pyspark.sql import Column, functions as F
 
 DAY = 86_400
@@ -35,8 +38,8 @@ def click_through_rate(clicks: Column, impressions: Column) -> Column:
 
 
 def money_sum(amount: Column) -> Column:
-    """Sum exactly as decimal, then give a double."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double")
+    """Sum amounts in their own type (decimals exactly, in their scale), then give a double."""
+    return F.sum(amount).cast("double")
 
 
 def only(rows: Column | None, value: Column) -> Column:
@@ -62,6 +65,11 @@ def hash_text(value: Column, seed: int, hex_digits: int) -> Column:
     return F.substring(digest, 1, hex_digits)
 
 
+def in_share(value: Column, share: float, seed: int) -> Column:
+    """Whether a value's 60-bit hash lies in the first ``share`` of all hashes; any share, however small, counts."""
+    return hash_number(value, seed) < F.lit(math.ceil(Fraction(str(share)) * 2**60))
+
+
 def hash_number(value: Column, seed: int, hex_digits: int = 15) -> Column:
     """The same prefix as a non-negative number."""
     return F.conv(hash_text(value, seed, hex_digits), 16, 10).cast("long")

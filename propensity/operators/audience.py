@@ -9,50 +9,46 @@ from pyspark.sql import DataFrame, functions as F
 
 from propensity.operators.ranking import at_or_before, hash_cuts, order_hash, values_at_ranks
 
-#: Audiences up to this size are kept sorted in memory by every task and by the driver.
-SORTED_ROWS = 100_000
 
 
-def ranked(scored: DataFrame, key: str = "user_id") -> DataFrame:
-    """All users, most likely first; a range-partitioned sort."""
-    return scored.orderBy(F.desc("probability"), key)
+def scored_only(scored: DataFrame) -> DataFrame:
+    """Users with a probability: a NULL or NaN is no score and is never ranked or selected."""
+    probability = F.col("probability")
+    return scored.where(probability.isNotNull() & ~F.isnan(probability.cast("double")))
 
 
-def top_n(scored: DataFrame, n: int = 2000, key: str = "user_id", seed: int = 42) -> DataFrame:
-    """The ``n`` most likely users.
+def ranked(scored: DataFrame, key: str = "user_id", seed: int = 42) -> DataFrame:
+    """All scored users, most likely first, ties by seeded hash and then key; a range-partitioned sort."""
+    return scored_only(scored).orderBy(F.desc("probability"), order_hash(F.col(key), seed), key)
 
-    Up to ``SORTED_ROWS`` each task keeps its own top n and the results are merged, ties going by
-    key; a larger audience is cut by threshold, ties going by seeded hash.
-    """
-    if n <= SORTED_ROWS:
-        return ranked(scored, key).limit(n)
-    known = scored.where(F.col("probability").isNotNull())
+
+def top_n(scored: DataFrame, n: int = 2000, key: str = "user_id", seed: int = 42) -> DataFrame:
+    """The ``n`` most likely users, or all scored ones if they are fewer; ties at the cut go by seeded hash, then key."""
+    known = scored_only(scored)
     size = known.count()
-    return _best(scored, known, size, min(n, size), key, seed)
+    return _best(known, size, min(n, size), key, seed)
 
 
 def above(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Users at or above a probability."""
-    return scored.where(F.col("probability") >= threshold)
+    return scored_only(scored).where(F.col("probability") >= threshold)
 
 
 def top_percent(scored: DataFrame, percent: float = 15, key: str = "user_id", seed: int = 42) -> DataFrame:
-    """The most likely ``percent`` of scored users, rounded up; ties at the cut go by seeded hash."""
-    known = scored.where(F.col("probability").isNotNull())
+    """The most likely ``percent`` of scored users, rounded up; ties at the cut as in ``top_n``."""
+    known = scored_only(scored)
     size = known.count()
-    return _best(scored, known, size, math.ceil(Fraction(str(percent)) * size / 100), key, seed)
+    return _best(known, size, math.ceil(Fraction(str(percent)) * size / 100), key, seed)
 
 
-def _best(
-    scored: DataFrame, known: DataFrame, size: int, wanted: int, key: str, seed: int
-) -> DataFrame:
-    """The ``wanted`` most likely of ``size`` users.
+def _best(known: DataFrame, size: int, wanted: int, key: str, seed: int) -> DataFrame:
+    """The ``wanted`` most likely of ``size`` scored users.
 
     The cut is found first, in a few narrow passes, so that the result is a filter of the scored
     table. Nothing is sorted as a whole, and any share of users may have the same probability.
     """
     if wanted == 0:
-        return scored.where(F.lit(False))
+        return known.where(F.lit(False))
     probability = F.col("probability")
     place = size - wanted + 1
     cut = values_at_ranks(known, {"probability": [place]}, {"probability": size})["probability", place]
@@ -61,8 +57,8 @@ def _best(
     ).first()
     room = wanted - sides.higher
     if room == sides.tied:
-        return scored.where(probability >= cut)
+        return known.where(probability >= cut)
     last = hash_cuts(known.where(probability == cut), F.lit(0), key, {0: [room]}, seed)[0, room]
     hashed = order_hash(F.col(key), seed)
     chosen_tie = (probability == cut) & at_or_before(hashed, F.col(key), last)
-    return scored.where((probability > cut) | chosen_tie)
+    return known.where((probability > cut) | chosen_tie)

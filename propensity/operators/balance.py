@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from propensity.functions.scalars import hash_number
+from propensity.functions.scalars import hash_number, in_share
 from propensity.operators.ranking import (
     at_or_before,
     hash_cuts,
@@ -58,8 +58,7 @@ def stratified_split(
 
 def hash_split(df: DataFrame, key: str = "user_id", test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``is_test`` by a hash threshold: shares are met on average, with no pass over the data."""
-    draw = F.pmod(hash_number(F.col(key), seed, 8), F.lit(10_000))
-    return df.withColumn("is_test", draw < int(round(test_size * 10_000)))
+    return df.withColumn("is_test", in_share(F.col(key), test_size, seed))
 
 
 def stratified_folds(
@@ -114,8 +113,11 @@ def oversample(df: DataFrame, label: str, key: str = "user_id", seed: int = 42)
 
     Classes of the largest size are kept once. Draws are generated in parallel. A class of at most
     ``BROADCAST_ROWS`` rows is sent to the draws; a larger one is joined on the drawn number, which
-    spreads evenly because draws are uniform over more than ``BROADCAST_ROWS`` numbers.
+    spreads evenly because draws are uniform over more than ``BROADCAST_ROWS`` numbers. A NULL label is
+    of no class: it is an error, as its rows would be lost.
     """
+    if not df.where(F.col(label).isNull()).isEmpty():
+        raise ValueError(f"'{label}' has NULLs: fill or drop them first")
     counts = class_counts(df, label)
     largest = max(counts.values())
     kept = [c for c, n in counts.items() if n == largest]

@@ -18,10 +18,9 @@ def _totals(inside: Column, rows: Column | None, suffix: str) -> list[Column]:
     def within(name: str, zero) -> Column:
         return only(rows, F.when(inside, F.col(name)).otherwise(zero))
 
-    nothing = F.lit(0).cast("decimal(18,2)")
     return [
         F.sum(within("conversions", 0)).alias(f"total_conversions_{suffix}"),
-        money_sum(within("total_product_sales", nothing)).alias(f"total_revenue_{suffix}"),
+        money_sum(within("total_product_sales", 0)).alias(f"total_revenue_{suffix}"),
         F.sum(within("total_units_sold", 0)).alias(f"total_quantity_{suffix}"),
     ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, functions as F
 
-from propensity.functions.scalars import ratio
+from propensity.functions.scalars import non_finite_to_null, ratio
 
 # The metric names looked for in logs, and the number that follows each.
 LOG_METRICS = (
@@ -79,12 +79,15 @@ def auc_of_predictions(counts: DataFrame) -> DataFrame:
 def auc_of_probabilities(
     scored: DataFrame, label: str = "label", probability: str = "probability"
 ) -> float:
-    """Exact ROC AUC, ties counted half; 0 when only one class is present.
+    """Exact ROC AUC, ties counted half; 0 when only one class is present or there are no rows.
+
+    As in ``confusion``, a missing label is negative; a missing score (NULL or NaN) is below all others.
 
     Scores are counted per distinct value and sorted in parallel; no bins are used.
     """
     pair = scored.select(
-        F.col(label).cast("double").alias("label"), F.col(probability).cast("double").alias("score")
+        F.coalesce(F.col(label) == 1, F.lit(False)).cast("double").alias("label"),
+        F.coalesce(non_finite_to_null(F.col(probability).cast("double")), F.lit(-1e300)).alias("score"),
     )
     sides = pair.agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
     if sides.low == sides.high:

@@ -29,7 +29,7 @@ def values_at_ranks(
 
     ``sizes`` are the numbers of non-NULL values. Columns must hold no NaN. Brackets come from an
     approximate percentile and are checked by exact counts; a bracket that misses its rank is
-    widened and tried again. Values that many rows share collapse map-side.
+    widened and tried again, at last to the true extremes. Values that many rows share collapse map-side.
     """
     found: dict[tuple[str, int], float] = {}
     pending = {c: [tuple(group) for group in _neighbours(ranks)] for c, ranks in wanted.items()}
@@ -44,6 +44,8 @@ def values_at_ranks(
         for i, (c, ranks, low, top) in enumerate(brackets):
             below, upto = counts[f"below{i}"], counts[f"upto{i}"]
             if not below < ranks[0] <= ranks[-1] <= upto:
+                if margin >= 1:
+                    raise ValueError(f"'{c}' has no {sizes[c]} comparable values: it holds NaN, or it changed meanwhile")
                 pending.setdefault(c, []).append(ranks)
             elif low == top:
                 found.update({(c, rank): low for rank in ranks})
@@ -66,7 +68,10 @@ def _neighbours(ranks: Sequence[int]) -> list[list[int]]:
 
 
 def _brackets(df, pending, sizes, margin, accuracy):
-    """``column, ranks, low, top`` per group of ranks, from one sketch per column."""
+    """``column, ranks, low, top`` per group of ranks, from one sketch per column, or its extremes."""
+    if margin >= 1:
+        ends = df.agg(*[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(pending) for f in (F.min, F.max)]).first()
+        return [(c, ranks, ends[f"min{i}"], ends[f"max{i}"]) for i, (c, groups) in enumerate(pending.items()) for ranks in groups]
     row = df.agg(
         *[
             F.percentile_approx(

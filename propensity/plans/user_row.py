@@ -10,10 +10,11 @@ meet the rest on the partitioning their own aggregation left, without another sh
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from propensity.functions.scalars import click_through_rate, hash_number, seconds_between
+from propensity.functions.scalars import click_through_rate, in_share, seconds_between
 from propensity.operators import clicks, conversions, traffic as ads
 from propensity.operators.cutoffs import HORIZONS, Cutoff, cutoff, snapshots
 from propensity.sources.tables import CONVERSIONS, TRAFFIC, conform
@@ -166,4 +167,4 @@ def user_rows(
 
 def in_sample(user: Column, percent: float, seed: int = 42) -> Column:
     """A reproducible share of users: the same users in every run, engine and partitioning."""
-    return F.pmod(hash_number(user, seed, 8), F.lit(10_000)) < int(round(percent * 100))
+    return in_share(user, Fraction(str(percent)) / 100, seed)

@@ -46,7 +46,7 @@ _ACCEPTED = {
     "timestamp": ((T.TimestampType, T.TimestampNTZType), "timestamp"),
     "date": ((T.DateType,), "date"),
     "integer": ((T.IntegralType,), "bigint"),
-    "money": ((T.DecimalType,), "decimal(18,2)"),
+    "money": ((T.DecimalType, T.FractionalType), "double"),
     "string": ((T.StringType,), "string"),
 }
 
