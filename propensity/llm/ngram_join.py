@@ -11,7 +11,8 @@ hash of the set). Two nodes link when the sizes of intersection and union are at
 3. A set with fewer than k hashes that any other set has links with nothing (``_shared``). Most sets end here.
 4. Documents that share such a hash are compared with one of them, the hub (``_stars``), and so copies
    of a text fall into one component in linear work. This repeats with other hubs.
-5. What still shares a hash across components is compared in full (``_tiled``): tiles of bounded size, bands
+5. What still shares a hash across components is compared in full (``_tiled``; first only the most alike pair of each two
+   components in a tile, which joins most of what is left): tiles of bounded size, bands
    of sizes within them, the places of the hash in both sets (what comes before the first common hash is not
    shared), and a bound from the number of differing bits of hashed bitmaps.
 6. Pairs left by the bound are decided by intersecting the sorted hash arrays (``_linked``), which are made
@@ -43,7 +44,7 @@ STEP = 16
 TILE = 2048
 #: Tiles of so few rows are compared one by one.
 SMALL_TILE = 12
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 #: Hubs that a node is compared with in a round.
 HUBS = 3
 #: Hashes collected by a task before it passes on its counts.
@@ -267,8 +268,11 @@ def _stars(shared: DataFrame, salt: int, percent: int) -> DataFrame:
     return best.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
 
 
-def _tiled(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across components, from tiles of the documents of a hash."""
+def _tiled(shared: DataFrame, sets: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Candidate pairs across components, from tiles of the documents of a hash.
+
+    With ``best``, only the pair of each two components whose bitmaps differ least: what does not link is met again without.
+    """
     runs = shared.groupBy("h").agg(F.min("n").alias("smallest"))
     # as in ``reachable``, for the smallest set of the hash: a row that can't meet it meets none
     reach = f"(n - at) * {100 + percent} >= {percent} * (n + greatest(smallest, n * {percent} / 100))"
@@ -289,13 +293,13 @@ def _tiled(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and row[:3] != held[0][:3]:
-                    found |= tile_pairs(held, percent)
+                    found |= tile_pairs(held, percent, best)
                     held = []
                 held.append(row)
             if len(found) > 1 << 16:
                 yield _pair_batch(found)
                 found = set()
-        yield _pair_batch(found | tile_pairs(held, percent))
+        yield _pair_batch(found | tile_pairs(held, percent, best))
 
     parts = rows.repartition("h", "p", "q").sortWithinPartitions("h", "p", "q", "n")
     return common.in_batches(parts, compare, "a long, b long", rows=4096).distinct()
@@ -315,13 +319,19 @@ def reachable(n, m, i, j, percent: int):
     return ((n - i) * (100 + percent) >= least) & ((m - j) * (100 + percent) >= least) & (100 * n >= percent * m) & (100 * m >= percent * n)
 
 
-def tile_pairs(rows: list[tuple], percent: int) -> set[tuple[int, int]]:
+def tile_pairs(rows: list[tuple], percent: int, best: bool = False) -> set[tuple[int, int]]:
     """Pairs of a tile's rows (h, p, q, n, node, root, own, at, bits), sorted by n, that may link.
 
     Bands are the sizes that share a bitmap width; a band meets itself and, on folded bitmaps, larger bands in reach.
+    ``best`` keeps the pair of each two roots with the fewest differing bits.
     """
     cross = rows and rows[0][1] != rows[0][2]
-    found = set()
+    found: dict[tuple[int, int], tuple[int, int, int]] = {}
+
+    def keep(a: int, b: int, r: int, s: int, differing: int) -> None:
+        at = (min(r, s), max(r, s)) if best else (min(a, b), max(a, b))
+        found[at] = min(found.get(at, (differing, a, b)), (differing, a, b))
+
     if len(rows) <= SMALL_TILE:
         for y in range(len(rows)):
             for x in range(y):
@@ -329,9 +339,10 @@ def tile_pairs(rows: list[tuple], percent: int) -> set[tuple[int, int]]:
                 if r == s or cross and o == p or not reachable(n, m, i, j, percent):
                     continue
                 width = min(len(u), len(v))
-                if may_link(n, m, int(np.bitwise_count(folded(u, width) ^ folded(v, width)).sum()), percent):
-                    found.add((max(a, b), min(a, b)))
-        return found
+                differing = int(np.bitwise_count(folded(u, width) ^ folded(v, width)).sum())
+                if may_link(n, m, differing, percent):
+                    keep(a, b, r, s, differing)
+        return {(max(a, b), min(a, b)) for _, a, b in found.values()}
     bands: dict[int, list[tuple]] = {}
     for r in rows:
         bands.setdefault(len(r[8]), []).append(r)
@@ -345,18 +356,19 @@ def tile_pairs(rows: list[tuple], percent: int) -> set[tuple[int, int]]:
             # rows of ``small`` by blocks, so that a tile takes some MB only
             for start in range(0, len(small[0]), 64):
                 n, node, root, own, at = (c[start : start + 64, None] for c in small[:5])
-                keep = (root != large[2]) & reachable(n, large[0], at, large[4], percent)
+                meet = (root != large[2]) & reachable(n, large[0], at, large[4], percent)
                 if cross:
-                    keep &= own != large[3]
-                x, y = np.nonzero(keep)
+                    meet &= own != large[3]
+                x, y = np.nonzero(meet)
                 differing = np.zeros(len(x), np.int64)
                 for word in range(small[5].shape[1]):
                     differing += np.bitwise_count(small[5][start + x, word] ^ large[5][y, word])
                 sizes = n[x, 0] + large[0][y]
                 near = (100 + percent) * (sizes - differing) >= 2 * percent * sizes
-                a, b = node[x[near], 0], large[1][y[near]]
-                found.update(zip(np.maximum(a, b).tolist(), np.minimum(a, b).tolist()))
-    return found
+                x, y, differing = x[near], y[near], differing[near]
+                for row in zip(node[x, 0].tolist(), large[1][y].tolist(), root[x, 0].tolist(), large[2][y].tolist(), differing.tolist()):
+                    keep(*row)
+    return {(max(a, b), min(a, b)) for _, a, b in found.values()}
 
 
 def _band(rows: list[tuple], width: int) -> tuple[np.ndarray, ...]:
@@ -380,15 +392,17 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     described = materialize(_described(docs, size, wanted), "described")
     sets = materialize(described.where("bits is not null").dropDuplicates(["node"]), "sets")
     links, roots = None, None
-    for step in range(STAR_ROUNDS + 1):
+    for step in range(STAR_ROUNDS + 2):
         rows = shared.withColumn("root", F.col("node"))
         if roots is not None:
             rows = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         # hashes that more than one component has
         split = rows.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
         shared = materialize(rows.join(split, "h").select("h", "node", "n", "at", "root"), "rooted")
-        last = step == STAR_ROUNDS
-        pairs = _tiled(shared, sets, percent) if last else _stars(shared, step, percent)
+        if step < STAR_ROUNDS:
+            pairs = _stars(shared, step, percent)
+        else:
+            pairs = _tiled(shared, sets, percent, best=step == STAR_ROUNDS)
         more = materialize(_linked(pairs, sets, docs, size, percent), "links")
         links = more if links is None else links.union(more)
         roots = materialize(components(links), "roots")
