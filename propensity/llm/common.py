@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +28,26 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once a session, if workers would not find them by their path."""
+    top = Path(__file__).resolve().parents[2]
+    found = [Path.cwd(), *(Path(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
+    if top in [p.resolve() for p in found] or getattr(spark.sparkContext, "_propensity_sent", False):
+        return
+    file = Path(os.path.realpath(tempfile.mkdtemp(prefix="propensity-"))) / "propensity.zip"
+    with zipfile.ZipFile(file, "w") as out:
+        for module in sorted((top / "propensity").rglob("*.py")):
+            out.write(module, module.relative_to(top))
+    spark.sparkContext.addPyFile(str(file))
+    spark.sparkContext._propensity_sent = True
+
+
 def in_batches(df: DataFrame, function: Callable[[Iterator], Iterator], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
     """``mapInArrow`` with small batches: a worker holds some hundred texts at once, however long the table.
 
     The setting is the session's; it is read when the result is run.
     """
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     return df.mapInArrow(function, schema)
 
