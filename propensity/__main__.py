@@ -55,12 +55,13 @@ def check(spark: SparkSession, args) -> None:
             report.show(truncate=False)
     result = checking.validate(checks["data"], args.label, drop=())
     result.folds.show()
+    print(f"Mean F1: {result.mean_f1:.4f}")
     _print_metrics(result.metrics)
 
 
 def train(spark: SparkSession, args) -> None:
     df = read_csv_directory(spark, args.input)
-    drop = (*cleaning.LABEL_SOURCES, *args.drop)
+    drop = (*cleaning.NOT_FEATURES, *args.drop)
     result = training.train(
         df, args.label, drop=drop, balancing=args.balancing, trees=args.trees, save_to=args.model
     )

@@ -23,7 +23,6 @@ from propensity.operators.ranking import (
 
 MAX_CLASSES = 100
 _HASH = "order_hash"
-BROADCAST_ROWS = 10_000
 
 
 def class_counts(df: DataFrame, label: str) -> dict[object, int]:
@@ -93,13 +92,14 @@ def _numbered(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Add ``draw``: 0, 1, 2 ... in hash order, without gaps.
 
     Rows are numbered inside each of 65,536 hash ranges; the table of range offsets has at most
-    that many rows, which bounds the broadcast.
+    that many rows, which bounds the broadcast. Rows that share a key go by a hash of the whole row, so that
+    a task computed again gives the same numbers.
     """
     offsets = ranges_before(df, F.lit(0), F.col(key), seed).select(
         "hash_range", (F.col("upto") - F.col("count")).alias("offset")
     )
     hashed = _hashed(df, key, seed).withColumn("hash_range", hash_range(F.col(_HASH)))
-    in_range = Window.partitionBy("hash_range").orderBy(_HASH, key)
+    in_range = Window.partitionBy("hash_range").orderBy(_HASH, key, F.xxhash64(*df.columns))
     return (
         hashed.withColumn("place", F.row_number().over(in_range) - 1)
         .join(F.broadcast(offsets), "hash_range")
@@ -111,10 +111,9 @@ def _numbered(df: DataFrame, key: str, seed: int) -> DataFrame:
 def oversample(df: DataFrame, label: str, key: str = "user_id", seed: int = 42) -> DataFrame:
     """Draw every smaller class with replacement up to the size of the largest.
 
-    Classes of the largest size are kept once. Draws are generated in parallel. A class of at most
-    ``BROADCAST_ROWS`` rows is sent to the draws; a larger one is joined on the drawn number, which
-    spreads evenly because draws are uniform over more than ``BROADCAST_ROWS`` numbers. A NULL label is
-    of no class: it is an error, as its rows would be lost.
+    Classes of the largest size are kept once. Draws are generated in parallel and joined on the drawn number.
+    Adaptive execution sends a class of few bytes to the draws; the draws of a larger one spread evenly, as they are
+    uniform over its numbers. A NULL label is of no class: it is an error, as its rows would be lost.
     """
     if not df.where(F.col(label).isNull()).isEmpty():
         raise ValueError(f"'{label}' has NULLs: fill or drop them first")
@@ -128,7 +127,5 @@ def oversample(df: DataFrame, label: str, key: str = "user_id", seed: int = 42)
                 F.pmod(hash_number(F.col("id"), seed), F.lit(n)).alias("draw")
             )
             numbered = _numbered(df.where(F.col(label) == value), key, seed)
-            if n <= BROADCAST_ROWS:
-                numbered = F.broadcast(numbered)
             parts.append(draws.join(numbered, "draw").select(*df.columns))
     return reduce(DataFrame.unionByName, parts)

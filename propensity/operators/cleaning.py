@@ -36,6 +36,8 @@ IDENTIFIERS = (
     "browser_family",
     "operating_system",
 )
+#: What training leaves out by default.
+NOT_FEATURES = (*LABEL_SOURCES, *IDENTIFIERS)
 
 
 def columns_of(df: DataFrame, *kinds: type[T.DataType]) -> list[str]:

@@ -63,8 +63,14 @@ def non_finite(df: DataFrame) -> DataFrame:
 
 
 def duplicates(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column; NULLs are equal to each other."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    """Rows that repeat an earlier row in every column; NULLs are equal to each other.
+
+    Digests of all rows are counted first, and only rows whose digest occurs twice are compared as a whole.
+    """
+    digest = F.xxhash64(*df.columns)
+    repeated = df.select(digest.alias("digest")).groupBy("digest").count().where("count > 1").select("digest")
+    rows = df.select(F.struct(*df.columns).alias("row"), digest.alias("digest")).join(repeated, "digest", "left_semi")
+    copies = rows.groupBy("row").agg(F.count(F.lit(1)).alias("copies"))
     extra = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
     return copies.agg(extra.alias("duplicated_rows"))
 

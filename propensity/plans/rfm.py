@@ -43,15 +43,23 @@ def engagement_events(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
 
 
 def engagement_summary(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
-    """Totals, distinct event times (not days) and distinct campaigns per user."""
+    """Totals, distinct event times (not days) and distinct campaigns per user.
+
+    Distinct times and (user, campaign) sums are reduced first and added up by user, so that no row is multiplied.
+    """
+    events = engagement_events(impressions, clicks)
+    campaigns = events.groupBy("user_id", "campaign_id").agg(
+        F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks")
+    )
+    times = events.select("user_id", "impression_dt_utc").distinct()
     return (
-        engagement_events(impressions, clicks)
+        campaigns.unionByName(times, allowMissingColumns=True)
         .groupBy("user_id")
         .agg(
             F.sum("impressions").alias("total_impressions"),
             F.sum("clicks").alias("total_clicks"),
-            F.count_distinct("impression_dt_utc").alias("active_days"),
-            F.count_distinct("campaign_id").alias("distinct_campaigns"),
+            F.count("impression_dt_utc").alias("active_days"),
+            F.count("campaign_id").alias("distinct_campaigns"),
         )
     )
 

@@ -20,13 +20,16 @@ class Trained:
 
 
 def prepare(
-    df: DataFrame, label: str, key: str = "user_id", drop: Sequence[str] = cleaning.LABEL_SOURCES,
+    df: DataFrame, label: str, key: str = "user_id", drop: Sequence[str] = cleaning.NOT_FEATURES,
     test_size: float = 0.2, seed: int = 42,
 ) -> DataFrame:
     """Clean, split and write out: ``key, label, features..., is_test``.
 
-    Columns the label was made from are dropped by default.
+    Columns the label was made from, and those that identify the user, are dropped by default. Rows without a ``key``
+    column are numbered as they are written out; which of them are for the test then depends on the layout of the input.
     """
+    if key not in df.columns:
+        df = df.withColumn(key, F.monotonically_increasing_id())
     cleaned = materialize(cleaning.clean(df, label, key, drop), "cleaned")
     split = balance.stratified_split(cleaned, label, key, test_size, seed)
     return materialize(split, "split", partition_by="is_test")
@@ -36,7 +39,7 @@ def train(
     df: DataFrame,
     label: str,
     key: str = "user_id",
-    drop: Sequence[str] = cleaning.LABEL_SOURCES,
+    drop: Sequence[str] = cleaning.NOT_FEATURES,
     balancing: str = "oversample",
     test_size: float = 0.2,
     seed: int = 42,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
@@ -53,9 +53,27 @@ def read_csv_directory(
     for header, path in zip(headers, paths):
         groups.setdefault(header, []).append(path)
     parts = [read_csv(spark, members, schema) for members in groups.values()]
-    return reduce(
+    if schema is None:
+        parts = _without_empty(parts)
+    united = reduce(
         lambda left, right: left.unionByName(right, allowMissingColumns=True), _widen(parts)
     )
+    names = dict.fromkeys(name for header in groups for name in header)
+    lost = [name for name in names if name not in united.columns]
+    return united.withColumns({name: F.lit(None).cast("string") for name in lost}).select(*names)
+
+
+def _without_empty(parts: list[DataFrame]) -> list[DataFrame]:
+    """Leave out text columns without a value where another group has numbers: they say nothing about the type."""
+    kinds = [dict(part.dtypes) for part in parts]
+    out = []
+    for part, own in zip(parts, kinds):
+        doubtful = [n for n, kind in own.items() if kind == "string" and any(k.get(n, kind) != kind for k in kinds)]
+        if doubtful:
+            filled = part.agg(*[F.count(F.col(f"`{n}`")).alias(f"n{i}") for i, n in enumerate(doubtful)]).first()
+            part = part.drop(*[n for i, n in enumerate(doubtful) if not filled[i]])
+        out.append(part)
+    return out
 
 
 def _widen(parts: list[DataFrame]) -> list[DataFrame]:

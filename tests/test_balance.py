@@ -76,10 +76,8 @@ def test_weights_balance_the_classes(frame):
     assert [r.w for r in rows] == [pytest.approx(1003 / 2)] * 2
 
 
-@pytest.mark.parametrize("broadcast_rows", [10_000, 10])
-def test_oversampling(frame, monkeypatch, broadcast_rows):
+def test_oversampling(spark, frame):
     """Both ways of joining give the same multiset; the largest class is kept once."""
-    monkeypatch.setattr(balance, "BROADCAST_ROWS", broadcast_rows)
     rows = balance.oversample(frame, "label").collect()
     counts = Counter(r.label for r in rows)
     assert counts == {0: 902, 1: 902}
@@ -87,8 +85,20 @@ def test_oversampling(frame, monkeypatch, broadcast_rows):
     original = {r.user_id: r.x for r in frame.collect()}
     assert all(original[r.user_id] == r.x for r in rows)
     drawn = Counter(r.user_id for r in rows if r.label == 1)
-    test_oversampling.seen = getattr(test_oversampling, "seen", drawn)
-    assert drawn == test_oversampling.seen and max(drawn.values()) > 1
+    assert max(drawn.values()) > 1
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = balance.oversample(frame.repartition(7), "label").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert Counter(r.user_id for r in shuffled if r.label == 1) == drawn
+
+
+def test_oversampling_numbers_rows_of_one_key_alike(spark):
+    df = spark.createDataFrame([("a", 0, x) for x in range(9)] + [("b", 1, x) for x in range(4)], "user_id string, label int, x int")
+    draws = [Counter(map(tuple, balance.oversample(df.repartition(n), "label").collect())) for n in (1, 5)]
+    assert draws[0] == draws[1]
 
 
 def test_balanced_classes_are_left_alone(spark):

@@ -48,5 +48,6 @@ def test_a_leak_makes_the_scores_suspicious(spark):
     result = validate(df, "y", trees=2, depth=3, folds=3)
     assert result.metrics.first().is_suspicious
     assert [r.f1 for r in result.folds.collect()] == [1.0] * 3
+    assert result.mean_f1 == 1.0
     honest = validate(df, "y", drop=["leak"], trees=2, depth=3, folds=3)
     assert not honest.metrics.first().is_suspicious

@@ -1,15 +1,11 @@
 """Scaling, label encoding and outliers."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from propensity.operators import encoding
 
 
-@pytest.mark.parametrize("limit", [100_000, 3])
-def test_label_codes_follow_the_order_of_values(spark, monkeypatch, limit):
-    """Sent to every task, or joined with salt when there are many categories."""
-    monkeypatch.setattr(encoding, "BROADCAST_CATEGORIES", limit)
+def test_label_codes_follow_the_order_of_values(spark):
     df = spark.range(5000).selectExpr("id", "IF(id % 3 = 0, 'hot', IF(id % 50 = 1, NULL, concat('v', id % 97))) AS c")
     codes = {v: i for i, v in enumerate(sorted({r.c for r in df.collect() if r.c is not None}))}
     rows = encoding.label_encode(df, "c", "code").collect()
@@ -23,6 +19,15 @@ def test_standard_scores(spark):
     assert rows == [(-1.0, 0.0), (0.0, 0.0), (1.0, 0.0), (None, None)]
 
 
+def test_codes_and_moments_of_another_frame(spark):
+    train = spark.createDataFrame([("b", 1.0), ("a", 3.0)], "c string, x double")
+    new = spark.createDataFrame([("a", 2.0), ("z", 4.0), (None, None)], "c string, x double")
+    rows = encoding.with_codes(new, "c", encoding.categories(train, "c"), "code").collect()
+    assert {r.c: r.code for r in rows} == {"a": 0, "z": None, None: None}
+    scaled = encoding.standardize(new, ["x"], encoding.moments(train, ["x"])).collect()
+    assert [r.x for r in scaled] == [0.0, 2 / 2**0.5, None]
+
+
 def test_outliers(spark):
     df = spark.range(100).select(F.when(F.col("id") == 7, 1000.0).otherwise(F.col("id") % 3).alias("a"))
     rows = encoding.anomalies(df, ["a"]).where("is_anomaly").collect()

@@ -44,6 +44,14 @@ def test_mixed_text_and_numbers_become_text(spark, tmp_path):
     assert sorted((r.k, r.v) for r in df.collect()) == [(1, "2"), (2, "word")]
 
 
+def test_an_empty_column_does_not_decide_the_type(spark, tmp_path):
+    _write(tmp_path, "a.csv", "k,f,e\n1,2.5,\n")
+    _write(tmp_path, "b.csv", "f,k,e\n,2,\n")
+    df = csv_files.read_csv_directory(spark, str(tmp_path))
+    assert dict(df.dtypes) == {"k": "int", "f": "double", "e": "string"}
+    assert sorted(tuple(r) for r in df.collect()) == [(1, 2.5, None), (2, None, None)]
+
+
 def test_single_file(spark, folder):
     df = csv_files.read_csv(spark, str(folder / "a.csv"), {"x": "bigint"})
     assert dict(df.dtypes) == {"user_id": "string", "x": "bigint", "y": "string"}

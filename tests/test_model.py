@@ -100,3 +100,9 @@ def test_bad_requests_fail_early(frame):
         training.train(frame, "nowhere")
     with pytest.raises(ValueError, match="balancing"):
         training.train(frame, "high_potential", balancing="guess")
+
+
+def test_training_without_a_key(spark, frame):
+    without = frame.drop("user_id").withColumn("dma_code", F.lit(7) + F.col("high_potential"))
+    result = training.train(without, "high_potential", trees=2, depth=2)
+    assert result.test.count() > 0 and "dma_code" not in result.test.columns

@@ -43,6 +43,12 @@ def test_duplicates_compare_missing_values_as_equal(odd):
     assert quality.duplicates(odd.limit(0)).first().duplicated_rows == 0
 
 
+def test_rows_of_one_digest_are_compared_as_a_whole(spark):
+    """A NULL leaves the digest as it is, so these rows share one."""
+    df = spark.createDataFrame([(None, 1), (1, None), (1, None), (2, 2)], "a int, b int")
+    assert quality.duplicates(df).first().duplicated_rows == 1
+
+
 def test_label_distribution_leaves_out_missing(odd):
     assert {r.label: r.n for r in quality.label_distribution(odd, "y").collect()} == {0: 1, 1: 3}
 
