@@ -1,14 +1,22 @@
 """Scaling, label encoding and outliers."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from propensity.operators import encoding
 
 
-def test_label_codes_follow_the_order_of_values(spark):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_label_codes_follow_the_order_of_values(spark, threshold):
+    """Broadcast and shuffled joins."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     df = spark.range(5000).selectExpr("id", "IF(id % 3 = 0, 'hot', IF(id % 50 = 1, NULL, concat('v', id % 97))) AS c")
     codes = {v: i for i, v in enumerate(sorted({r.c for r in df.collect() if r.c is not None}))}
-    rows = encoding.label_encode(df, "c", "code").collect()
+    try:
+        rows = encoding.label_encode(df, "c", "code").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(rows) == 5000
     assert all(r.code == (None if r.c is None else codes[r.c]) for r in rows)
 
