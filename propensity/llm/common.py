@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -70,15 +71,73 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def gram_hashes(tokens: list[bytes], size: int) -> np.ndarray:
-    """A 64-bit hash for each run of ``size`` tokens, in order; none if there are fewer tokens."""
-    if len(tokens) < size:
+#: Bytes whose words are hashed at once: the arrays stay in cache, and small for very long texts.
+PIECE = 1 << 16
+#: Longer words are hashed one by one.
+LONG_WORD = 64
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_VALUES = mixed(np.arange(1, 257, dtype=np.uint64))
+_VALUES[65:91] = _VALUES[97:123]
+_BASE = 0xD6E8FEB86659FD93
+#: Odd factors of the words of an n-gram, by place.
+_FACTORS = mixed(np.arange(257, 273, dtype=np.uint64)) | np.uint64(1)
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    out = np.full(count, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_UP, _DOWN = _powers(_BASE, 2 * PIECE), _powers(pow(_BASE, -1, 1 << 64), 2 * PIECE)
+
+
+def pieces(raw: bytes) -> Iterator[tuple[int, bytes]]:
+    """``raw`` cut before white space, about every PIECE bytes: (offset, part)."""
+    at = 0
+    while len(raw) - at > PIECE:
+        found = _SPACE.search(raw, at + PIECE)
+        end = found.start() if found else len(raw)
+        yield at, raw[at:end]
+        at = end
+    yield at, raw[at:]
+
+
+def hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of each of ``words(raw)``, without a Python object a word.
+
+    A word's hash is a polynomial over its bytes, read off cumulated sums, and then mixed. Long words, of which a
+    polynomial modulo 2^64 may confuse some, are hashed as a whole.
+    """
+    hashes, places = [], []
+    for at, part in pieces(raw):
+        data = np.frombuffer(part, np.uint8)
+        up, down = (_UP, _DOWN) if len(data) <= len(_UP) else (_powers(_BASE, len(data)), _powers(pow(_BASE, -1, 1 << 64), len(data)))
+        space = np.ones(len(data) + 2, bool)
+        space[1:-1] = _IS_SPACE[data]
+        edges = np.flatnonzero(space[1:] != space[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])
+        each = mixed((sums[ends] - sums[starts]) * down[starts])
+        for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            each[i] = xxhash.xxh3_64_intdigest(part[starts[i] : ends[i]].lower())
+        hashes.append(each)
+        places.append(starts + at)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def gram_hashes(each: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash for each run of ``size`` (at most 16) word hashes, in order; none if there are fewer."""
+    last = len(each) - size + 1
+    if last < 1:
         return np.empty(0, np.uint64)
-    each, last = word_hashes(tokens), len(tokens) - size + 1
     total = np.zeros(last, np.uint64)
     for i in range(size):
-        total = mixed(total + each[i : i + last])
-    return total
+        total += each[i : i + last] * _FACTORS[i]
+    return mixed(total)
 
 
 def remainder(key: str, modulus: int):

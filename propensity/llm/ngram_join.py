@@ -5,7 +5,7 @@ hash of the set). Two nodes link when the sizes of intersection and union are at
 
 1. ``_counts``: how often each hash of a fixed part of the hash space occurs. Hashes of more than ``HOT``
    sets go into a bit array. All sets are ordered alike: hashes seen to be rare first, hot ones last.
-2. ``_prefixes``: two linked sets of n hashes share at least k of their first n - ceil(n percent / 100) + k hashes in any
+2. ``_scanned``, ``_prefixes``: two linked sets of n hashes share at least k of their first n - ceil(n percent / 100) + k hashes in any
    common order, so only these are shuffled, with k growing with n (``overlap``). With the rare first, a passage that many
    documents share brings no documents together, unless most of their text is shared.
 3. A set with fewer than k hashes that any other set has links with nothing (``_shared``). Most sets end here.
@@ -51,12 +51,43 @@ HUBS = 3
 COUNT_ROWS = 1 << 21
 
 
+def shingle_sets(texts: list[bytes | None], size: int) -> Iterator[np.ndarray]:
+    """Of each text, its sorted distinct n-gram hashes; fewer words are one n-gram of their own; no word, no n-gram.
+
+    Short texts are hashed together, up to a piece of bytes.
+    """
+    held, length = [], 0
+    for text in texts:
+        text = text or b""
+        if held and length + len(text) > common.PIECE:
+            yield from _sets(held, size)
+            held, length = [], 0
+        held.append(text)
+        length += len(text) + 1
+    if held:
+        yield from _sets(held, size)
+
+
+def _sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
+    tokens, starts = common.hashed_words(b" ".join(texts))
+    offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    bounds = np.searchsorted(starts, offsets).tolist()
+    grams = common.gram_hashes(tokens, size)
+    for start, end in zip(bounds, bounds[1:]):
+        if end - start >= size:
+            found = np.sort(grams[start : end - size + 1])
+            new = np.ones(len(found), bool)
+            np.not_equal(found[1:], found[:-1], out=new[1:])
+            yield found[new]
+        elif end > start:
+            yield np.array([xxhash.xxh3_64_intdigest(tokens[start:end].tobytes(), seed=end - start)], np.uint64)
+        else:
+            yield np.empty(0, np.uint64)
+
+
 def shingles(text: bytes | None, size: int) -> np.ndarray:
-    """Sorted distinct n-gram hashes; fewer words are one n-gram of their own; no word, no n-gram."""
-    tokens = common.words(text)
-    if 0 < len(tokens) < size:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(tokens), seed=len(tokens))], np.uint64)
-    return np.unique(common.gram_hashes(tokens, size))
+    """The set of one text."""
+    return next(shingle_sets([text], size))
 
 
 def node_of(hashes: np.ndarray) -> int:
@@ -67,10 +98,12 @@ def node_of(hashes: np.ndarray) -> int:
 def prefix(hashes: np.ndarray, hot: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The first hashes in the common order, as many as two linked sets can't both miss; which are hot."""
     n = len(hashes)
-    counted = hashes < np.uint64(int(COUNTED * 2**64))
-    is_hot = counted & common.maybe_in(hot, _bucket(hashes))
-    rank = np.where(is_hot, 2, np.where(counted, 0, 1))
-    first = np.argsort(rank, kind="stable")[: n - -(-n * percent // 100) + overlap(n)]
+    counted = int(np.searchsorted(hashes, np.uint64(int(COUNTED * 2**64))))
+    is_hot = np.zeros(n, bool)
+    is_hot[:counted] = common.maybe_in(hot, _bucket(hashes[:counted]))
+    rest = np.arange(counted, n)
+    first = np.concatenate([np.flatnonzero(~is_hot[:counted]), rest, np.flatnonzero(is_hot)])
+    first = first[: n - -(-n * percent // 100) + overlap(n)]
     return hashes[first], is_hot[first]
 
 
@@ -119,11 +152,10 @@ def _counts(docs: DataFrame, size: int) -> DataFrame:
     def count(batches: Iterator) -> Iterator:
         seen, held, rows = set(), [], 0
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                hashes = shingles(text, size)
+            for hashes in shingle_sets(batch.column(0).cast(pa.binary()).to_pylist(), size):
                 if len(hashes) and (node := node_of(hashes)) not in seen:
                     seen.add(node)
-                    held.append(hashes[hashes < top])
+                    held.append(hashes[: np.searchsorted(hashes, top)])
                     rows += len(held[-1])
             if rows > COUNT_ROWS:
                 yield tell(held)
@@ -134,27 +166,41 @@ def _counts(docs: DataFrame, size: int) -> DataFrame:
     return common.in_batches(docs.select("text"), count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def _prefixes(docs: DataFrame, size: int, percent: int, hot) -> DataFrame:
-    """(h, node, n, at) of each prefix hash that another set may have; ``at`` hashes of the set come before it. 48 bits of a hash are enough to find who shares it."""
+def _scanned(docs: DataFrame, size: int, percent: int, hot) -> DataFrame:
+    """(doc_id, node, n, first, cold) of each document; once a task and node, ``first`` is the prefix, whose hashes from ``cold`` on are hot.
+
+    48 bits of a hash are enough to find who shares it.
+    """
 
     def emit(batches: Iterator) -> Iterator:
         seen = set()
         for batch in batches:
-            out = []
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                hashes = shingles(text, size)
-                if len(hashes) and (node := node_of(hashes)) not in seen:
+            nodes, sizes, firsts, colds = [], [], [], []
+            for hashes in shingle_sets(batch.column(1).cast(pa.binary()).to_pylist(), size):
+                node = node_of(hashes) if len(hashes) else None
+                first, cold = np.empty(0, np.uint64), 0
+                if node is not None and node not in seen:
                     seen.add(node)
                     first, is_hot = prefix(hashes, hot.value, percent)
-                    k = len(first)
-                    spread = np.where(is_hot, 1 + (node & 15), 0).astype(np.int32)
-                    sizes, places = np.full(k, len(hashes), np.int32), np.arange(k, dtype=np.int32)
-                    out.append((common.signed(first >> np.uint64(16)), np.full(k, node), sizes, places, spread))
-            if out:
-                columns = [pa.array(np.concatenate(x)) for x in zip(*out)]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "node", "n", "at", "spread"])
-
-    found = common.in_batches(docs.select("text"), emit, "h long, node long, n int, at int, spread int")
+                    cold = len(first) - int(is_hot.sum())
+                nodes.append(node)
+                sizes.append(len(hashes))
+                firsts.append(first >> np.uint64(16))
+                colds.append(cold)
+            offsets = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
+            values = common.signed(np.concatenate([np.empty(0, np.uint64), *firsts]))
+            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
+            columns += [pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)), pa.array(colds, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "first", "cold"])
+
+    key = docs.schema["doc_id"].dataType.simpleString()
+    return common.in_batches(docs.select("doc_id", "text"), emit, f"doc_id {key}, node long, n long, first array<long>, cold int")
+
+
+def _prefixes(scanned: DataFrame) -> DataFrame:
+    """(h, node, n, at) of each prefix hash that another set may have; ``at`` hashes of the set come before it."""
+    found = scanned.select("node", F.col("n").cast("int").alias("n"), "cold", F.posexplode("first").alias("at", "h"))
+    found = found.select("h", "node", "n", "at", F.expr("if(at >= cold, int(1 + (node & 15)), 0)").alias("spread"))
     # the documents of a hot hash are spread over tasks, which don't see all of them; copies in other tasks repeat a row
     other = "spread > 0 or min(node) over (partition by h, spread) <> max(node) over (partition by h, spread)"
     found = found.withColumn("other", F.expr(other)).where("other")
@@ -168,47 +214,28 @@ def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
     return prefixes.join(enough.select("node"), "node", "left_semi")
 
 
-def _described(docs: DataFrame, size: int, wanted) -> DataFrame:
-    """Each document's node and size; for wanted nodes, once a task, also the bitmap."""
-
-    def describe(batches: Iterator) -> Iterator:
-        seen = set()
-        for batch in batches:
-            nodes, sizes, maps = [], [], []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                hashes = shingles(text, size)
-                node = node_of(hashes) if len(hashes) else None
-                new = node is not None and node not in seen
-                new = new and bool(common.maybe_in(wanted.value, np.array([node], np.int64).view(np.uint64))[0])
-                if new:
-                    seen.add(node)
-                nodes.append(node)
-                sizes.append(len(hashes))
-                maps.append(bitmap(hashes) if new else None)
-            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "bits"])
-
+def _remade(docs: DataFrame, size: int, ids: DataFrame, nodes: DataFrame, name: str, make) -> DataFrame:
+    """(doc_id, node, n, ``name``) of the given nodes, made from the texts of the documents ``ids`` that stand for them."""
+    wanted = docs.sparkSession.sparkContext.broadcast(common.filter_bits(ids.select(F.xxhash64("doc_id").alias("h")), "h"))
     key = docs.schema["doc_id"].dataType.simpleString()
-    return common.in_batches(docs.select("doc_id", "text"), describe, f"doc_id {key}, node long, n long, bits binary")
-
-
-def _arrays(docs: DataFrame, size: int, sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, hashes) of the given nodes, from the document that stands for each."""
-    known = sets.join(nodes, "node", "left_semi").select(F.xxhash64("doc_id").alias("h"))
-    wanted = docs.sparkSession.sparkContext.broadcast(common.filter_bits(known, "h"))
 
     def run(batches: Iterator) -> Iterator:
         seen = set()
         for batch in batches:
-            ids = batch.column(1).to_numpy().view(np.uint64)
-            mine = pa.array(common.maybe_in(wanted.value, ids))
-            found = [shingles(t, size) for t in batch.column(0).filter(mine).cast(pa.binary()).to_pylist()]
-            each = {node_of(h): h.tobytes() for h in found if len(h)}
-            each = {k: v for k, v in each.items() if k not in seen}
-            seen.update(each)
-            yield pa.RecordBatch.from_arrays([pa.array(list(each), pa.int64()), pa.array(list(each.values()), pa.binary())], ["node", "hashes"])
-
-    told = common.in_batches(docs.select("text", F.xxhash64("doc_id").alias("h")), run, "node long, hashes binary")
+            mine = pa.array(common.maybe_in(wanted.value, batch.column(2).to_numpy().view(np.uint64)))
+            kept = batch.filter(mine)
+            found, rows, made = [], [], []
+            for row, hashes in enumerate(shingle_sets(kept.column(1).cast(pa.binary()).to_pylist(), size)):
+                if len(hashes) and (node := node_of(hashes)) not in seen:
+                    seen.add(node)
+                    found.append((node, len(hashes)))
+                    rows.append(row)
+                    made.append(make(hashes))
+            told = np.array(found, np.int64).reshape(-1, 2)
+            columns = [kept.column(0).take(pa.array(rows, pa.int64())), pa.array(told[:, 0]), pa.array(told[:, 1]), pa.array(made, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", name])
+
+    told = common.in_batches(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")), run, f"doc_id {key}, node long, n long, {name} binary")
     return told.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -243,7 +270,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, perce
     nodes = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
     if nodes.isEmpty():
         return left
-    arrays = materialize(_arrays(docs, size, sets, nodes), "arrays")
+    ids = sets.join(nodes, "node", "left_semi")
+    arrays = materialize(_remade(docs, size, ids, nodes, "hashes", np.ndarray.tobytes), "arrays")
     return common.in_batches(beside(left, arrays, "hashes"), exact, "a long, b long")
 
 
@@ -386,11 +414,12 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     session = docs.sparkSession
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     hot = session.sparkContext.broadcast(common.filter_bits(_counts(docs, size).where(F.col("n") > HOT), "h"))
-    prefixes = materialize(_prefixes(docs, size, percent, hot), "prefixes")
+    scanned = materialize(_scanned(docs, size, percent, hot), "scanned")
+    prefixes = materialize(_prefixes(scanned), "prefixes")
     shared = materialize(_shared(prefixes, percent), "shared")
-    wanted = session.sparkContext.broadcast(common.filter_bits(shared.select("node").distinct(), "node"))
-    described = materialize(_described(docs, size, wanted), "described")
-    sets = materialize(described.where("bits is not null").dropDuplicates(["node"]), "sets")
+    nodes = materialize(shared.select("node").distinct(), "nodes")
+    ids = scanned.where("size(first) > 0").join(nodes, "node", "left_semi")
+    sets = materialize(_remade(docs, size, ids, nodes, "bits", bitmap), "sets")
     links, roots = None, None
     for step in range(STAR_ROUNDS + 2):
         rows = shared.withColumn("root", F.col("node"))
@@ -407,7 +436,7 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         links = more if links is None else links.union(more)
         roots = materialize(components(links), "roots")
         shared = shared.drop("root")
-    classes = described.join(roots, "node", "left").select(
+    classes = scanned.join(roots, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root")
     )
     least = classes.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))

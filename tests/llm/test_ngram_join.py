@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from propensity.llm import components, ngram_join as join
+from propensity.llm import common, components, ngram_join as join
 from tests.llm.fixtures import components as plain, frame, sentence, texts
 
 ORDER = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
@@ -49,9 +49,9 @@ def test_bitmaps_bound_the_difference():
 
 def test_tiles_keep_every_pair_that_links():
     draw, rows, sets = np.random.default_rng(2), [], {}
-    common = np.unique(draw.integers(0, 2**63, 300, np.uint64))
+    shared = np.unique(draw.integers(0, 2**63, 300, np.uint64))
     for node in range(40):
-        keep = common[draw.random(300) > draw.random() * 0.3]
+        keep = shared[draw.random(300) > draw.random() * 0.3]
         sets[node] = np.unique(np.concatenate([keep, draw.integers(0, 2**63, draw.integers(0, 60), np.uint64)]))
     for node, x in sorted(sets.items(), key=lambda s: len(s[1])):
         rows.append((1, 0, 0, len(x), node, node, 0, 0, join.bitmap(x)))
@@ -65,3 +65,29 @@ def test_tiles_keep_every_pair_that_links():
 def test_components_of_a_chain(spark):
     links = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.sql("SELECT 90L, 90L"))
     assert {tuple(r) for r in components.components(links).collect()} == {(i, 0) for i in range(41)}
+
+
+def test_hashed_words_are_the_words(monkeypatch):
+    monkeypatch.setattr(common, "PIECE", 40)
+    draw = random.Random(3)
+    alphabet = [b"a", b"B", b"b", b" ", b"\t", b"\x0b", "é".encode(), " ".encode(), b"\x1f", b"x" * 70, b"x" * 71, b"y" * 300000]
+    names: dict[int, bytes] = {}
+    for size in (0, 1, 5, 60, 200, 200):
+        raw = b"".join(draw.choice(alphabet) for _ in range(size))
+        hashes, starts = common.hashed_words(raw)
+        tokens = common.words(raw)
+        assert len(hashes) == len(starts) == len(tokens)
+        for value, start, token in zip(hashes.tolist(), starts.tolist(), tokens):
+            assert raw[start : start + len(token)].lower() == token
+            assert names.setdefault(value, token) == token
+    assert len(set(names.values())) == len(names)
+
+
+def test_sets_of_texts_hashed_together_are_those_of_each(monkeypatch):
+    monkeypatch.setattr(common, "PIECE", 300)
+    every = [t.encode() if t is not None else None for _, t in texts()]
+    alone = [join.shingles(t, 5) for t in every]
+    for got, expected, text in zip(join.shingle_sets(every, 5), alone, every, strict=True):
+        words = common.words(text)
+        grams = {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)} - {()}
+        assert got.tolist() == expected.tolist() == sorted(set(got.tolist())) and len(got) == len(grams)
