@@ -22,6 +22,13 @@ def _stars(links: DataFrame, large: bool) -> DataFrame:
     return out.toDF("a", "b").where("a != b").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether ``links`` are stars: each ``a`` has one ``b``, and no ``b`` is an ``a``."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(links.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node in ``links`` (a, b: longs); root is the smallest node it reaches.
 
@@ -29,10 +36,7 @@ def components(links: DataFrame) -> DataFrame:
     so a lost executor costs one step. The number of steps grows with the logarithm of the nodes.
     """
     links = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    before = None
     while True:
         links = materialize(_stars(_stars(links, True), False), "components")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        if _settled(links):
             return links.toDF("node", "root").union(links.select("b", "b").distinct())
-        before = now

@@ -420,7 +420,7 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     nodes = materialize(shared.select("node").distinct(), "nodes")
     ids = scanned.where("size(first) > 0").join(nodes, "node", "left_semi")
     sets = materialize(_remade(docs, size, ids, nodes, "bits", bitmap), "sets")
-    links, roots = None, None
+    roots = None
     for step in range(STAR_ROUNDS + 2):
         rows = shared.withColumn("root", F.col("node"))
         if roots is not None:
@@ -433,9 +433,9 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         else:
             pairs = _tiled(shared, sets, percent, best=step == STAR_ROUNDS)
         more = materialize(_linked(pairs, sets, docs, size, percent), "links")
-        links = more if links is None else links.union(more)
-        roots = materialize(components(links), "roots")
         shared = shared.drop("root")
+        # what is known goes on as one link a node
+        roots = materialize(components(more if roots is None else more.union(roots)), "roots")
     classes = scanned.join(roots, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root")
     )
