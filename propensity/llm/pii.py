@@ -7,15 +7,16 @@ discloses an entity if that share reaches ``DISCLOSES`` and the two occur togeth
 one passage prove nothing). Every occurrence of a disclosing term is a span of kind ``term``; it is removed if the
 share reaches ``REMOVES``, else generalised to a placeholder.
 
-Both counts come from shuffles of (term, entity) and of (term, place). Terms that can't reach the share, as they lie
-near other entities too often, are left out before their occurrences are searched; the search is by a bit array
-of fixed size and checked by a join.
+Both counts come from shuffles of (term, entity) and of (term, place). An occurrence counts once for each entity it is near,
+however many mentions of it are, and once in the total. Terms whose occurrences near any entity are already too many
+for the share are left out before all their occurrences are searched; the search is by a bit array of fixed size and checked by a join.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
+_WORD = re.compile(r"\S+")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -89,25 +91,44 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def around(text: str, start: int, end: int) -> list[str]:
-    """Terms of the WINDOW words before and after a span; words cut off by REACH are left out."""
+def around(text: str, start: int, end: int) -> list[tuple[str, int]]:
+    """Terms of the WINDOW words before and after a span, and where each begins; words cut off by REACH are left out."""
     low, high = max(0, start - REACH), min(len(text), end + REACH)
-    before, after = text[low:start].split(), text[end:high].split()
-    if low and before and not text[low - 1].isspace() and not text[low].isspace():
+    before, after = list(_WORD.finditer(text, low, start)), list(_WORD.finditer(text, end, high))
+    if low and before and before[0].start() == low and not text[low - 1].isspace():
         before = before[1:]
-    if high < len(text) and after and not text[high - 1].isspace() and not text[high].isspace():
+    if high < len(text) and after and after[-1].end() == high and not text[high].isspace():
         after = after[:-1]
-    return [m.group().lower() for w in (*before[-WINDOW:], *after[:WINDOW]) for m in _TERM.finditer(w)]
+    return [(m.group().lower(), m.start()) for w in (*before[-WINDOW:], *after[:WINDOW]) for m in _TERM.finditer(text, *w.span())]
 
 
 def _hash(text: str) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(text)).astype(np.int64))
 
 
+def _near(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
+    rows, seen = [], set()
+    for k, a, b in spans:
+        terms = around(text, a, b)
+        entity, context = _hash(f"{k}:{text[a:b].lower()}"), _hash(" ".join(t for t, _ in terms))
+        times = dict.fromkeys(sorted({t for t, _ in terms}), 0)
+        for t, at in terms:
+            times[t] += (entity, at) not in seen
+            seen.add((entity, at))
+        rows += [{"entity": entity, "term": t, "context": context, "times": n} for t, n in times.items()]
+        anywhere = Counter(t for t, at in terms if (None, at) not in seen)
+        seen.update((None, at) for _, at in terms)
+        rows += [{"entity": None, "term": t, "context": None, "times": n} for t, n in anywhere.items()]
+    return rows
+
+
 def _base(docs: DataFrame) -> DataFrame:
-    """Each row's base spans, and the terms around them."""
+    """Each row's base spans, and the terms around them: how many occurrences a mention adds to those of its entity.
+
+    A null entity stands for any: the term's occurrences near one or more.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("context", pa.int64())]))
+    near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("context", pa.int64()), ("times", pa.int64())]))
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -119,18 +140,13 @@ def _base(docs: DataFrame) -> DataFrame:
                 kinds.append([k for k, _, _ in spans])
                 starts.append([a for _, a, _ in spans])
                 ends.append([b for _, _, b in spans])
-                rows = []
-                for k, a, b in spans:
-                    terms = around(text, a, b)
-                    entity, context = _hash(f"{k}:{text[a:b].lower()}"), _hash(" ".join(terms))
-                    rows += [{"entity": entity, "term": t, "context": context} for t in sorted(set(terms))]
-                nears.append(rows)
+                nears.append(_near(text, spans))
             columns = [batch.column(0), pa.array(places, pa.int64()), pa.array(kinds, pa.list_(pa.string()))]
             columns += [pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())), pa.array(nears, near)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "kinds", "starts", "ends", "near"])
 
     schema = f"doc_id {kind}, place long, kinds array<string>, starts array<long>, ends array<long>"
-    return common.in_batches(docs, run, schema + ", near array<struct<entity: long, term: string, context: long>>")
+    return common.in_batches(docs, run, schema + ", near array<struct<entity: long, term: string, context: long, times: long>>")
 
 
 def _occurrences(docs: DataFrame, wanted) -> DataFrame:
@@ -159,11 +175,13 @@ def _disclosing(docs: DataFrame, base: DataFrame) -> DataFrame:
     """(doc_id, place, terms): spans of disclosing terms and whether to remove them, by row."""
     near = base.select(F.explode("near").alias("n")).select("n.*")
     # first by context, so that neither copies nor a frequent term meet in one task
-    pairs = near.groupBy("entity", "term", "context").agg(F.count("*").alias("times"))
+    pairs = near.groupBy("entity", "term", "context").agg(F.sum("times").alias("times"))
     pairs = pairs.groupBy("entity", "term").agg(F.sum("times").alias("times"), F.count("*").alias("contexts"))
     pairs = materialize(pairs, "pairs")
-    apart = pairs.groupBy("term").agg(F.sum("times").alias("any"))
-    likely = pairs.where(F.col("contexts") >= SUPPORT).join(apart, "term").where(F.col("times") >= DISCLOSES * F.col("any"))
+    # a term's occurrences near any entity are not more than all of them
+    apart = pairs.where("entity is null").select("term", F.col("times").alias("any"))
+    likely = pairs.where("entity is not null").where(F.col("contexts") >= SUPPORT)
+    likely = likely.join(apart, "term").where(F.col("times") >= DISCLOSES * F.col("any"))
     likely = materialize(likely.groupBy("term").agg(F.max("times").alias("times")), "likely")
 
     def hash_terms(batches: Iterator) -> Iterator:

@@ -124,6 +124,19 @@ def test_terms_that_disclose(spark):
     assert pii.digests(pii.spans(frame(spark, []))).collect() == []
 
 
+def test_terms_beside_several_entities(spark):
+    block = "Quonk Zorbax: jz@mail.example.com, +15551234567, 10.0.0.1"
+    near = [(i, f"{sentence(i, 12)} {block} {sentence(i + 50, 12)}") for i in range(5)]
+    found = {r.doc_id: r for r in pii.digests(pii.spans(frame(spark, [*near, (20, "Zorbax alone")]))).collect()}
+    assert found[20].spans == "term:0:6" and all(found[i].n_term == 2 for i in range(5))
+    # two occurrences near one mention are both near; one occurrence near two mentions is one
+    twice = [(i, f"{sentence(i, 12)} Zorbax, Zorbax joe@mail.example.com {sentence(i + 50, 12)}") for i in range(5)]
+    assert [r.n_term for r in pii.digests(pii.spans(frame(spark, twice))).collect()] == [2] * 5
+    between = [(i, f"{sentence(i, 12)} joe@mail.example.com Zorbax joe@mail.example.com {sentence(i + 50, 12)}") for i in range(5)]
+    between += [(20 + i, "Zorbax alone") for i in range(6)]
+    assert not any(r.n_term for r in pii.digests(pii.spans(frame(spark, between))).collect())
+
+
 def test_fingerprints(spark):
     rows = sorted((r for r in texts() if r[0] is not None and r[0] != 11), key=lambda r: -r[0])
     got = {r.doc_id: r for r in fingerprint.fingerprints(frame(spark, rows)).collect()}
