@@ -8,7 +8,8 @@ one passage prove nothing). Every occurrence of a disclosing term is a span of k
 share reaches ``REMOVES``, else generalised to a placeholder.
 
 Both counts come from shuffles of (term, entity) and of (term, place). An occurrence counts once for each entity it is near,
-however many mentions of it are, and once in the total. Terms whose occurrences near any entity are already too many
+however many mentions of it are, and once in the total. Matches that overlap a base span are no occurrences: they are
+replaced with the span. Terms whose occurrences near any entity are already too many
 for the share are left out before all their occurrences are searched; the search is by a bit array of fixed size and checked by a join.
 """
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,6 +45,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
+_LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"\S+")
 
 
@@ -91,26 +94,48 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-def around(text: str, start: int, end: int) -> list[tuple[str, int]]:
-    """Terms of the WINDOW words before and after a span, and where each begins; words cut off by REACH are left out."""
+def around(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
+    """Terms of the WINDOW words before and after a span, with start and end; words cut off by REACH are left out."""
     low, high = max(0, start - REACH), min(len(text), end + REACH)
     before, after = list(_WORD.finditer(text, low, start)), list(_WORD.finditer(text, end, high))
     if low and before and before[0].start() == low and not text[low - 1].isspace():
         before = before[1:]
     if high < len(text) and after and after[-1].end() == high and not text[high].isspace():
         after = after[:-1]
-    return [(m.group().lower(), m.start()) for w in (*before[-WINDOW:], *after[:WINDOW]) for m in _TERM.finditer(text, *w.span())]
+    return [(m.group().lower(), *m.span()) for w in (*before[-WINDOW:], *after[:WINDOW]) for m in _TERM.finditer(text, *w.span())]
 
 
 def _hash(text: str) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(text)).astype(np.int64))
 
 
+def _merged(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the base spans, overlapping ones as one."""
+    starts, ends = [], []
+    for _, a, b in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def _outside(starts: list[int], ends: list[int], start: int, end: int) -> bool:
+    """Whether a match overlaps none of the merged spans."""
+    i = bisect_right(ends, start)
+    return i == len(ends) or end <= starts[i]
+
+
 def _near(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     rows, seen = [], set()
+    merged = _merged(spans)
     for k, a, b in spans:
         terms = around(text, a, b)
-        entity, context = _hash(f"{k}:{text[a:b].lower()}"), _hash(" ".join(t for t, _ in terms))
+        entity, context = _hash(f"{k}:{text[a:b].lower()}"), _hash(" ".join(t for t, _, _ in terms))
+        # a run of letters that the span cuts is one match with letters of the span
+        cut = {a if _LETTER.match(text, a) else None, b if _LETTER.match(text, b - 1) else None}
+        terms = [(t, at) for t, at, end in terms if at not in cut and end not in cut and _outside(*merged, at, end)]
         times = dict.fromkeys(sorted({t for t, _ in terms}), 0)
         for t, at in terms:
             times[t] += (entity, at) not in seen
@@ -150,7 +175,7 @@ def _base(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame, wanted) -> DataFrame:
-    """(doc_id, place, term, start, end) of each occurrence of the wanted terms and, rarely, of others."""
+    """(doc_id, place, term, start, end) of each occurrence of the wanted terms, outside base spans, and, rarely, of others."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
@@ -161,9 +186,9 @@ def _occurrences(docs: DataFrame, wanted) -> DataFrame:
                 hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, terms), np.uint64, len(terms))
                 here = {terms[i] for i in np.flatnonzero(common.maybe_in(wanted.value, hashes))}
                 if here:
-                    place = _hash(text)
+                    place, merged = _hash(text), _merged(find(text))
                     found = ((m, m.group().lower()) for m in _TERM.finditer(text))
-                    rows += [(doc, place, t, m.start(), m.end()) for m, t in found if t in here]
+                    rows += [(doc, place, t, m.start(), m.end()) for m, t in found if t in here and _outside(*merged, *m.span())]
             types = [batch.column(0).type, pa.int64(), pa.string(), pa.int64(), pa.int64()]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "term", "start", "end"])

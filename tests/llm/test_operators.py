@@ -137,6 +137,19 @@ def test_terms_beside_several_entities(spark):
     assert not any(r.n_term for r in pii.digests(pii.spans(frame(spark, between))).collect())
 
 
+def test_terms_in_their_own_address(spark):
+    near = [(i, f"{sentence(i, 12)} ask Zorbax at zorbax@mail.example.com {sentence(i + 50, 12)}") for i in range(5)]
+    docs = frame(spark, [*near, (20, "Zorbax alone")])
+    found = {r.doc_id: r for r in pii.digests(pii.spans(docs)).collect()}
+    assert found[20].spans == "term:0:6" and all(found[i].n_term == 2 for i in range(5))  # Zorbax and ask
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert clean[20] == " alone" and not any("zorbax" in t.lower() for t in clean.values())
+    # a run of letters that goes on into a span, and another span's letters, are not near
+    text = "ééé@ ééézorbax@mail.example.com or other@mail.example.com"
+    terms = {r["term"] for r in pii._near(text, pii.find(text))}
+    assert terms == {"ééé"}
+
+
 def test_fingerprints(spark):
     rows = sorted((r for r in texts() if r[0] is not None and r[0] != 11), key=lambda r: -r[0])
     got = {r.doc_id: r for r in fingerprint.fingerprints(frame(spark, rows)).collect()}
