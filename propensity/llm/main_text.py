@@ -2,8 +2,9 @@
 
 Markup is stripped into lines, one for each block element, with the length of the text of each. The sums of lengths over
 ``SPAN`` lines surge where the article begins and dive where it ends. Lines of elements that are never article (menus,
-scripts, forms, and the like, by their tag or by the words of their class, id and role) have no length, and neither have lines
-that are mostly links. The text between the surge and dive points names the element that holds the article: the outermost
+scripts, hidden ones, and the like) have no length, and neither have lines that are mostly links. Forms and elements that words
+of their class, id or role mark are doubtful: they may be advertisements or comments, or the layout around the article. They
+are judged by the text that surges in them (``discarded``), and then those that are not article are left out too. The text between the surge and dive points names the element that holds the article: the outermost
 article or main around most of it, else the innermost element around all of it. Every line of that element is kept,
 however short, but those of elements that are never article.
 """
@@ -22,22 +23,27 @@ from propensity.llm import common
 #: Lines that a block sums over, and the least sum that is a surge (less on pages whose largest sum is below twice that).
 SPAN = 3
 SURGE = 86
+#: Least shares of the page's surging text: of a doubtful element to be kept, and of an article or main to count for that.
+MOST = 0.5
+SOME = 0.2
 
-# Fixed names of HTML, with those that are never article text.
+# Fixed names of HTML, with those that are never article text, and words that make an element doubtful.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NEVER = frozenset("aside button dialog fieldset footer form head header menu nav select".split())
-NEVER_WORDS = frozenset(
+NEVER = frozenset("aside button dialog fieldset footer head header menu nav select".split())
+DOUBTFUL_WORDS = frozenset(
     "ad ads adv advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments complementary "
     "consent contentinfo cookie cookies disqus discussion footer gdpr header login masthead menu modal nav navbar navigation "
     "newsletter notice notices notification pagination pager popup promo promoted promotion recommended related reply replies "
     "respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget "
     "widgets".split()
 )
+#: Elements that no mark makes doubtful.
+WHOLE = frozenset("html body article main".split())
 _RAW = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|title|iframe|object|canvas|math)\b[^>]*>.*?(?:</\1\s*>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -50,17 +56,22 @@ _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?tr
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+def _words(attributes: str) -> list[str]:
+    return _WORD.findall(" ".join(a or b or c for a, b, c in _MARKS.findall(attributes)))
+
+
 def never(tag: str, attributes: str) -> bool:
     """Whether an element is never article text."""
     if tag in NEVER:
         return True
-    if "=" not in attributes and "hidden" not in attributes or tag in ("html", "body", "article", "main"):
-        marked = " ".join(a or b or c for a, b, c in _MARKS.findall(attributes)) if tag == "article" else ""
-        return any(w in ("comment", "comments", "reply") for w in _WORD.findall(marked.lower()))
-    if _HIDDEN.search(attributes):
-        return True
-    marked = " ".join(a or b or c for a, b, c in _MARKS.findall(attributes))
-    return any(w.lower() in NEVER_WORDS for w in _WORD.findall(marked))
+    if tag == "article":
+        return any(w.lower() in ("comment", "comments", "reply") for w in _words(attributes))
+    return tag not in WHOLE and _HIDDEN.search(attributes) is not None
+
+
+def doubtful(tag: str, attributes: str) -> bool:
+    """Whether an element may be no article text, by its tag or marks."""
+    return tag == "form" or "=" in attributes and tag not in WHOLE and any(w.lower() in DOUBTFUL_WORDS for w in _words(attributes))
 
 
 class Lines:
@@ -69,6 +80,10 @@ class Lines:
     def __init__(self, page: str):
         self.rows: list[tuple[str, int, tuple[int, ...]]] = []
         self.tags: dict[int, str] = {}
+        #: The element around each, and whether a link was open before each doubtful one.
+        self.parents: dict[int, int] = {}
+        self.doubtful: dict[int, int] = {}
+        self._inline: dict[str, int] = {}
         self._open: list[tuple[str, int]] = []
         self._parts: list[str] = []
         self._linked = self._links = 0
@@ -119,21 +134,53 @@ class Lines:
         elif not closing and tag not in VOID and never(tag, attributes):
             self._end_line()
             self._skip = (tag, 1)
-        elif tag in BLOCKS:
+        elif not closing and tag not in VOID and doubtful(tag, attributes):
             self._end_line()
+            self._open_element(tag)
+            self.doubtful[len(self.tags) - 1] = self._links
+            if tag not in BLOCKS:
+                self._inline[tag] = self._inline.get(tag, 0) + 1
+            if tag == "a":
+                self._links = 1
+        elif tag in BLOCKS or self._inline.get(tag):
+            if tag in BLOCKS:
+                self._end_line()
             if closing:
                 if any(t == tag for t, _ in self._open):
-                    while self._open.pop()[0] != tag:
-                        pass
+                    self._close_elements(next(i for i in reversed(range(len(self._open))) if self._open[i][0] == tag))
             elif tag not in VOID:
-                if self._open and self._open[-1][0] == "p":  # a paragraph ends where the next block begins
-                    self._open.pop()
-                number = len(self.tags)
-                self.tags[number] = tag
-                self._open.append((tag, number))
+                self._open_element(tag)
+                if tag not in BLOCKS:
+                    self._inline[tag] += 1
         elif tag == "a":
             self._links = 0 if closing else 1
 
+    def _open_element(self, tag: str) -> None:
+        if tag in BLOCKS:
+            i = len(self._open) - 1
+            while i >= 0 and self._open[i][0] not in BLOCKS:
+                i -= 1
+            if i >= 0 and self._open[i][0] == "p":  # a paragraph ends where the next block begins
+                self._close_elements(i)
+            elif tag == "li":  # and a doubtful item where the next one does
+                i = next((i for i in reversed(range(len(self._open))) if self._open[i][0] in ("li", "ul", "ol", "menu")), -1)
+                if i >= 0 and self._open[i][0] == "li" and self._open[i][1] in self.doubtful:
+                    self._close_elements(i)
+        number = len(self.tags)
+        self.tags[number] = tag
+        self.parents[number] = self._open[-1][1] if self._open else -1
+        self._open.append((tag, number))
+
+    def _close_elements(self, first: int) -> None:
+        """Close the open elements from ``first`` on, and with a doubtful one its line and its links."""
+        if any(n in self.doubtful for _, n in self._open[first:]):
+            self._end_line()
+        while len(self._open) > first:
+            tag, number = self._open.pop()
+            self._links = self.doubtful.get(number, self._links)
+            if tag not in BLOCKS:
+                self._inline[tag] -= 1
+
 
 def regions(lengths: list[int]) -> list[int]:
     """Lines between surge and dive points of the block sums."""
@@ -150,11 +197,55 @@ def regions(lengths: list[int]) -> list[int]:
     return kept
 
 
+def _lengths(rows: list[tuple[str, int, tuple[int, ...]]]) -> list[int]:
+    return [0 if 2 * linked > len(text) else len(text) for text, linked, _ in rows]
+
+
+def discarded(lines: Lines) -> set[int]:
+    """Doubtful elements that are no article text, judged by the share of the page's surging text in them.
+
+    One that holds an article or main with SOME of it is kept. Of the others, one beside such an article or main is discarded (as
+    long comments are), else one with less than MOST. If too little is left (the article lies in several doubtful
+    elements), those with less are kept too, at last all with surging text.
+    """
+    if not lines.doubtful:
+        return set()
+    lengths = _lengths(lines.rows)
+    found = regions(lengths)
+    most: dict[int, int] = {}
+    for i in found:
+        for number in lines.rows[i][2]:
+            most[number] = most.get(number, 0) + lengths[i]
+    total = sum(lengths[i] for i in found)
+    anchors = {n for n in most if lines.tags[n] in ("article", "main") and most[n] >= SOME * total}
+    holding: set[int] = set()
+    for n in anchors:
+        while (n := lines.parents[n]) >= 0 and n not in holding:
+            holding.add(n)
+    within = {-1: 0}  # articles and mains around each element, or itself one; numbers rise inwards
+    for n, parent in lines.parents.items():
+        within[n] = within[parent] + (n in anchors)
+    judged = [n for n in lines.doubtful if n not in holding]
+    out: set[int] = set()
+    for least in (MOST, SOME, 0.0):
+        beside = least == MOST
+        out = {
+            n
+            for n in judged
+            if not most.get(n) or most[n] < least * total or beside and within[n] < len(anchors)
+        }
+        left = sum(lengths[i] for i in found if out.isdisjoint(lines.rows[i][2]))
+        if left >= SOME * total:
+            break
+    return out
+
+
 def main_text(page: str | None) -> str:
     """Blocks of the article in page order, one to a line; empty for a null page or one without text."""
     lines = Lines(page or "")
-    rows = lines.rows
-    lengths = [0 if 2 * linked > len(text) else len(text) for text, linked, _ in rows]
+    out = discarded(lines)
+    rows = [row for row in lines.rows if out.isdisjoint(row[2])]
+    lengths = _lengths(rows)
     found = regions(lengths)
     if not found:
         return ""

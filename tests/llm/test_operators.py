@@ -182,6 +182,34 @@ def test_main_text(open_, close):
     assert main_text.main_text(PAGE % body) == f"A & B\n{sentence(1, 40)}\nNo.\n{sentence(2, 40)} two spaces after"
 
 
+WRAPS = ["<div class='content-sidebar-wrap'>", "<div class='layout has-sidebar'>", "<div id=page class=no-header>", "<form action=x>", "<my-app class='has-sidebar'>"]
+
+
+@pytest.mark.parametrize("open_", WRAPS)
+@pytest.mark.parametrize("inner", ["div", "article", "main"])
+def test_main_text_in_marked_elements(open_, inner):
+    end = f"</{open_[1:-1].split()[0]}>"
+    body = f"<h1>A</h1><p>{sentence(1, 40)}<p>No.</p><span class=share>Share <span>it</span> now</span><p>{sentence(2, 40)}</p>"
+    want = f"A\n{sentence(1, 40)}\nNo.\n{sentence(2, 40)}"
+    junk = f"<div class=sidebar><p>{sentence(3, 20)}</p></div><ul><li class=promo>Buy<li class=ad><a href=x>Ad</ul>"
+    assert main_text.main_text(PAGE % f"{open_}<{inner}>{body}</{inner}>{junk}{end}") == want
+    # all of the page in it
+    page = f"<html><body>{open_}<nav>Home</nav><{inner}>{body}</{inner}>{junk}<div id=comments><p>{sentence(4, 30)}</p></div>{end}</body></html>"
+    assert main_text.main_text(page) == want
+
+
+def test_main_text_beside_long_comments():
+    comments = f"<div id=comments>{''.join(f'<p>{sentence(i, 40)}</p>' for i in range(10, 15))}</div>"
+    cards = f"<section class=related><article><p>{sentence(5, 10)}</p></article></section>"
+    article = f"<article><p>{sentence(1, 60)}</p><p>{sentence(2, 60)}</p></article>"
+    want = f"{sentence(1, 60)}\n{sentence(2, 60)}"
+    assert main_text.main_text(PAGE % (article + comments + cards)) == want
+    assert main_text.main_text(PAGE % f"<div class=has-sidebar>{article}{comments}{cards}</div>") == want
+    # an article in several marked parts
+    parts = [f"<section class='story share-{i}'><p>{sentence(i, 60)}</p></section>" for i in range(4)]
+    assert main_text.main_text(f"<html><body>{''.join(parts)}</body></html>") == "\n".join(sentence(i, 60) for i in range(4))
+
+
 def test_pages_of_all_kinds(spark):
     rows = [(1, "u", None), (1, None, ""), (None, "u", "plain words"), (2, "u", "<p>unclosed <b>one"), (3, "u", "<<<>>> <a \"" * 3000), (4, "u", "<!--")]
     told = main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
