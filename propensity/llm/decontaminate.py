@@ -1,12 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-1. A pass over the documents finds words that begin an n-gram of a benchmark item (a bit array of fixed size over the items'
-   n-grams). Around each hit the hashes of as many words as the longest item has, and some more, are kept; passages
+1. A seed is a run of words, or one with a word left out before its last. A pass over the documents finds words that begin a seed
+   of a benchmark item (a bit array of fixed size over the items' seeds). As both forms are compared with both, a copy
+   with every third word replaced has seeds, and so have copies with words inserted or left out. Around each hit the hashes of as many words as the longest item has, and some more, are kept; passages
    that overlap are one. No text is read or moved again.
-2. Hits join the items' n-grams on the n-gram. A passage and an item are a candidate if they share a rare seed
-   (found in at most ``RARE`` of the documents) or at least two different seeds.
-3. Candidates are aligned word by word: local alignment finds copies with words replaced, inserted or left out.
-   The score is that of the best alignment as a share of the item's score against itself.
+2. Hits join the items' seeds. A passage and an item are a candidate if they share a seed that at most ``FEW`` items have, or
+   two different seeds, or one and the item has at most ``SHORT`` (a longer one needs more for half its score).
+3. Candidates that may reach the score by the words they share are aligned word by word: local alignment finds copies with words replaced, inserted or left out.
+   The score is that of the best alignment as a share of the item's score against itself. A run of ``RUN`` equal words
+   tells a copy whatever the score.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from propensity.llm import common
 from propensity.session import materialize
 
 SEED_WORDS = 3
-RARE = 1e-4
+FEW = 64
+SHORT = 64
+RUN = 25
 #: Words kept around a hit, as a multiple of the longest item's.
 SLACK = 1.25
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -42,7 +46,7 @@ def _items(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             each = [common.word_hashes(words(t)) for t in batch.column(1).to_pylist()]
-            hashes, seeds = [common.signed(w) for w in each], [common.signed(_grams(w)) for w in each]
+            hashes, seeds = [common.signed(w) for w in each], [common.signed(np.unique(_seeds(w)[0])) for w in each]
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hashes, longs), pa.array(seeds, longs)], ["item_id", "words", "seeds"])
 
@@ -72,11 +76,12 @@ def _passages(docs: DataFrame, seeds, reach: int) -> DataFrame:
                 if len(tokens) < SEED_WORDS:
                     continue
                 hashes = common.word_hashes(tokens)
-                grams = _grams(hashes)
-                hits = np.flatnonzero(common.maybe_in(seeds.value, grams))
-                for start, end in passages(hits, reach, len(tokens)) if len(hits) else ():
-                    mine = hits[(hits >= start) & (hits < end)]
-                    rows.append((doc, start, common.signed(hashes[start:end]), np.unique(common.signed(grams[mine]))))
+                grams, places = _seeds(hashes)
+                found = common.maybe_in(seeds.value, grams)
+                grams, hits = grams[found], places[found]
+                for start, end in passages(np.unique(hits), reach, len(tokens)) if len(hits) else ():
+                    mine = grams[(hits >= start) & (hits < end)]
+                    rows.append((doc, start, common.signed(hashes[start:end]), np.unique(common.signed(mine))))
             types = [batch.column(0).type, pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             columns = [pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 4, types)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "words", "hits"])
@@ -85,13 +90,33 @@ def _passages(docs: DataFrame, seeds, reach: int) -> DataFrame:
     return found.withColumn("passage", F.xxhash64("doc_id", "start", "words"))
 
 
-def _grams(each: np.ndarray) -> np.ndarray:
-    """A hash for each run of SEED_WORDS words, in order."""
-    last = max(0, len(each) - SEED_WORDS + 1)
-    total = np.zeros(last, np.uint64)
-    for i in range(SEED_WORDS):
-        total = common.mixed(total + each[i : i + last])
-    return total
+def _seeds(each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each run of SEED_WORDS words, and for each with a word left out before the last; and where they begin."""
+    hashes, places = [], []
+    for gap in (0, 1):
+        last = max(0, len(each) - SEED_WORDS - gap + 1)
+        total = np.zeros(last, np.uint64)
+        for i in (*range(SEED_WORDS - 1), SEED_WORDS - 1 + gap):
+            total = common.mixed(total + each[i : i + last])
+        hashes.append(total)
+        places.append(np.arange(last))
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def bound(item: np.ndarray, words: np.ndarray) -> int:
+    """At least the score of any alignment: words of the item that the passage lacks cost as much as the cheapest change."""
+    sums = np.zeros(len(item) + 1, np.int64)
+    np.cumsum(np.where(np.isin(item, words), MATCH, max(MISMATCH, GAP)), out=sums[1:])
+    return int((sums - np.minimum.accumulate(sums)).max())
+
+
+def run_of(item: np.ndarray, words: np.ndarray) -> int:
+    """Length of the longest run of words that an item shares with a passage."""
+    longest, runs = 0, np.zeros(len(words) + 1, np.int32)
+    for word in item:
+        runs[1:] = np.where(words == word, runs[:-1] + 1, 0)
+        longest = max(longest, int(runs.max()))
+    return longest
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
@@ -123,6 +148,8 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word): each document's best passage for each item, from ``threshold`` on.
 
+    Passages that share RUN words in a row with the item are told below the threshold too.
+
     Items of fewer than SEED_WORDS words can't be told from chance and match nothing; null texts have no words. Equal rows of
     either table give one row; of equally good passages the first is told. Null keys are kept. Other columns are ignored.
     """
@@ -134,15 +161,14 @@ def contaminated(
     reach = int(SLACK * longest)
     wanted = session.sparkContext.broadcast(common.filter_bits(seeds, "seed"))
     found = materialize(_passages(docs, wanted, reach), "passages")
-    hits = found.select("passage", "doc_id", F.explode("hits").alias("seed")).distinct()
-    kept = hits.groupBy("seed").agg(F.count_distinct("doc_id").alias("documents")).where(F.col("documents") <= RARE * F.lit(docs.count()))
-    kept = kept.select("seed", F.lit(True).alias("rare"))
+    hits = found.select("passage", F.explode("hits").alias("seed")).distinct()
+    sizes = seeds.groupBy("item_id").agg((F.count("*") <= SHORT).alias("short"))
+    kept = seeds.groupBy("seed").agg((F.count("*") <= FEW).alias("few"))
     candidates = (
-        hits.join(seeds, "seed")
-        .join(kept, "seed", "left")
+        hits.join(seeds.join(kept, "seed").join(sizes, "item_id"), "seed")
         .groupBy("passage", "item_id")
-        .agg(F.count("*").alias("seeds"), F.max("rare").alias("rare"))
-        .where("seeds >= 2 or rare")
+        .agg(F.count("*").alias("seeds"), F.max(F.col("few") | F.col("short")).alias("telling"))
+        .where("seeds >= 2 or telling")
     )
     texts = found.select("passage", "doc_id", "start", F.col("words").alias("passage_words")).dropDuplicates(["passage"])
     pairs = candidates.join(items.select("item_id", "words").dropDuplicates(["item_id", "words"]), "item_id").join(texts, "passage")
@@ -151,18 +177,22 @@ def contaminated(
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            scores, starts, ends = [], [], []
+            scores, starts, ends, runs = [], [], [], []
             for i in range(batch.num_rows):
                 item = batch.column(3)[i].values.to_numpy()
-                score, start, end = align(item, batch.column(4)[i].values.to_numpy())
+                passage = batch.column(4)[i].values.to_numpy()
+                possible = bound(item, passage) >= MATCH * min(threshold * len(item), RUN)
+                score, start, end = align(item, passage) if possible else (0, 0, 0)
+                # a run of equal words has its own score at least
+                runs.append(score >= MATCH * RUN and (score >= MATCH * threshold * len(item) or run_of(item, passage) >= RUN))
                 first = batch.column(2)[i].as_py()
                 scores.append(score / (MATCH * len(item)))
                 starts.append(first + start)
                 ends.append(first + end)
             columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "score", "start_word", "end_word"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(runs, pa.bool_())], ["doc_id", "item_id", "score", "start_word", "end_word", "run"])
 
-    schema = f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, score double, start_word long, end_word long"
-    told = common.in_batches(pairs, run, schema).where(F.col("score") >= threshold)
+    schema = f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, score double, start_word long, end_word long, run boolean"
+    told = common.in_batches(pairs, run, schema).where((F.col("score") >= threshold) | F.col("run"))
     best = told.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", -F.col("start_word"), -F.col("end_word"))).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.score").alias("score"), (-F.col("b.col2")).alias("start_word"), (-F.col("b.col3")).alias("end_word"))

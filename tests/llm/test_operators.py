@@ -230,6 +230,21 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(frame(spark, []), bench).collect() == []
 
 
+def test_decontamination_of_short_edited_and_long_items(spark):
+    short, item, long = "qui zor tam", sentence(70, 40), sentence(73, 300)
+    third, inserted, left_out = item.split(), item.split(), item.split()
+    third[2::3] = [f"x{i}" for i in range(len(third[2::3]))]
+    for i in reversed(range(2, 40, 2)):
+        inserted.insert(i, f"y{i}")
+    del left_out[2::5]
+    rows = [*((i, f"{sentence(i, 30)} {short} {sentence(i + 20, 30)}") for i in range(100, 104)), (110, " ".join(third)), (111, " ".join(inserted))]
+    rows += [(112, " ".join(left_out)), (113, " ".join(long.split()[100:220])), (114, " ".join(long.split()[:10])), (115, "qui zor other tam words")]
+    bench = spark.createDataFrame([(1, short), (2, item), (3, long), *((i, f"{short} {sentence(i, 90)}") for i in range(200, 270))], "item_id long, text string")
+    told = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(frame(spark, [*rows, *texts()]), bench).collect()}
+    assert set(told) == {*((i, 1) for i in range(100, 104)), (110, 2), (111, 2), (112, 2), (113, 3), (115, 1)}
+    assert told[100, 1] == 1.0 and 0.5 <= told[110, 2] < 0.56 and told[113, 3] == 0.4
+
+
 def test_alignment_equals_plain_recursion():
     draw = np.random.default_rng(6)
     for _ in range(50):
@@ -241,6 +256,13 @@ def test_alignment_equals_plain_recursion():
         assert decontaminate.align(a, b)[0] == cells.max()
 
 
+def test_bound_of_alignment():
+    draw = np.random.default_rng(7)
+    for _ in range(300):
+        a, b = draw.integers(0, 9, draw.integers(1, 20)), draw.integers(0, 9, draw.integers(1, 9))
+        assert decontaminate.bound(a, b) >= decontaminate.align(a, b)[0]
+
+
 def test_quality(spark):
     good = [(i, sentence(i, 50).capitalize() + ".", f"g{i % 2}") for i in range(60)]
     bad = [(100 + i, "|".join(sentence(i, 50).upper().split()) + "###", "b") for i in range(60)]
