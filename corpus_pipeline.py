@@ -34,10 +34,8 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a copy of a benchmark item, edited or not."""
-    found = decontaminate.contaminated(docs, read(spark, sf_dir, "benchmark"))
-    ids = materialize(found.select("doc_id").distinct(), "contaminated")
-    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
+    """Drop documents that hold a copy of a benchmark item, edited or not, with an id or without."""
+    return decontaminate.without(docs, read(spark, sf_dir, "benchmark")).select(docs.columns)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

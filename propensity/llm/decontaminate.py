@@ -71,7 +71,7 @@ def _passages(docs: DataFrame, seeds, reach: int) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc, text, place in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = words(text)
                 if len(tokens) < SEED_WORDS:
                     continue
@@ -81,13 +81,13 @@ def _passages(docs: DataFrame, seeds, reach: int) -> DataFrame:
                 grams, hits = grams[found], places[found]
                 for start, end in passages(np.unique(hits), reach, len(tokens)) if len(hits) else ():
                     mine = grams[(hits >= start) & (hits < end)]
-                    rows.append((doc, start, common.signed(hashes[start:end]), np.unique(common.signed(mine))))
-            types = [batch.column(0).type, pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            columns = [pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 4, types)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "words", "hits"])
+                    rows.append((doc, place, start, common.signed(hashes[start:end]), np.unique(common.signed(mine))))
+            types = [batch.column(0).type, pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            columns = [pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "place", "start", "words", "hits"])
 
-    found = common.in_batches(docs, run, f"doc_id {kind}, start long, words array<long>, hits array<long>")
-    return found.withColumn("passage", F.xxhash64("doc_id", "start", "words"))
+    found = common.in_batches(docs, run, f"doc_id {kind}, place long, start long, words array<long>, hits array<long>")
+    return found.withColumn("passage", F.xxhash64("doc_id", "place", "start", "words"))
 
 
 def _seeds(each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,8 +153,27 @@ def contaminated(
     Items of fewer than SEED_WORDS words can't be told from chance and match nothing; null texts have no words. Equal rows of
     either table give one row; of equally good passages the first is told. Null keys are kept. Other columns are ignored.
     """
+    told = _told(docs, benchmark, threshold, key, text, item_key, item_text)
+    best = told.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", -F.col("start_word"), -F.col("end_word"))).alias("b"))
+    return best.select("doc_id", "item_id", F.col("b.score").alias("score"), (-F.col("b.col2")).alias("start_word"), (-F.col("b.col3")).alias("end_word"))
+
+
+def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose own text holds no copy, by key (null keys too) and hash of the text; all columns stay."""
+    told = _told(docs, benchmark, threshold, key, text, "item_id", "text")
+    told = materialize(told.select(F.col("doc_id").alias("key told"), F.col("place").alias("place told")).distinct(), "contaminated")
+    same = docs[key].eqNullSafe(told["key told"]) & (_place(docs[text]) == told["place told"])
+    return docs.join(told, same, "left_anti")
+
+
+def _place(text):
+    return F.xxhash64(text.cast("string"))
+
+
+def _told(docs: DataFrame, benchmark: DataFrame, threshold: float, key: str, text: str, item_key: str, item_text: str) -> DataFrame:
+    """Each passage told, with the hash of its text as ``place``."""
     session = docs.sparkSession
-    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), _place(docs[text]).alias("place"))
     items = materialize(_items(benchmark, item_key, item_text), "items")
     seeds = items.select("item_id", F.explode("seeds").alias("seed")).distinct()
     longest = items.agg(F.max(F.size("words"))).first()[0] or 0
@@ -170,9 +189,9 @@ def contaminated(
         .agg(F.count("*").alias("seeds"), F.max(F.col("few") | F.col("short")).alias("telling"))
         .where("seeds >= 2 or telling")
     )
-    texts = found.select("passage", "doc_id", "start", F.col("words").alias("passage_words")).dropDuplicates(["passage"])
+    texts = found.select("passage", "doc_id", "place", "start", F.col("words").alias("passage_words")).dropDuplicates(["passage"])
     pairs = candidates.join(items.select("item_id", "words").dropDuplicates(["item_id", "words"]), "item_id").join(texts, "passage")
-    pairs = pairs.select("doc_id", "item_id", "start", "words", "passage_words")
+    pairs = pairs.select("doc_id", "item_id", "start", "words", "passage_words", "place")
     kinds = {f.name: f.dataType.simpleString() for f in pairs.schema}
 
     def run(batches: Iterator) -> Iterator:
@@ -190,9 +209,7 @@ def contaminated(
                 starts.append(first + start)
                 ends.append(first + end)
             columns = [batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(runs, pa.bool_())], ["doc_id", "item_id", "score", "start_word", "end_word", "run"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(runs, pa.bool_()), batch.column(5)], ["doc_id", "item_id", "score", "start_word", "end_word", "run", "place"])
 
-    schema = f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, score double, start_word long, end_word long, run boolean"
-    told = common.in_batches(pairs, run, schema).where((F.col("score") >= threshold) | F.col("run"))
-    best = told.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", -F.col("start_word"), -F.col("end_word"))).alias("b"))
-    return best.select("doc_id", "item_id", F.col("b.score").alias("score"), (-F.col("b.col2")).alias("start_word"), (-F.col("b.col3")).alias("end_word"))
+    schema = f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, score double, start_word long, end_word long, run boolean, place long"
+    return common.in_batches(pairs, run, schema).where((F.col("score") >= threshold) | F.col("run"))

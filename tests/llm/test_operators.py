@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from propensity.llm import common, decontaminate, fingerprint, language, lm_score, main_text, mixing, pii, quality
 from tests.llm.fixtures import frame, sentence, texts
 
@@ -256,6 +257,15 @@ def test_alignment_equals_plain_recursion():
         assert decontaminate.align(a, b)[0] == cells.max()
 
 
+def test_contaminated_documents_without_an_id_are_dropped(spark, tmp_path):
+    item = sentence(70, 40)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"{item} {sentence(71)}"), (None, sentence(72)), (None, None), (5, item), (6, sentence(73)), (7, None)]
+    kept = corpus_pipeline.decontaminated(spark, frame(spark, rows), str(tmp_path))
+    assert kept.columns == frame(spark, rows).columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([rows[1], rows[2], rows[4], rows[5]], key=repr)
+
+
 def test_bound_of_alignment():
     draw = np.random.default_rng(7)
     for _ in range(300):
