@@ -172,6 +172,15 @@ def test_fingerprints_ignore_order_and_undo():
     assert fingerprint.parsed(mark.text()).text() == mark.text()
 
 
+def test_likeness_counts_each_occurrence_once():
+    mark = lambda p: fingerprint.Fingerprint().changed(p)
+    many, fewer, other = ["same"] * 180, ["same"] * 120, [f"x{i}" for i in range(1000)]
+    assert fingerprint.likeness(mark(many), mark(fewer)) == pytest.approx(0.8, abs=0.15)
+    assert fingerprint.likeness(mark(many + other), mark(many + [f"y{i}" for i in range(1000)])) == pytest.approx(0.15, abs=0.2)
+    assert fingerprint.likeness(mark(["same"] * 40_000), mark(["same"] * 26_667)) == pytest.approx(0.8, abs=0.15)
+    assert mark(many).changed(["same"], ["same"] * 61, ["same"] * 119).text() == mark(fewer).text()
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav>
 <header>Top</header><div class="cookie-notice">We use cookies</div>%s<div id="comments"><p>First comment, which is rather long as comments go on this page.</p></div>
 <aside>Side</aside><form><p>Subscribe</p></form><footer>&copy; us</footer></body></html>"""
