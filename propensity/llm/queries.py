@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.registry import registry
-from propensity.llm import decontaminate, fingerprint, language, lm_score, main_text, mixing, ngram_join, pii, quality
+from propensity.llm import decontaminate, fingerprint, language, lm_score, main_text, middle, mixing, ngram_join, pii, quality
 from propensity.llm import token_counts
 from propensity.llm.common import read, remainder
 
@@ -132,3 +132,33 @@ def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: five-word shingles, Jaccard of 0.75 or more."""
     return ngram_join.linked_components(read(spark, sf_dir, "documents"), size=5, percent=75)
+
+
+@query(
+    r"""
+    WITH cut AS (
+      SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+      FROM documents),
+    drawn AS (
+      SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS h1,
+        CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS h2,
+        CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4
+      FROM cut),
+    formed AS (
+      SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 50 THEN 'plain'
+          WHEN h4 < 80 THEN 'spm' ELSE 'psm' END AS form,
+        array_to_string(u[1:least(h1, h2)], '') AS p, array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+        array_to_string(u[greatest(h1, h2) + 1:], '') AS s
+      FROM drawn)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+      sha256(t) AS restored_sha256
+    FROM formed
+    """
+)
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it is or with its middle moved to the end, and the text rebuilt from that."""
+    return middle.digests(middle.transform(read(spark, sf_dir, "documents"), changed_percent=50, spm_percent=80, seed=42))
