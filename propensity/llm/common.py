@@ -171,3 +171,45 @@ def maybe_in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
+
+
+def byte_blocks(batches: Iterator[pa.RecordBatch], limit: int, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, dealt anew into batches of about ``limit`` bytes in ``column``; a larger value comes alone.
+
+    The bound holds whatever batches the session makes: what one block needs does not depend on its settings.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        values = batch.column(column)
+        width = 1 if pa.types.is_string(values.type) or pa.types.is_binary(values.type) else 4
+        sizes = np.diff(np.frombuffer(values.buffers()[1], np.int32, batch.num_rows + 1, 4 * values.offset)).astype(np.int64) * width
+        start, ends = 0, np.cumsum(sizes)
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = int(np.searchsorted(ends, before + limit - size, side="right"))
+            if stop > start:
+                held.append(batch.slice(start, stop - start))
+                size += int(ends[stop - 1]) - before
+                start = stop
+            elif not held:
+                held.append(batch.slice(start, 1))
+                start += 1
+                size = limit
+            if size >= limit or start < batch.num_rows:
+                yield _united(held)
+                held, size = [], 0
+    if held:
+        yield _united(held)
+
+
+def _united(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
+
+
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """``values[starts[c] : starts[c] + sizes[c]]`` for each c of ``codes``, one after another."""
+    lengths = sizes[codes]
+    at = np.repeat(starts[codes] - (np.cumsum(lengths) - lengths), lengths)
+    at += np.arange(len(at))
+    return values[at]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.registry import registry
-from propensity.llm import decontaminate, fingerprint, language, lm_score, main_text, middle, mixing, ngram_join, pii, quality
+from propensity.llm import decontaminate, fingerprint, language, lm_score, main_text, middle, mixing, ngram_join, pieces, pii, quality
 from propensity.llm import token_counts
 from propensity.llm.common import read, remainder
 
@@ -134,6 +134,13 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_components(read(spark, sf_dir, "documents"), size=5, percent=75)
 
 
+@query()
+def op11_pieces(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """All documents encoded with begin and end ids under a 32,000-piece vocabulary, and decoded again."""
+    path = path or public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), path), path))
+
+
 @query(
     r"""
     WITH cut AS (
