@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.registry import registry
-from propensity.llm import decontaminate, fingerprint, language, lm_score, main_text, middle, mixing, ngram_join, pieces, pii, quality
-from propensity.llm import token_counts
+from propensity.llm import alignment, decontaminate, fingerprint, language, lm_score, main_text, middle, mixing
+from propensity.llm import ngram_join, pieces, pii, quality, token_counts
 from propensity.llm.common import read, remainder
 
 QUERIES, ORACLES, query = registry()
@@ -169,3 +169,13 @@ def op11_pieces(spark: SparkSession, sf_dir: str, path: str | None = None) -> Da
 def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as it is or with its middle moved to the end, and the text rebuilt from that."""
     return middle.digests(middle.transform(read(spark, sf_dir, "documents"), changed_percent=50, spm_percent=80, seed=42))
+
+
+@query()
+def op13_alignment(spark: SparkSession, sf_dir: str, byte_path: str | None = None, piece_path: str | None = None) -> DataFrame:
+    """Groups and links of the tokens of two vocabularies in every document, and how often the linked ids meet."""
+    byte_path = byte_path or public_tokenizers.path("byte_bpe_50k.json")
+    piece_path = piece_path or public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align(read(spark, sf_dir, "documents"), byte_path, piece_path)
+    scored = alignment.link_scores(alignment.digests(aligned))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
