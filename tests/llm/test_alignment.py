@@ -24,14 +24,11 @@ def both():
 
 
 def spelled(both, text):
-    """(id, bytes) of both sides by the libraries' own decoding of single tokens."""
+    """(id, bytes) of both sides, token by token."""
     a, b = both
-    from tokenizers.decoders import ByteLevel
-
-    assert isinstance(a.decoder, ByteLevel)
-    table = {c: i for i, c in alignment._byte_of().items()}
-    left = [(i, bytes(alignment._byte_of()[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
-    assert len(table) == 256
+    table = alignment._byte_of()
+    assert sorted(table.values()) == list(range(256))
+    left = [(i, bytes(table[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
     right = [(i, bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()) for i in b.encode(text)]
     return left, right
 
