@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DAY = 86_400
 
@@ -65,6 +65,16 @@ def hash_text(value: Column, seed: int, hex_digits: int) -> Column:
     return F.substring(digest, 1, hex_digits)
 
 
+def row_digest(df: DataFrame) -> Column:
+    """A 128-bit digest of a whole row in hexadecimal: the texts of its columns in order, NULL apart from every text."""
+
+    def text(name: str, kind: str) -> Column:
+        column = F.col(f"`{name}`")
+        return F.coalesce(F.hex(column) if kind == "binary" else column.cast("string"), F.lit("\x00"))
+
+    return F.md5(F.concat_ws("\x1f", *[text(name, kind) for name, kind in df.dtypes]))
+
+
 def in_share(value: Column, share: float, seed: int) -> Column:
     """Whether a value's 60-bit hash lies in the first ``share`` of all hashes; any share, however small, counts."""
     return hash_number(value, seed) < F.lit(math.ceil(Fraction(str(share)) * 2**60))

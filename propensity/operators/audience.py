@@ -5,10 +5,16 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.internal import InternalFunction
 
-from propensity.operators.ranking import at_or_before, hash_cuts, order_hash, values_at_ranks
+from propensity.operators.ranking import hash_cuts, hash_order, order_hash, places_at_ranks
+from propensity.session import materialize
 
+#: Up to so many users are kept as whole rows in a bounded heap per task; beyond, the cut is searched by rank.
+HEAP_ROWS = 100_000
+#: Heaps of so many tasks are merged by one task of the next level.
+FAN_IN = 32
 
 
 def scored_only(scored: DataFrame) -> DataFrame:
@@ -23,10 +29,26 @@ def ranked(scored: DataFrame, key: str = "user_id", seed: int = 42) -> DataFrame
 
 
 def top_n(scored: DataFrame, n: int = 2000, key: str = "user_id", seed: int = 42) -> DataFrame:
-    """The ``n`` most likely users, or all scored ones if they are fewer; ties at the cut go by seeded hash, then key."""
+    """The ``n`` most likely users, or all scored ones if they are fewer; ties at the cut go by seeded hash, then key.
+
+    Every task keeps a heap of its best ``n`` and the heaps are merged in three levels, in one job over ``scored``. An ``n``
+    above HEAP_ROWS is too many rows for a heap, and the cut is searched by rank; both give the same users.
+    """
+    if n < 0:
+        raise ValueError(f"an audience has 0 or more users, not {n}")
     known = scored_only(scored)
-    size = known.count()
-    return _best(known, size, min(n, size), key, seed)
+    if n == 0:
+        return known.where(F.lit(False))
+    if n > HEAP_ROWS:
+        return _cut(known, lambda size: min(n, size), key, seed)
+    row = F.struct(
+        (-F.col("probability")).alias("down"), hash_order([F.col(key)], seed).alias("place"), F.struct(*[F.col(c) for c in known.columns]).alias("row")
+    )
+    best = known.select(row.alias("row"), F.pmod(F.spark_partition_id(), F.lit(FAN_IN**2)).alias("part"))
+    for _ in range(3):
+        heap = InternalFunction.collect_top_k(F.col("row"), n, True)
+        best = best.groupBy("part").agg(heap.alias("rows")).select(F.explode("rows").alias("row"), F.floor(F.col("part") / FAN_IN).alias("part"))
+    return best.select("row.row.*")
 
 
 def above(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -36,29 +58,32 @@ def above(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def top_percent(scored: DataFrame, percent: float = 15, key: str = "user_id", seed: int = 42) -> DataFrame:
     """The most likely ``percent`` of scored users, rounded up; ties at the cut as in ``top_n``."""
-    known = scored_only(scored)
-    size = known.count()
-    return _best(known, size, math.ceil(Fraction(str(percent)) * size / 100), key, seed)
+    if not 0 <= percent <= 100:
+        raise ValueError(f"a percentage is from 0 to 100, not {percent}")
+    return _cut(scored_only(scored), lambda size: math.ceil(Fraction(str(percent)) * size / 100), key, seed)
 
 
-def _best(known: DataFrame, size: int, wanted: int, key: str, seed: int) -> DataFrame:
-    """The ``wanted`` most likely of ``size`` scored users.
+def _cut(known: DataFrame, wanted, key: str, seed: int) -> DataFrame:
+    """The most likely users, as many as ``wanted`` makes of the number of all.
 
-    The cut is found first, in a few narrow passes, so that the result is a filter of the scored
-    table. Nothing is sorted as a whole, and any share of users may have the same probability.
+    The cut is found first from keys and probabilities, written once, so that the result is a filter of the scored table:
+    nothing is sorted as a whole, and any share of users may have the same probability.
     """
-    if wanted == 0:
+    narrow = materialize(known.select(F.col(key).alias("key"), F.col("probability").cast("double").alias("probability")), "scored")
+    size = narrow.count()
+    chosen = wanted(size)
+    if chosen == 0:
         return known.where(F.lit(False))
-    probability = F.col("probability")
-    place = size - wanted + 1
-    cut = values_at_ranks(known, {"probability": [place]}, {"probability": size})["probability", place]
-    sides = known.agg(
-        F.count_if(probability > cut).alias("higher"), F.count_if(probability == cut).alias("tied")
-    ).first()
-    room = wanted - sides.higher
-    if room == sides.tied:
-        return known.where(probability >= cut)
-    last = hash_cuts(known.where(probability == cut), F.lit(0), key, {0: [room]}, seed)[0, room]
-    hashed = order_hash(F.col(key), seed)
-    chosen_tie = (probability == cut) & at_or_before(hashed, F.col(key), last)
-    return known.where((probability > cut) | chosen_tie)
+    last = size - chosen + 1
+    spot = places_at_ranks(narrow, {"probability": [last]})["probability", last]
+    probability, room = F.col("probability").cast("double"), spot.ties - spot.place + 1
+    if room == spot.ties:
+        return known.where(probability >= spot.value)
+    tied = narrow.where(probability == spot.value).select(F.lit(0).alias("label"), hash_order([F.col("key")], seed).alias("place"))
+    cut = hash_cuts(tied, lambda total: [F.lit(room)]).first()["cut"]
+    return known.where((probability > spot.value) | ((probability == spot.value) & _within(hash_order([F.col(key)], seed), cut)))
+
+
+def _within(place: Column, cut) -> Column:
+    hashed, key = place["hash"], place["key"]["k0"]
+    return (hashed < cut["hash"]) | ((hashed == cut["hash"]) & (key <= cut["key"]["k0"]))

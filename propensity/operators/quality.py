@@ -151,7 +151,7 @@ def describe(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
         for n in names
         if sizes[n]
     }
-    at = values_at_ranks(plain, wanted, sizes)
+    at = values_at_ranks(plain, wanted)
 
     def quartile(n: str, q: str) -> Column:
         if not sizes[n]:

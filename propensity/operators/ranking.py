@@ -1,127 +1,121 @@
-"""Exact selection by rank without sorting the data in one place.
+"""Exact selection by rank without ordering the rows.
 
-Ranks are found by narrowing: a cheap pass brackets each wanted rank, a second pass counts
-exactly, and only the few rows inside a bracket are ordered. The answers are a handful of scalars
-that become literals of a plain filter, so wide rows are never shuffled to be ranked.
+Values are searched by narrowing: numbers become 64-bit integers in the same order, a pass counts the rows of at most 8,192
+sub-ranges of the range that still holds a rank, and the next pass splits the chosen sub-range. Every pass narrows a range by 13 bits
+at least, so five passes find any rank, and data of few or evenly spread values take two or three. Only counts are ever ordered.
+
+Hashes are spread evenly by themselves: rows are counted in 65,536 ranges, and only the rows in the range of a cut are looked
+at. Cuts are tables with a row per class and rank, so any number of classes can be cut at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import struct
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from propensity.functions.scalars import hash_text
+from propensity.session import materialize
 
 _RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
 #: Rows are ordered by 15 hexadecimal digits and counted by the first 4: 65,536 ranges.
 _HASH_DIGITS, _RANGE_DIGITS = 15, 4
+#: Bits by which a pass narrows a range: 8,192 counts per range.
+_PASS_BITS = 13
 
 
 # ------------------------------------------------------------ by value
 
 
-def values_at_ranks(
-    df: DataFrame, wanted: Mapping[str, Sequence[int]], sizes: Mapping[str, int], accuracy: int = 20_000
-) -> dict[tuple[str, int], float]:
-    """Exact values at the 1-based ascending ``wanted`` ranks of each column.
+@dataclass(frozen=True)
+class Place:
+    """The value at a rank, how many rows have it, and which of them in order (from 1) the rank is."""
+
+    value: float
+    place: int
+    ties: int
+
+
+def order_bits(number: Column) -> Column:
+    """The IEEE bits of a double as a long in the order of the numbers, infinities included; both zeros are 0.
+
+    There is no function for the bits: the exponent is the rounded logarithm set right by comparison, and scaling by powers of
+    two is exact.
+    """
+    size = F.abs(number.cast("double"))
+    two = F.lit(2.0)
+    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022))
+    low = F.when(F.pow(two, guess) > size, guess - 1).otherwise(guess)
+    exponent = F.greatest(F.when(F.pow(two, low + 1) <= size, low + 1).otherwise(low), F.lit(-1022))
+    scaled = (size / F.pow(two, exponent) * F.lit(2.0**52)).cast("long")
+    finite = F.shiftleft((exponent + 1022).cast("long"), 52) + scaled
+    bits = F.when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(0x7FF0 << 48).cast("long")).otherwise(finite)
+    return F.when(number < 0, -bits).otherwise(bits)
+
+
+def from_order_bits(bits: int) -> float:
+    size = struct.unpack("<d", struct.pack("<q", abs(bits)))[0]
+    return -size if bits < 0 else size
+
 
-    ``sizes`` are the numbers of non-NULL values. Columns must hold no NaN. Brackets come from an
-    approximate percentile and are checked by exact counts; a bracket that misses its rank is
-    widened and tried again, at last to the true extremes. Values that many rows share collapse map-side.
+def places_at_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]]) -> dict[tuple[str, int], Place]:
+    """What stands at the 1-based ascending ``wanted`` ranks of each column, without its NULLs and NaN.
+
+    All columns and ranks are counted in the same passes over ``df``; a rank beyond a column's values is an error.
     """
-    found: dict[tuple[str, int], float] = {}
-    pending = {c: [tuple(group) for group in _neighbours(ranks)] for c, ranks in wanted.items()}
-    margin = 4 / accuracy
+    bits = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), order_bits(F.col(c))).alias(f"c{i}") for i, c in enumerate(wanted)])
+    found: dict[tuple[str, int], Place] = {}
+    # a range of a column, and the ranks sought in it with their places there; at first everything
+    pending = {(i, None, None): {(c, rank): rank for rank in set(ranks)} for i, (c, ranks) in enumerate(wanted.items()) if ranks}
     while pending:
-        brackets = _brackets(df, pending, sizes, margin, accuracy)
-        counts = df.agg(
-            *[F.count_if(F.col(c) < low).alias(f"below{i}") for i, (c, _, low, _) in enumerate(brackets)],
-            *[F.count_if(F.col(c) <= top).alias(f"upto{i}") for i, (c, _, _, top) in enumerate(brackets)],
-        ).first()
-        pending, inside = {}, []
-        for i, (c, ranks, low, top) in enumerate(brackets):
-            below, upto = counts[f"below{i}"], counts[f"upto{i}"]
-            if not below < ranks[0] <= ranks[-1] <= upto:
-                if margin >= 1:
-                    raise ValueError(f"'{c}' has no {sizes[c]} comparable values: it holds NaN, or it changed meanwhile")
-                pending.setdefault(c, []).append(ranks)
-            elif low == top:
-                found.update({(c, rank): low for rank in ranks})
-            else:
-                inside += [(c, rank, low, top, rank - below) for rank in ranks]
-        found.update(_inside(df, inside))
-        margin = min(1.0, margin * 16)
+        hits = _counted(bits, pending)
+        following: dict[tuple, dict] = {}
+        for slot, sought in enumerate(pending.values()):
+            for (c, rank), place in sought.items():
+                row = next((r for r in hits if r.slot == slot and r.before < place <= r.before + r.n), None)
+                if row is None:
+                    raise ValueError(f"'{c}' has no {rank} comparable values")
+                if row.low == row.top:
+                    found[c, rank] = Place(from_order_bits(row.low), place - row.before, row.n)
+                else:
+                    column = list(wanted).index(c)
+                    following.setdefault((column, row.low, row.top), {})[c, rank] = place - row.before
+        pending = following
     return found
 
 
-def _neighbours(ranks: Sequence[int]) -> list[list[int]]:
-    """Group consecutive ranks: they share one bracket."""
-    groups: list[list[int]] = []
-    for rank in sorted(set(ranks)):
-        if groups and rank - groups[-1][-1] <= 1:
-            groups[-1].append(rank)
+def _counted(bits: DataFrame, pending: Mapping[tuple, Mapping]) -> list:
+    """The sub-ranges that hold a sought place: ``slot, n, before, low, top``, the last two the least and greatest value."""
+
+    def entry(slot: int, column: int, low: int | None, top: int | None) -> Column:
+        value = F.col(f"c{column}")
+        if low is None:
+            inside, part = value.isNotNull(), F.shiftright(value, 64 - _PASS_BITS)
         else:
-            groups.append([rank])
-    return groups
-
-
-def _brackets(df, pending, sizes, margin, accuracy):
-    """``column, ranks, low, top`` per group of ranks, from one sketch per column, or its extremes."""
-    if margin >= 1:
-        ends = df.agg(*[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(pending) for f in (F.min, F.max)]).first()
-        return [(c, ranks, ends[f"min{i}"], ends[f"max{i}"]) for i, (c, groups) in enumerate(pending.items()) for ranks in groups]
-    row = df.agg(
-        *[
-            F.percentile_approx(
-                F.col(c),
-                [
-                    share
-                    for ranks in groups
-                    for share in (
-                        max(0.0, (ranks[0] - 1) / sizes[c] - margin),
-                        min(1.0, ranks[-1] / sizes[c] + margin),
-                    )
-                ],
-                accuracy,
-            ).alias(f"p{i}")
-            for i, (c, groups) in enumerate(pending.items())
-        ]
-    ).first()
-    return [
-        (c, ranks, row[f"p{i}"][2 * j], row[f"p{i}"][2 * j + 1])
-        for i, (c, groups) in enumerate(pending.items())
-        for j, ranks in enumerate(groups)
-    ]
-
-
-def _inside(df, slots) -> dict[tuple[str, int], float]:
-    """The values at the wanted ranks of each bracket, by counting its distinct values."""
-    if not slots:
-        return {}
-    brackets = list(dict.fromkeys((c, low, top) for c, _, low, top, _ in slots))
-    hits = [F.col(c).between(low, top) for c, low, top in brackets]
-    entries = [
-        F.when(hit, F.struct(F.lit(i).alias("bracket"), F.col(c).cast("double").alias("value")))
-        for i, (hit, (c, _, _)) in enumerate(zip(hits, brackets))
-    ]
-    near = df.where(_any(hits)).select(F.inline(F.array_compact(F.array(*entries))))
-    counted = near.groupBy("bracket", "value").count()
-    in_order = Window.partitionBy("bracket").orderBy("value").rowsBetween(*_RUNNING)
-    running = counted.withColumn("upto", F.sum("count").over(in_order))
+            inside = value.between(low, top)
+            part = F.shiftright(value - F.lit(low), max(0, (top - low).bit_length() - _PASS_BITS))
+        return F.when(inside, F.struct(F.lit(slot).alias("slot"), part.alias("part"), value.alias("value")))
+
+    entries = [entry(slot, *span) for slot, span in enumerate(pending)]
+    counted = (
+        bits.select(F.inline(F.array_compact(F.array(*entries))))
+        .groupBy("slot", "part")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("top"))
+    )
+    in_order = Window.partitionBy("slot").orderBy("part").rowsBetween(*_RUNNING)
+    before = counted.withColumn("before", F.sum("n").over(in_order) - F.col("n"))
     hit = F.lit(False)
-    for c, _, low, top, place in slots:
-        here = F.col("bracket") == brackets.index((c, low, top))
-        hit = hit | (here & (F.col("upto") >= place) & (F.col("upto") - F.col("count") < place))
-    rows = running.where(hit).collect()
-    answers = {}
-    for c, rank, low, top, place in slots:
-        i = brackets.index((c, low, top))
-        answers[c, rank] = next(
-            row.value for row in rows if row.bracket == i and row["upto"] - row["count"] < place <= row["upto"]
-        )
-    return answers
+    for slot, sought in enumerate(pending.values()):
+        for place in sorted(set(sought.values())):
+            hit = hit | ((F.col("slot") == slot) & (F.col("before") < place) & (F.col("before") + F.col("n") >= place))
+    return before.where(hit).select("slot", "n", "before", "low", "top").collect()
+
+
+def values_at_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]]) -> dict[tuple[str, int], float]:
+    return {at: place.value for at, place in places_at_ranks(df, wanted).items()}
 
 
 # ------------------------------------------------------------ by hash
@@ -136,76 +130,49 @@ def hash_range(hashed: Column) -> Column:
     return F.substring(hashed, 1, _RANGE_DIGITS)
 
 
-def ranges_before(df: DataFrame, group: Column, key: Column, seed: int) -> DataFrame:
-    """Rows per ``group_value`` and hash range, with the running count ``upto``.
+def hash_order(keys: Sequence[Column], seed: int) -> Column:
+    """A value that orders rows by the seeded hash of their key, ties by the key; NULLs in it come first."""
+    text = keys[0] if len(keys) == 1 else F.concat_ws("-", *[k.cast("string") for k in keys])
+    return F.struct(order_hash(text, seed).alias("hash"), F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).alias("key"))
+
+
+def ranges_before(rows: DataFrame) -> DataFrame:
+    """Rows per ``label`` and ``hash_range`` of frames with ``label, place``, the running count ``upto`` and the label's ``total``.
 
-    At most 65,536 rows per group whatever the data, so ordering them is cheap.
+    At most 65,536 rows per label whatever the data, so ordering them is cheap.
     """
-    counted = (
-        df.select(group.alias("group_value"), hash_range(order_hash(key, seed)).alias("hash_range"))
-        .groupBy("group_value", "hash_range")
-        .count()
+    counted = rows.select("label", hash_range(F.col("place.hash")).alias("hash_range")).groupBy("label", "hash_range").count()
+    same = Window.partitionBy("label")
+    return counted.withColumns(
+        {"upto": F.sum("count").over(same.orderBy("hash_range").rowsBetween(*_RUNNING)), "total": F.sum("count").over(same)}
     )
-    in_order = Window.partitionBy("group_value").orderBy("hash_range").rowsBetween(*_RUNNING)
-    return counted.withColumn("upto", F.sum("count").over(in_order))
 
 
-def hash_cuts(
-    df: DataFrame, group: Column, key: str, ranks: Mapping[object, Sequence[int]], seed: int
-) -> dict[tuple[object, int], tuple[str, object]]:
-    """``(hash, key)`` of the row at each wanted 1-based rank of each group, in hash order.
+def hash_cuts(rows: DataFrame, ranks: Callable[[Column], Sequence[Column]]) -> DataFrame:
+    """``label, rank, cut, of_ties, ties``: what stands at wanted ranks of each label, in the order of ``place``.
 
-    Ranks of 0 are left out. Groups and ranks are few; a group may hold any share of the rows.
+    ``rows`` holds ``label, place`` with places from ``hash_order``, and is read twice; ``ranks`` turns the rows of a label into
+    1-based ranks, of which those of 0 are left out. ``ties`` rows have the very place ``cut``, ``of_ties`` of them are within the
+    rank. A label may hold any share of the rows, and there may be any number of labels.
     """
-    slots = [(g, rank) for g, wanted in ranks.items() for rank in sorted(set(wanted)) if rank > 0]
-    if not slots:
-        return {}
-    ranges = ranges_before(df, group, F.col(key), seed)
-    rows = ranges.where(_any(_holds(F.col("group_value"), g, rank) for g, rank in slots)).collect()
-    cut_ranges = {}
-    for g, rank in slots:
-        row = next(r for r in rows if r.group_value == g and r["upto"] - r["count"] < rank <= r["upto"])
-        cut_ranges[g, rank] = (row.hash_range, rank - (row["upto"] - row["count"]))
-
-    hashed = df.select(
-        group.alias("group_value"), F.col(key).alias("key"), order_hash(F.col(key), seed).alias("hash")
+    holds = (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("count"))
+    wanted = F.explode(F.array_distinct(F.array(*[r.cast("long") for r in ranks(F.col("total"))])))
+    spots = (
+        ranges_before(rows)
+        .withColumn("rank", wanted)
+        .where(holds)
+        .select("label", "hash_range", "rank", (F.col("rank") - F.col("upto") + F.col("count")).alias("within"))
     )
-    chosen = hash_range(F.col("hash")).isin(sorted({r for r, _ in cut_ranges.values()}))
-    counted = (
-        hashed.where(chosen)
-        .withColumn("hash_range", hash_range(F.col("hash")))
-        .groupBy("group_value", "hash_range", "hash", "key")
+    spots = materialize(spots, "spots")
+    near = (
+        rows.withColumn("hash_range", hash_range(F.col("place.hash")))
+        .join(spots.select("label", "hash_range").distinct(), ["label", "hash_range"], "left_semi")
+        .groupBy("label", "hash_range", "place")
         .count()
     )
-    in_order = Window.partitionBy("group_value", "hash_range").orderBy("hash", "key").rowsBetween(*_RUNNING)
-    running = counted.withColumn("upto", F.sum("count").over(in_order))
-    exact = _any(
-        _holds(F.col("group_value"), g, place) & (F.col("hash_range") == r)
-        for (g, _), (r, place) in cut_ranges.items()
-    )
-    rows = running.where(exact).collect()
-    return {
-        (g, rank): next(
-            (r.hash, r.key)
-            for r in rows
-            if r.group_value == g and r.hash_range == cut and r["upto"] - r["count"] < place <= r["upto"]
-        )
-        for (g, rank), (cut, place) in cut_ranges.items()
-    }
-
-
-def at_or_before(hashed: Column, key: Column, cut: tuple[str, object]) -> Column:
-    """Is the row at or before a cut found by ``hash_cuts``? ``hashed`` is its order hash."""
-    cut_hash, cut_key = cut
-    return (hashed < cut_hash) | ((hashed == cut_hash) & (key <= cut_key))
-
-
-def _holds(group: Column, value, place: int) -> Column:
-    return (group == value) & (F.col("upto") >= place) & (F.col("upto") - F.col("count") < place)
-
-
-def _any(conditions) -> Column:
-    result = F.lit(False)
-    for condition in conditions:
-        result = result | condition
-    return result
+    in_order = Window.partitionBy("label", "hash_range").orderBy("place").rowsBetween(*_RUNNING)
+    exact = near.withColumn("upto", F.sum("count").over(in_order)).join(spots, ["label", "hash_range"])
+    exact = exact.where((F.col("within") <= F.col("upto")) & (F.col("within") > F.col("upto") - F.col("count")))
+    of_ties = F.col("within") - F.col("upto") + F.col("count")
+    cuts = exact.select("label", "rank", F.col("place").alias("cut"), of_ties.alias("of_ties"), F.col("count").alias("ties"))
+    return materialize(cuts, "cuts")

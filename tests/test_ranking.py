@@ -1,16 +1,18 @@
 """Selection by rank against sorting."""
 
+import math
 import random
+import struct
 from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
 
 from propensity.functions.scalars import hash_number, hash_text
-from propensity.operators import audience
+from propensity.operators import audience, ranking
 from propensity.operators.audience import top_n, top_percent
 from propensity.operators.quality import describe
-from propensity.operators.ranking import at_or_before, hash_cuts, values_at_ranks
+from propensity.operators.ranking import Place, from_order_bits, hash_cuts, hash_order, order_bits, places_at_ranks, values_at_ranks
 
 SHAPES = {
     "spread": lambda draw: draw.random(),
@@ -22,16 +24,58 @@ SHAPES = {
 
 
 @pytest.mark.parametrize("shape", SHAPES)
-@pytest.mark.parametrize("accuracy", [20, 20_000])
-def test_values_at_ranks(spark, shape, accuracy):
-    """A coarse accuracy makes brackets miss, which must only cost another round."""
+def test_values_at_ranks(spark, shape):
     draw = random.Random(1)
     values = [SHAPES[shape](draw) for _ in range(3000)]
-    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double").repartition(4)
     ranks = [1, 2, 700, 1500, 1501, 2999, 3000]
-    found = values_at_ranks(df, {"x": ranks}, {"x": len(values)}, accuracy)
     ordered = sorted(values)
-    assert found == {("x", rank): ordered[rank - 1] for rank in ranks}
+    found = places_at_ranks(df, {"x": ranks})
+    for rank in ranks:
+        value = ordered[rank - 1]
+        assert found["x", rank] == Place(value, rank - ordered.index(value), ordered.count(value))
+    with pytest.raises(ValueError):
+        values_at_ranks(df, {"x": [3001]})
+
+
+EXTREMES = [
+    0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, -1e-310, 1.0, -1.0, 0.1, 1 - 2**-53, 1 + 2**-52, 2.0**52,
+    2.0**53 - 1, 1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf"), 3.0, 4.0, 4.0 - 2**-51, 1e-5, 123456.789,
+]
+
+
+def test_order_bits_are_the_bits_of_doubles(spark):
+    draw = random.Random(4)
+    powers = [p for e in range(-1074, 1024) for p in (2.0**e, math.nextafter(2.0**e, 0), math.nextafter(2.0**e, math.inf))]
+    values = [*EXTREMES, *powers, *(struct.unpack("<d", draw.randbytes(8))[0] for _ in range(5000))]
+    values = [v for v in values if not math.isnan(v)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for x, bits in df.select("x", order_bits(F.col("x")).alias("b")).collect():
+        size = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+        assert bits == (-size if x < 0 else size)
+        assert from_order_bits(bits) == x
+
+
+def test_ranks_of_extremes_and_many_columns(spark):
+    rows = [(v, 7.0, float(i % 2)) for i, v in enumerate(EXTREMES * 3)]
+    df = spark.createDataFrame(rows, "x double, one double, two double").repartition(3)
+    ranks = list(range(1, len(rows) + 1))
+    found = values_at_ranks(df, {"x": ranks, "one": [1, len(rows)], "two": [1, len(rows)]})
+    ordered = sorted(v for v, _, _ in rows)
+    assert [found["x", r] for r in ranks] == ordered
+    assert found["one", 1] == found["one", len(rows)] == 7.0 and (found["two", 1], found["two", len(rows)]) == (0.0, 1.0)
+
+
+def test_a_rank_takes_at_most_five_passes(spark, monkeypatch):
+    passes = []
+    counted = ranking._counted
+    monkeypatch.setattr(ranking, "_counted", lambda bits, pending: passes.append(len(pending)) or counted(bits, pending))
+    near = [(1.0 + i * 2**-52,) for i in range(3000)] + [(float("inf"),), (-1e300,)] * 500
+    assert values_at_ranks(spark.createDataFrame(near, "x double"), {"x": [1600]})["x", 1600] == 1.0 + 1099 * 2**-52
+    assert len(passes) <= 5
+    passes.clear()
+    values_at_ranks(spark.createDataFrame([(3.0,)] * 50, "x double"), {"x": [25]})
+    assert len(passes) == 1
 
 
 def test_describe_against_pandas(spark):
@@ -54,16 +98,17 @@ def test_describe_of_an_empty_column(spark):
 @pytest.mark.parametrize("copies", [1, 50])
 def test_hash_cuts(spark, copies):
     """One group holds most rows; a key may repeat."""
-    df = spark.range(2000).selectExpr("id AS k", "IF(id % 20 = 0, 'b', 'a') AS g")
+    df = spark.range(2000).selectExpr("id AS k", "IF(id % 20 = 0, 'b', 'a') AS label")
     if copies > 1:
-        df = df.unionAll(spark.range(copies).selectExpr("7L AS k", "'a' AS g"))
-    rows = df.select("k", "g", hash_text(F.col("k"), 5, 15).alias("h")).collect()
-    ordered = {g: sorted((r.h, r.k) for r in rows if r.g == g) for g in "ab"}
-    ranks = {"a": [1, 400, len(ordered["a"])], "b": [0, 30]}
-    cuts = hash_cuts(df, F.col("g"), "k", ranks, 5)
-    assert cuts == {(g, n): ordered[g][n - 1] for g, ns in ranks.items() for n in ns if n}
-    kept = df.where((F.col("g") == "b") & at_or_before(hash_text(F.col("k"), 5, 15), F.col("k"), cuts["b", 30])).count()
-    assert kept == 30
+        df = df.unionAll(spark.range(copies).selectExpr("7L AS k", "'a' AS label"))
+    rows = df.select("k", "label", hash_text(F.col("k"), 5, 15).alias("h")).collect()
+    ordered = {g: sorted((r.h, r.k) for r in rows if r.label == g) for g in "ab"}
+    cuts = hash_cuts(df.select("label", hash_order([F.col("k")], 5).alias("place")), lambda total: [F.lit(0), F.lit(30), total - 1, total]).collect()
+    assert len(cuts) == 6
+    for r in cuts:
+        at = (r.cut.hash, r.cut.key.k0)
+        assert at == ordered[r.label][r["rank"] - 1]
+        assert r.ties == ordered[r.label].count(at) and r.of_ties == r["rank"] - ordered[r.label].index(at)
 
 
 @pytest.mark.parametrize("shape", SHAPES)
@@ -91,7 +136,28 @@ def test_missing_scores_are_never_selected(spark):
     assert {r.user_id for r in top_n(df, 9).collect()} == {r.user_id for r in audience.above(df, 0.0).collect()} == {1, 3}
     assert [r.user_id for r in audience.ranked(df).collect()] == [1, 3]
     with pytest.raises(ValueError):
-        values_at_ranks(df.where("probability is not null"), {"probability": [4]}, {"probability": 4})
+        values_at_ranks(df, {"probability": [3]})
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("n", [1, 100, 996, 2000])
+def test_heap_and_rank_cut_agree(spark, monkeypatch, shape, n):
+    draw = random.Random(6)
+    rows = [(f"u{i}", SHAPES[shape](draw), i) for i in range(997)]
+    df = spark.createDataFrame(rows, "user_id string, probability double, row int").repartition(40)
+    heap = sorted(map(tuple, top_n(df, n).collect()))
+    monkeypatch.setattr(audience, "HEAP_ROWS", 0)
+    assert sorted(map(tuple, top_n(df, n).collect())) == heap and len(heap) == min(n, 997)
+
+
+def test_audience_arguments(spark):
+    df = spark.createDataFrame([(1, 0.9)], "user_id int, probability double")
+    assert top_n(df, 0).collect() == [] == top_percent(df, 0).collect()
+    for bad in (lambda: top_n(df, -1), lambda: top_percent(df, -5), lambda: top_percent(df, 101)):
+        with pytest.raises(ValueError):
+            bad()
+    empty = df.where("user_id = 2")
+    assert top_n(empty, 3).collect() == [] == top_percent(empty, 10).collect()
 
 
 def test_top_n_is_cut_by_threshold(spark):
