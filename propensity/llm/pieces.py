@@ -23,7 +23,7 @@ from propensity.llm import common
 
 MARK = "▁"
 #: Bytes of text whose chunks share one table; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Texts that show whether a vocabulary changes characters or white space before it segments.
 _PROBES = ("", " ", "  a  b ", "a\nb \n\n c\n", "ﬁ　x y", "\ta\t\tb\r\n", "<s></s><unk><0x0A>", f"a{MARK}b{MARK}", "\U0001f600 漢字", "x\x00y")
 
@@ -88,6 +88,16 @@ def _table(path: str) -> PieceTable:
     return _TABLES[path]
 
 
+def _encoded(batches: Iterator, table: PieceTable) -> Iterator[tuple[pa.Array, list[np.ndarray]]]:
+    for block in common.byte_blocks(batches, BLOCK_BYTES, 1):
+        yield block.column(0), table.encode([t or "" for t in block.column(1).to_pylist()])
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows, rows.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids) of every row: what the library gives for the whole text, with begin and end ids.
 
@@ -96,13 +106,11 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     """
 
     def run(batches: Iterator) -> Iterator:
-        table = _table(path)
-        for block in common.byte_blocks(batches, BLOCK_BYTES, 1):
-            ids = table.encode([t or "" for t in block.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        for keys, ids in _encoded(batches, _table(path)):
+            yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return common.in_batches(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    rows, kind = _texts(docs, key, text)
+    return common.in_batches(rows, run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -121,16 +129,18 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return common.in_batches(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, text string")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): hashes of the ids as little-endian 32-bit numbers, and of the text."""
+def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: hashes of the ids of ``encode`` as little-endian 32-bit
+    numbers, and of the text decoded from them. Neither ids nor texts leave the task that made them.
+    """
 
     def run(batches: Iterator) -> Iterator:
-        for batch in batches:
-            ids = batch.column(1)
-            values, starts = ids.values.to_numpy().astype("<u4"), ids.offsets.to_numpy()
-            told = [hashlib.sha256(values[a:b]).hexdigest() for a, b in zip(starts[:-1], starts[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(starts).astype(np.int64)), pa.array(told), batch.column(2)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = decoded.schema["doc_id"].dataType.simpleString()
-    hashed = decoded.select("doc_id", "ids", F.sha2("text", 256).alias("decoded_sha256"))
-    return common.in_batches(hashed, run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        table = _table(path)
+        for keys, ids in _encoded(batches, table):
+            told = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids]
+            texts = [hashlib.sha256(table.model.decode(x.tolist()).encode()).hexdigest() for x in ids]
+            columns = [keys, pa.array([len(x) for x in ids], pa.int64()), pa.array(told, pa.string()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows, kind = _texts(docs, key, text)
+    return common.in_batches(rows, run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

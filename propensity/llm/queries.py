@@ -138,7 +138,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_pieces(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """All documents encoded with begin and end ids under a 32,000-piece vocabulary, and decoded again."""
     path = path or public_tokenizers.path("piece_bpe_32k.model")
-    return pieces.digests(pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), path), path))
+    return pieces.digests(read(spark, sf_dir, "documents"), path)
 
 
 @query(

@@ -49,18 +49,19 @@ def test_query_against_the_library(spark, model, tmp_path):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
-def test_blocks_do_not_change_the_result(spark, monkeypatch):
+def test_blocks_do_not_change_the_result(spark, model, monkeypatch):
     whole = pieces.decode(pieces.encode(frame(spark), PATH), PATH).collect()
     monkeypatch.setattr(pieces, "BLOCK_BYTES", 100)
     small = pieces.decode(pieces.encode(frame(spark), PATH), PATH).collect()
     assert sorted(map(repr, whole)) == sorted(map(repr, small))
+    assert all(r.text == (model.decode(r.ids)) for r in whole)
 
 
 def test_long_texts_empty_table_and_other_columns(spark, model):
     long = [(1, "ab cd\n" * 400_000), (2, "é" * 300_000), (3, " " * 300_000)]
     got = {r.doc_id: r.ids for r in pieces.encode(frame(spark, long), PATH).collect()}
     assert all(got[k] == model.encode(t, add_bos=True, add_eos=True) for k, t in long)
-    assert pieces.digests(pieces.decode(pieces.encode(frame(spark, []), PATH), PATH)).collect() == []
+    assert pieces.digests(frame(spark, []), PATH).collect() == [] == pieces.decode(pieces.encode(frame(spark, []), PATH), PATH).collect()
     clash = frame(spark, [(1, "a b")]).select("doc_id", "text", F.lit(0).alias("ids"), F.lit(0).alias("n_tokens"))
     assert pieces.encode(clash, PATH).first().ids == model.encode("a b", add_bos=True, add_eos=True)
 
