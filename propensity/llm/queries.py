@@ -176,6 +176,4 @@ def op13_alignment(spark: SparkSession, sf_dir: str, byte_path: str | None = Non
     """Groups and links of the tokens of two vocabularies in every document, and how often the linked ids meet."""
     byte_path = byte_path or public_tokenizers.path("byte_bpe_50k.json")
     piece_path = piece_path or public_tokenizers.path("piece_bpe_32k.model")
-    aligned = alignment.align(read(spark, sf_dir, "documents"), byte_path, piece_path)
-    scored = alignment.link_scores(alignment.digests(aligned))
-    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return alignment.link_scores(read(spark, sf_dir, "documents"), byte_path, piece_path).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

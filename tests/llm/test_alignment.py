@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 from collections import Counter
 
@@ -76,7 +77,7 @@ def test_query_equals_the_plain_version(spark, both, tmp_path, monkeypatch):
     want = sorted(map(repr, plain_version(both, rows)))
     assert sorted(map(repr, map(tuple, queries.op13_alignment(spark, str(tmp_path)).collect()))) == want
     monkeypatch.setattr(alignment, "TEXT_BYTES", 300)
-    monkeypatch.setattr(alignment, "LINK_BYTES", 500)
+    monkeypatch.setattr(alignment, "BLOCK_LINKS", 500)
     assert sorted(map(repr, map(tuple, queries.op13_alignment(spark, str(tmp_path)).collect()))) == want
 
 
@@ -93,6 +94,29 @@ def test_aligned_tokens(spark, both):
             assert not r.b_ids and (not by_key[r.doc_id] or "▁" in by_key[r.doc_id])
 
 
+def test_ranks_give_the_ids_of_the_library(both):
+    """Every code point in every place where its class decides how a text is cut."""
+    encode, _ = alignment.byte_encoder(BYTES)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 4000):
+        part = [f" a{c}b 1{c}2 .{c}. {c} {c}{c}  {c}'s\n{c}" for c in map(chr, points[at : at + 4000])]
+        for text, told in zip(part, both[0].encode_batch_fast(part, add_special_tokens=False)):
+            assert encode(text).tolist() == told.ids
+    for text in ("y" * 100_000, " " * 1_000_000, "<|endoftext|>", "\n" * 100_000 + "a"):
+        assert encode(text).tolist() == both[0].encode(text, add_special_tokens=False).ids
+
+
+def test_vocabularies_that_are_not_ranks_go_through_the_library(both, tmp_path):
+    told = json.loads(open(BYTES).read())
+    told["model"]["merges"] = told["model"]["merges"][:300] + told["model"]["merges"][301:]
+    (tmp_path / "other.json").write_text(json.dumps(told))
+    other = Tokenizer.from_file(str(tmp_path / "other.json"))
+    other.encode_special_tokens = True
+    encode, _ = alignment.byte_encoder(str(tmp_path / "other.json"))
+    text = " the quick brown fox <|endoftext|> naïve"
+    assert encode(text).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
 def test_pointer_jumping_on_long_chains():
     draw = random.Random(2)
     for _ in range(200):
@@ -107,7 +131,7 @@ def test_pointer_jumping_on_long_chains():
 
 
 def test_empty_table_long_texts_and_other_columns(spark, both):
-    score = lambda df: alignment.link_scores(alignment.digests(alignment.align(df, BYTES, PIECES)))
+    score = lambda df: alignment.link_scores(df, BYTES, PIECES)
     assert score(frame(spark, [])).collect() == []
     assert [r.n_links for r in score(frame(spark, [(1, None), (2, "")])).collect()] == [0, 0]
     rows = [(1, "word other " * 40_000), (2, "y" * 100_000)]
