@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
 from catalog.inputs import AS_OF_DATE, CUTOFF, CUTOFFS, EARLY_CUTOFF, view, with_views
@@ -326,7 +328,9 @@ def join_click_pairs(spark, directory):
 
 @query(_traffic(_days_sql(CUTOFF)))
 def feat_ad_days(spark, directory):
-    return _block(spark, directory, lambda cut: cut.up_to, ads.ad_days)
+    events = view(spark, directory, "fx_traffic")
+    cut = cutoff(events, CUTOFF)
+    return ads.ad_days(events.where(cut.up_to), cut.ts)
 
 
 @query(_traffic(_last_sql(CUTOFF, "impression")))
@@ -385,6 +389,19 @@ def feat_multi_cutoff(spark, directory):
     )
 
 
+# A cut-off every 14 hours: more edges than most users have events between them.
+_EVERY_14_HOURS = [str(datetime.datetime(2024, 1, 1, 6) + datetime.timedelta(hours=14 * i)) for i in range(52)]
+
+
+@query(_both("\nUNION ALL\n".join(
+    _user_row_sql(at, head=f"TIMESTAMP '{at}' AS time_point,") for at in _EVERY_14_HOURS)))
+def feat_multi_cutoff_52(spark, directory):
+    """As many snapshots as a year has weeks, from the same reads as one."""
+    return _tidy(
+        user_rows(view(spark, directory, "fx_traffic"), view(spark, directory, "fx_conversions"), _EVERY_14_HOURS)
+    )
+
+
 def _share_sql(user: str, share: str, seed: int = 42) -> str:
     hashed = f"CAST('0x' || substr(md5(concat({user}, '-', {seed})), 1, 15) AS BIGINT)"
     return f"{hashed} < CAST(ceil(CAST({share} AS DECIMAL(18, 9)) * 1152921504606846976) AS HUGEINT)"

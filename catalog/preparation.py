@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.inputs import view, with_views
+from catalog.inputs import CUTOFFS, view, with_views
 from catalog.quality import NUMERIC, TRAIN_TYPES
 from catalog.registry import registry, rounded
 from propensity.functions import scalars
 from propensity.operators import balance, cleaning, encoding
+from propensity.plans.user_row import user_rows
 from propensity.session import scratch_path, use_utc
 from propensity.sources.csv_files import read_csv_directory, write_predictions
 from propensity.sources.tables import read_table
@@ -197,6 +198,77 @@ def prep_oversample(spark, directory):
     return df.select("user_id", "target_col")
 
 
+# Many classes of very different sizes: squares modulo a thousand.
+_MANY = """many AS (SELECT event_id, CAST(event_id * event_id % 1000 AS INT) AS label FROM events),
+   ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY substr(md5(concat(event_id, '-42')), 1, 15), event_id) AS place,
+     count(*) OVER (PARTITION BY label) AS n FROM many)"""
+
+
+def _many(spark, directory):
+    label = (F.col("event_id") * F.col("event_id") % 1000).cast("int")
+    return read_table(spark, directory, "events").select("event_id", label.alias("label"))
+
+
+@query(f"WITH {_MANY} SELECT event_id, label, place <= round(0.2 * n) AS is_test FROM ranked")
+def prep_stratified_split_many(spark, directory):
+    return balance.stratified_split(_many(spark, directory), "label", "event_id")
+
+
+@query(f"""WITH {_MANY} SELECT event_id, label,
+   CAST(ntile(5) OVER (PARTITION BY label ORDER BY place) - 1 AS INT) AS fold FROM ranked""")
+def prep_stratified_folds_many(spark, directory):
+    return balance.stratified_folds(_many(spark, directory), "label", "event_id")
+
+
+@query(f"""WITH {_MANY}, largest AS (SELECT max(n) AS n FROM ranked),
+   draws AS (SELECT CAST('0x' || substr(md5(concat(j, '-42')), 1, 15) AS BIGINT) AS h
+             FROM (SELECT unnest(range((SELECT n FROM largest))) AS j))
+   SELECT r.event_id, r.label FROM ranked r JOIN draws d ON d.h % r.n = r.place - 1 WHERE r.n < (SELECT n FROM largest)
+   UNION ALL SELECT event_id, label FROM ranked WHERE n = (SELECT n FROM largest)""")
+def prep_oversample_many(spark, directory):
+    return balance.oversample(_many(spark, directory), "label", "event_id")
+
+
+@query("""WITH bare AS (SELECT user_id, event_type, CAST(event_id % 3 AS INT) AS label FROM events),
+   told AS (SELECT *, md5(concat_ws(chr(31), CAST(user_id AS VARCHAR), event_type, CAST(label AS VARCHAR))) AS digest FROM bare)
+   SELECT user_id, event_type, label, row_number() OVER (PARTITION BY label ORDER BY substr(md5(concat(digest, '-42')), 1, 15), digest)
+     <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test FROM told""")
+def prep_split_no_key(spark, directory):
+    """Rows without a key, many of them equal."""
+    label = (F.col("event_id") % 3).cast("int").alias("label")
+    return balance.stratified_split(read_table(spark, directory, "events").select("user_id", "event_type", label), "label", None)
+
+
+# Feature rows of users at several cut-offs; the label is many recent clicks.
+_SNAPSHOTS = """, cutoffs AS (SELECT unnest([{cutoffs}]) AS time_point),
+   snapshots AS (SELECT time_point, user_id,
+       CAST(sum(CASE WHEN date_diff('second', event_dt_utc, time_point) < 1296000 THEN clicks ELSE 0 END) > 8 AS INT) AS label
+     FROM fx_traffic, cutoffs WHERE ad_product_type = 'sponsored_products' AND event_dt_utc < time_point GROUP BY ALL)
+""".format(cutoffs=", ".join(f"TIMESTAMP '{at}'" for at in CUTOFFS))
+
+
+def _snapshots(spark, directory):
+    rows = user_rows(view(spark, directory, "fx_traffic"), view(spark, directory, "fx_conversions"), CUTOFFS)
+    return rows.select("time_point", "user_id", (F.col("total_clicks_15d") > 8).cast("int").alias("label"))
+
+
+@query(with_views(_SNAPSHOTS + """SELECT time_point, user_id, label,
+     row_number() OVER (PARTITION BY label ORDER BY substr(md5(concat(time_point, '-', user_id, '-42')), 1, 15), time_point, user_id)
+       <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test FROM snapshots""", "fx_traffic"))
+def prep_split_snapshots(spark, directory):
+    """Several rows per user, told apart by cut-off and user together."""
+    return balance.stratified_split(_snapshots(spark, directory), "label", ["time_point", "user_id"])
+
+
+@query(with_views(_SNAPSHOTS + """, users AS (SELECT user_id, max(label) AS side FROM snapshots GROUP BY user_id),
+   chosen AS (SELECT user_id, row_number() OVER (PARTITION BY side ORDER BY substr(md5(concat(user_id, '-42')), 1, 15), user_id)
+       <= round(0.2 * count(*) OVER (PARTITION BY side)) AS is_test FROM users)
+   SELECT time_point, user_id, label, is_test FROM snapshots JOIN chosen USING (user_id)""", "fx_traffic"))
+def prep_split_users(spark, directory):
+    """All rows of a user on one side."""
+    return balance.split_by_group(_snapshots(spark, directory), "label", "user_id")
+
+
 @query(_train(_CLEAN + """SELECT user_id, target_col, round(
      (SELECT count(*) FROM fx_clean) * 1.0 / ((SELECT count(DISTINCT target_col) FROM fx_clean)
        * count(*) OVER (PARTITION BY target_col)), 9) AS class_weight FROM fx_clean"""))

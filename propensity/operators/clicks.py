@@ -58,10 +58,11 @@ def click_pairs(clicks: DataFrame, keys: Sequence[str] = ("user_id",), ts: str =
     )
 
 
-def click_interval(clicks: DataFrame, keys: Sequence[str] = ("user_id",), ts: str = "event_dt_utc") -> DataFrame:
-    """``avg_click_interval_seconds`` per user; users without a pair are left out.
+def click_states(clicks: DataFrame, keys: Sequence[str] = ("user_id",), ts: str = "event_dt_utc") -> DataFrame:
+    """``n, ties, at, gaps`` per key: clicks, ordered pairs at one instant, the sum of their seconds, and the sum of all gaps.
 
-    ``clicks`` holds the rows with clicks > 0 up to the cut-off.
+    States of stretches of time that follow each other merge: the gaps of both, and those between them, which are
+    n of the earlier times the later ``at`` less n of the later times the earlier ``at``.
     """
     whole = epoch_seconds(F.col(ts))
     gap = _times("at", "earlier") - _times("n", "earlier_at")
@@ -87,7 +88,6 @@ def click_interval(clicks: DataFrame, keys: Sequence[str] = ("user_id",), ts: st
         .withColumn("at", F.col("day").cast("decimal(10,0)") * DAY * F.col("n") + F.col("in_day_at"))
     )
     over_days = Window.partitionBy(*keys).orderBy("day").rowsBetween(*_EARLIER)
-    across = F.col("at") * F.col("earlier") - F.col("n") * F.col("earlier_at")
     return (
         per_day.withColumn("earlier", F.sum("n").over(over_days))
         .withColumn("earlier_at", F.sum("at").over(over_days))
@@ -95,9 +95,27 @@ def click_interval(clicks: DataFrame, keys: Sequence[str] = ("user_id",), ts: st
         .agg(
             F.sum("n").alias("n"),
             F.sum("ties").alias("ties"),
-            (_or_zero(F.sum("gaps")) + _or_zero(F.sum(across.cast(_EXACT)))).alias("gaps"),
+            F.sum("at").cast(_EXACT).alias("at"),
+            (_or_zero(F.sum("gaps")) + _or_zero(F.sum(_across().cast(_EXACT)))).alias("gaps"),
         )
-        .withColumn("pairs", _pairs())
-        .where(F.col("pairs") > 0)
-        .select(*keys, ratio(F.col("gaps"), F.col("pairs")).alias("avg_click_interval_seconds"))
     )
+
+
+def _across() -> Column:
+    """The gaps between a stretch and all earlier ones, of which there are ``earlier`` clicks with ``earlier_at`` seconds."""
+    return F.col("at") * F.col("earlier") - F.col("n") * F.col("earlier_at")
+
+
+def mean_gap(n: Column, ties: Column, gaps: Column) -> Column:
+    """The mean gap of a state; NULL without a pair."""
+    pairs = ((_or_zero(F.when(n > 1, n.cast("decimal(19,0)") * n.cast("decimal(19,0)") - n)) - _or_zero(ties)) / 2).cast(_EXACT)
+    return F.when(pairs > 0, ratio(gaps, pairs))
+
+
+def click_interval(clicks: DataFrame, keys: Sequence[str] = ("user_id",), ts: str = "event_dt_utc") -> DataFrame:
+    """``avg_click_interval_seconds`` per user; users without a pair are left out.
+
+    ``clicks`` holds the rows with clicks > 0 up to the cut-off.
+    """
+    gap = mean_gap(F.col("n"), F.col("ties"), F.col("gaps")).alias("avg_click_interval_seconds")
+    return click_states(clicks, keys, ts).select(*keys, gap).where(F.col("avg_click_interval_seconds").isNotNull())

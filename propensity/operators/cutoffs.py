@@ -7,7 +7,7 @@ with a constant: cheap per row, and usable by the scan.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cache
 
@@ -26,11 +26,6 @@ def _moved(at: Column, seconds: int, kind: T.DataType) -> Column:
     return (F.date_trunc("second", at) + step).cast(kind)
 
 
-def _offsets(horizons: Iterable[int]) -> list[int]:
-    spans = [days * DAY for days in horizons]
-    return sorted({o for span in spans for o in (-span, 1 - span, span)})
-
-
 @dataclass(frozen=True)
 class Cutoff:
     """One event time column seen from the cut-off ``at``.
@@ -72,28 +67,3 @@ def cutoff(df: DataFrame, time_point, ts: str = "event_dt_utc") -> Cutoff:
     kind = df.schema[ts].dataType
     at = F.lit(time_point).cast(kind)
     return Cutoff(F.col(ts), at, cache(lambda offset: _moved(at, offset, kind)))
-
-
-def snapshots(
-    df: DataFrame,
-    time_points: Sequence,
-    ts: str = "event_dt_utc",
-    horizons: Sequence[int] = HORIZONS,
-) -> tuple[DataFrame, Cutoff]:
-    """Every row once per cut-off, tagged ``time_point``, and the cut-off columns to use on it.
-
-    The cut-offs and their edges are constants of the plan. Rows multiply inside the scan's stage
-    and are reduced by the map-side aggregation of the same stage.
-    """
-    kind = df.schema[ts].dataType
-    offsets = _offsets({*horizons, *HORIZONS})
-    names = {offset: f"edge_{i}" for i, offset in enumerate(offsets)}
-
-    def entry(time_point) -> Column:
-        at = F.lit(time_point).cast(kind)
-        edges = [_moved(at, o, kind).alias(names[o]) for o in offsets]
-        return F.struct(at.alias("time_point"), *edges)
-
-    entries = F.array_distinct(F.array(*[entry(point) for point in time_points]))
-    tagged = df.select("*", F.inline(entries))
-    return tagged, Cutoff(F.col(ts), F.col("time_point"), lambda offset: F.col(names[offset]))

@@ -39,21 +39,33 @@ class Place:
     ties: int
 
 
-def order_bits(number: Column) -> Column:
-    """The IEEE bits of a double as a long in the order of the numbers, infinities included; both zeros are 0.
+def order_bits(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The IEEE bits of each number as a double, as longs ``c0, c1 ...`` in the order of the numbers; NULL for NULL and NaN.
 
-    There is no function for the bits: the exponent is the rounded logarithm set right by comparison, and scaling by powers of
-    two is exact.
+    Infinities are the ends; both zeros are 0. There is no function for the bits: the exponent is the rounded logarithm set right by
+    comparison, and scaling by powers of two is exact. Each step is a projection of its own, so that no term is repeated.
     """
-    size = F.abs(number.cast("double"))
-    two = F.lit(2.0)
-    guess = F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022))
-    low = F.when(F.pow(two, guess) > size, guess - 1).otherwise(guess)
-    exponent = F.greatest(F.when(F.pow(two, low + 1) <= size, low + 1).otherwise(low), F.lit(-1022))
-    scaled = (size / F.pow(two, exponent) * F.lit(2.0**52)).cast("long")
-    finite = F.shiftleft((exponent + 1022).cast("long"), 52) + scaled
-    bits = F.when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(0x7FF0 << 48).cast("long")).otherwise(finite)
-    return F.when(number < 0, -bits).otherwise(bits)
+    numbers = range(len(names))
+    steps = df.select(*[F.col(f"`{n}`").cast("double").alias(f"x{i}") for i, n in enumerate(names)])
+    sizes = [F.when(F.abs(f"x{i}") < float("inf"), F.abs(f"x{i}")).otherwise(F.lit(1.0)).alias(f"s{i}") for i in numbers]
+    steps = steps.select("*", *sizes)
+
+    def step(frame: DataFrame, name: str, make: Callable[[Column, Column], Column]) -> DataFrame:
+        made = [make(F.col(f"s{i}"), F.col(f"{name}{i}")).alias(f"e{i}") for i in numbers]
+        return frame.select(*[f"{kept}{i}" for kept in "xs" for i in numbers], *made)
+
+    power = lambda e: F.pow(F.lit(2.0), e)
+    one = lambda condition: condition.cast("int")
+    steps = step(steps, "x", lambda size, _: F.greatest(F.least(F.floor(F.log2(size)), F.lit(1023)), F.lit(-1022)))
+    steps = step(steps, "e", lambda size, e: e - one(power(e) > size))
+    steps = step(steps, "e", lambda size, e: F.greatest(e + one(power(e + 1) <= size), F.lit(-1022).cast("long")))
+    steps = step(steps, "e", lambda size, e: F.shiftleft(e + 1022, 52) + (size / power(e) * F.lit(2.0**52)).cast("long"))
+
+    def signed(x: Column, bits: Column) -> Column:
+        size = F.when(x == 0, F.lit(0).cast("long")).when(F.abs(x) == float("inf"), F.lit(0x7FF0 << 48).cast("long")).otherwise(bits)
+        return F.when(~F.isnan(x), size * F.when(x < 0, -1).otherwise(1))
+
+    return steps.select(*[signed(F.col(f"x{i}"), F.col(f"e{i}")).alias(f"c{i}") for i in numbers])
 
 
 def from_order_bits(bits: int) -> float:
@@ -66,7 +78,7 @@ def places_at_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]]) -> dict[
 
     All columns and ranks are counted in the same passes over ``df``; a rank beyond a column's values is an error.
     """
-    bits = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), order_bits(F.col(c))).alias(f"c{i}") for i, c in enumerate(wanted)])
+    bits = order_bits(df, list(wanted))
     found: dict[tuple[str, int], Place] = {}
     # a range of a column, and the ranks sought in it with their places there; at first everything
     pending = {(i, None, None): {(c, rank): rank for rank in set(ranks)} for i, (c, ranks) in enumerate(wanted.items()) if ranks}

@@ -1,10 +1,10 @@
 """The point-in-time feature row: one row per user around a cut-off.
 
-Traffic is reduced in two steps, by user and day and then by user, so that the blocks share one
+Traffic is read twice. Once it is reduced in two steps, by user and day and then by user, so that the blocks share the
 scan, days are counted without a distinct aggregate, and a user with a large share of all rows is
-spread over days before meeting in one group. Distinct campaigns take the same way by user and
-campaign and join the second step as extra rows. Clicks and orders give one row per user each and
-meet the rest on the partitioning their own aggregation left, without another shuffle.
+spread over days before meeting in one group; distinct campaigns go the same way, by user and
+campaign, as further entries of the same events. The second read is of the clicks alone. Clicks and orders give one row per
+user each and meet the rest on the partitioning their own aggregation left, without another shuffle.
 """
 
 from __future__ import annotations
@@ -16,38 +16,44 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from propensity.functions.scalars import click_through_rate, in_share, seconds_between
 from propensity.operators import clicks, conversions, traffic as ads
-from propensity.operators.cutoffs import HORIZONS, Cutoff, cutoff, snapshots
+from propensity.operators.cutoffs import HORIZONS, Cutoff, cutoff
+from propensity.plans.snapshots import per_user_and_cutoff
 from propensity.sources.tables import CONVERSIONS, TRAFFIC, conform
 
 TARGET = ("total_conversions_after_30d", "total_revenue_after_30d", "total_quantity_after_30d")
 
 
-def _traffic_rows(traffic: DataFrame, cut: Cutoff, key: Sequence[str], horizons: Sequence[int], as_of: bool) -> DataFrame:
-    """All traffic blocks, one row per user with a sponsored-products event before the cut-off."""
-    products = ads.of_type(ads.PRODUCTS) & cut.before
-    brands = ads.of_type(ads.BRANDS) & cut.before
-    per_day = (
-        (traffic.where(cut.up_to) if as_of else traffic)
-        .groupBy(*key, F.to_date(cut.ts).alias("day"))
+def _traffic_rows(traffic: DataFrame, cut: Cutoff, horizons: Sequence[int], as_of: bool) -> DataFrame:
+    """All traffic blocks, one row per user with a sponsored-products event before the cut-off, from one read.
+
+    An event gives an entry to its day and one to its campaign; both are reduced before the shuffle.
+    """
+    before = ads.of_type(ads.PRODUCTS) & cut.before
+    day, campaign = F.to_date(cut.ts), F.col("campaign_id_string")
+
+    def entry(of_day: bool, day: Column, campaign: Column) -> Column:
+        return F.struct(F.lit(of_day).alias("of_day"), day.cast("date").alias("day"), campaign.cast("string").alias("campaign"))
+
+    null = F.lit(None)
+    entries = F.array(entry(True, day, null), F.when(before & campaign.isNotNull(), entry(False, null, campaign)))
+    each = (traffic.where(cut.up_to) if as_of else traffic).select("*", F.inline(F.array_compact(entries)))
+    of_day = F.col("of_day")
+    products, brands, up_to = of_day & before, of_day & ads.of_type(ads.BRANDS) & cut.before, of_day & cut.up_to
+    per_part = (
+        each.groupBy("user_id", "of_day", "day", "campaign")
         .agg(
             *ads.window_totals(cut, products, horizons),
             *ads.last_event(cut, products),
-            *ads.search_terms(),
+            *ads.search_terms(of_day),
             *ads.product_totals(cut, "sp", products),
             *ads.product_totals(cut, "sb", brands),
-            *ads.ad_day_flags(cut.up_to),
-            *ads.last_impression(cut, cut.up_to),
-            *ads.last_click(cut, cut.up_to),
+            *ads.ad_day_flags(up_to),
+            *ads.last_impression(cut, up_to),
+            *ads.last_click(cut, up_to),
         )
-        .drop("day")
-    )
-    per_campaign = (
-        traffic.where(products & F.col("campaign_id_string").isNotNull())
-        .select(*key, "campaign_id_string")
-        .distinct()
-        .select(*key, F.lit(1).alias("search_campaign_cnt"))
+        .withColumn("search_campaign_cnt", F.when(~of_day, 1))
+        .drop("of_day", "day", "campaign")
     )
-    parts = per_day.unionByName(per_campaign, allowMissingColumns=True)
     counts = ("search_campaign_cnt", "impression_day_count", "click_day_count", "search_term_count")
 
     def merged(name: str) -> Column:
@@ -55,7 +61,7 @@ def _traffic_rows(traffic: DataFrame, cut: Cutoff, key: Sequence[str], horizons:
             return F.coalesce(F.sum(name), F.lit(0)).alias(name)
         return (F.max(name) if name.endswith(("_dt", "_dt_before")) else F.sum(name)).alias(name)
 
-    per_user = parts.groupBy(*key).agg(*[merged(n) for n in parts.columns if n not in key])
+    per_user = per_part.groupBy("user_id").agg(*[merged(n) for n in per_part.columns if n != "user_id"])
     return per_user.where(F.col("last_event_dt_before").isNotNull())
 
 
@@ -114,21 +120,6 @@ def _contract(key: Sequence[str], at: Column, horizons: Sequence[int]) -> list[C
     ]
 
 
-def _assemble(
-    traffic: DataFrame,
-    orders: DataFrame,
-    cut: Cutoff,
-    key: Sequence[str],
-    horizons: Sequence[int],
-    as_of: bool,
-) -> DataFrame:
-    per_user = _traffic_rows(traffic, cut, key, horizons, as_of)
-    gaps = clicks.click_interval(traffic.where((F.col("clicks") > 0) & cut.up_to), key)
-    bought = orders.where(conversions.is_order()).groupBy(*key).agg(*_conversion_blocks(cut, horizons))
-    joined = per_user.join(bought, list(key), "left").join(gaps, list(key), "left")
-    return joined.select(*_contract(key, cut.at, horizons))
-
-
 def user_row(
     traffic: DataFrame,
     orders: DataFrame,
@@ -149,7 +140,11 @@ def user_row(
         chosen = in_sample(F.col("user_id"), sample_percent, seed)
         traffic, orders = traffic.where(chosen), orders.where(chosen)
     cut = cutoff(traffic, time_point)
-    return _assemble(traffic, orders, cut, ("user_id",), horizons, as_of)
+    per_user = _traffic_rows(traffic, cut, horizons, as_of)
+    gaps = clicks.click_interval(traffic.where((F.col("clicks") > 0) & cut.up_to))
+    bought = orders.where(conversions.is_order()).groupBy("user_id").agg(*_conversion_blocks(cut, horizons))
+    joined = per_user.join(bought, "user_id", "left").join(gaps, "user_id", "left")
+    return joined.select(*_contract(("user_id",), cut.at, horizons))
 
 
 def user_rows(
@@ -159,10 +154,12 @@ def user_rows(
     horizons: Sequence[int] = HORIZONS,
     as_of: bool = False,
 ) -> DataFrame:
-    """Feature rows at several cut-offs in one job, keyed by ``time_point`` and ``user_id``."""
-    traffic, cut = snapshots(conform(traffic, TRAFFIC), time_points, horizons=horizons)
-    orders, _ = snapshots(conform(orders, CONVERSIONS), time_points, horizons=horizons)
-    return _assemble(traffic, orders, cut, ("time_point", "user_id"), horizons, as_of)
+    """Feature rows at any number of cut-offs in one job, keyed by ``time_point`` and ``user_id``.
+
+    Events are read and reduced once, by user and the slices of time between the edges of all windows.
+    """
+    rows = per_user_and_cutoff(traffic, orders, time_points, horizons, as_of)
+    return rows.select(*_contract(("time_point", "user_id"), F.col("time_point"), horizons))
 
 
 def in_sample(user: Column, percent: float, seed: int = 42) -> Column:
