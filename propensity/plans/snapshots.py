@@ -151,7 +151,8 @@ def _per_user(traffic: DataFrame, orders: DataFrame, slices: Slices) -> DataFram
     parts = _traffic_parts(traffic, slices).unionByName(_order_parts(orders, slices), allowMissingColumns=True).unionByName(states, allowMissingColumns=True)
     added = [*_SUMS, *_FIRSTS, *_ORDERS, "revenue"]
     clicks = ("click_n", "click_ties", "click_at", "click_gaps")
-    each = parts.groupBy("user_id", "slice").agg(
+    # all that follows is by user: one shuffle, of rows that are reduced already
+    each = parts.repartition("user_id").groupBy("user_id", "slice").agg(
         *[F.sum(n).alias(n) for n in added], *[F.max(n).alias(n) for n in (*_LATEST, *clicks)]
     )
     in_order = Window.partitionBy("user_id").orderBy("slice")
@@ -189,42 +190,37 @@ def per_user_and_cutoff(
     each = each.withColumns({n: F.get("states", F.col(f"n_{n}") - 1) for n in names} | {"end": F.get("states", F.size("states") - 1)})
     each = each.where(F.col("before.n_sp") > 0)
 
-    def till(edge: str, name: str) -> Column:
-        return F.coalesce(F.col(f"{edge}.{name}"), F.lit(0))
+    def till(edge: str, name: str) -> str:
+        return f"coalesce({edge}.{name}, 0)"
 
-    def within(start: str, end: str, name: str) -> Column:
-        return till(end, name) - till(start, name)
+    def within(start: str, end: str, name: str) -> str:
+        return f"({till(end, name)} - {till(start, name)})"
 
-    def total(start: str, end: str, name: str, rows: Column) -> Column:
+    def total(start: str, end: str, name: str, rows: str, label: str) -> str:
         """NULL if none of ``rows`` has a value; a row outside the window has one, 0."""
+        value = within(start, end, name)
         if name == "revenue" and plain:
-            first = F.col(f"n_{start}") + 1
-            inside = F.slice("states", first, F.col(f"n_{end}") - F.col(f"n_{start}"))
-            value = F.aggregate(inside, F.lit(0.0), lambda a, s: a + F.coalesce(s["revenue"], F.lit(0.0)))
-        else:
-            value = within(start, end, name)
-        return F.when(rows - within(start, end, f"no_{name}") > 0, value)
+            inside = f"slice(states, n_{start} + 1, n_{end} - n_{start})"
+            value = f"aggregate({inside}, double(0), (a, s) -> a + coalesce(s.revenue, double(0)))"
+        kind = "double" if name == "revenue" else "bigint"
+        return f"cast(if({rows} - {within(start, end, f'no_{name}')} > 0, {value}, NULL) AS {kind}) AS {label}"
 
     sold_before, sold_after = till("before", "n_orders"), within("upto", "end", "n_orders")
     measures = ("conversions", "revenue", "quantity")
-    columns = [
-        F.coalesce("before.campaigns", F.lit(0)).cast("long").alias("search_campaign_cnt"),
-        *[total(f"open_{d}", "before", n, F.col("before.n_sp")).alias(f"total_{n}_{d}d") for d in horizons for n in ("impressions", "clicks")],
-        *[total("upto", "ahead", n, sold_after).cast("double" if n == "revenue" else "long").alias(f"total_{n}_after_30d") for n in measures],
+    texts = [
+        f"cast({till('before', 'campaigns')} AS bigint) AS search_campaign_cnt",
+        *[total(f"open_{d}", "before", n, "before.n_sp", f"total_{n}_{d}d") for d in horizons for n in ("impressions", "clicks")],
+        *[total("upto", "ahead", n, sold_after, f"total_{n}_after_30d") for n in measures],
+        *[total(f"open_{d}", "before", n, sold_before, f"total_{n}_before_{d}d") for d in horizons for n in measures],
+        "before.last_event AS last_event_dt_before",
+        f"{till('upto' if as_of else 'end', 'terms')} AS search_term_count",
         *[
-            total(f"open_{d}", "before", n, sold_before).cast("double" if n == "revenue" else "long").alias(f"total_{n}_before_{d}d")
-            for d in horizons
-            for n in measures
-        ],
-        F.col("before.last_event").alias("last_event_dt_before"),
-        till("upto" if as_of else "end", "terms").alias("search_term_count"),
-        *[
-            F.when(till("before", f"n_{tag}") > 0, within("closed", "before", f"{tag}_{n}")).alias(f"last_30days_{tag}_{n}")
+            f"if({till('before', f'n_{tag}')} > 0, {within('closed', 'before', f'{tag}_{n}')}, NULL) AS last_30days_{tag}_{n}"
             for tag in ("sp", "sb")
             for n in ("impressions", "clicks")
         ],
-        gaps.mean_gap(F.col("upto.click_n"), F.col("upto.click_ties"), F.col("upto.click_gaps")).alias("avg_click_interval_seconds"),
-        *[till("upto", f"{n}_days").cast("long").alias(f"{n}_day_count") for n in ("impression", "click")],
-        *[F.col(f"upto.last_{n}").alias(f"last_{n}_dt") for n in ("impression", "click")],
+        *[f"cast({till('upto', f'{n}_days')} AS bigint) AS {n}_day_count" for n in ("impression", "click")],
+        *[f"upto.last_{n} AS last_{n}_dt" for n in ("impression", "click")],
     ]
-    return each.select("time_point", "user_id", *columns)
+    gap = gaps.mean_gap(F.col("upto.click_n"), F.col("upto.click_ties"), F.col("upto.click_gaps")).alias("avg_click_interval_seconds")
+    return each.select("time_point", "user_id", *map(F.expr, texts), gap)
