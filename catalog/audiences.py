@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.inputs import view, with_views
 from catalog.registry import registry, rounded
 from propensity.operators import audience, metrics, quality
+from propensity.operators.ranking import numbered
 from propensity.session import scratch_path
 from propensity.sources.tables import read_table
 
@@ -136,8 +137,7 @@ _HASHED = "substr(md5(concat(user_id, '-42')), 1, 15), user_id"
    CAST(row_number() OVER (ORDER BY probability DESC, {_HASHED}) - 1 AS BIGINT) AS place FROM fx_scored"""))
 def audience_ranked(spark, directory):
     """The order itself is compared: rows are numbered as they are sorted."""
-    rows = audience.ranked(_scored(spark, directory))
-    return rows.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])).toDF(rows.schema.add("place", "long"))
+    return numbered(audience.ranked(_scored(spark, directory)), "place")
 
 
 def _top_sql(view: str, n: int) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,7 +16,8 @@ from propensity.operators import traffic as ads
 from propensity.operators.cutoffs import cutoff
 from propensity.plans import rfm
 from propensity.plans.user_row import in_sample, user_row, user_rows
-from propensity.session import use_utc
+from propensity.session import scratch_path, use_utc
+from propensity.sources.stored import read_events, write_events
 from propensity.sources.tables import read_table, time_range, user_pull
 
 QUERIES, ORACLES, query = registry()
@@ -49,6 +51,16 @@ def src_time_range_users(spark, directory):
     return user_pull(df, "event_dt_utc", "2024-01-20 00:00:00", "2024-01-22 00:00:00", 3000)
 
 
+@query(with_views(
+    """SELECT user_id FROM fx_conversions
+       WHERE event_dt_utc >= TIMESTAMP '2024-01-20' AND event_dt_utc < TIMESTAMP '2024-01-22'
+       ORDER BY user_id LIMIT 100""", "fx_conversions"))
+def src_time_range_limited(spark, directory):
+    """Fewer rows than the range has."""
+    df = view(spark, directory, "fx_conversions")
+    return user_pull(df, "event_dt_utc", "2024-01-20 00:00:00", "2024-01-22 00:00:00", 100)
+
+
 @query(with_views(
     """SELECT user_id, event_dt_utc, impressions, clicks FROM fx_traffic
        WHERE ad_product_type = 'sponsored_products'""", "fx_traffic"))
@@ -389,6 +401,29 @@ def feat_multi_cutoff(spark, directory):
     )
 
 
+def _stored(spark, directory, name: str):
+    """An adapter view as a stored table of 8 buckets; its name."""
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    write_events(view(spark, directory, name), table, path, buckets=8)
+    return table
+
+
+@query(with_views(
+    f"""SELECT user_id, event_dt_utc, ad_product_type, campaign_id_string, customer_search_term, impressions, clicks
+        FROM fx_traffic WHERE event_dt_utc <= TIMESTAMP '{CUTOFF}'""", "fx_traffic"))
+def src_traffic_stored(spark, directory):
+    """Traffic stored by day and user, read up to a time."""
+    return read_events(spark, _stored(spark, directory, "fx_traffic"), CUTOFF)
+
+
+@query(_both(_user_row_sql(CUTOFF)))
+def feat_user_row_stored(spark, directory):
+    """The feature row from stored tables, without a shuffle."""
+    tables = [read_events(spark, _stored(spark, directory, name)) for name in ("fx_traffic", "fx_conversions")]
+    return _tidy(user_row(*tables, CUTOFF))
+
+
 # A cut-off every 14 hours: more edges than most users have events between them.
 _EVERY_14_HOURS = [str(datetime.datetime(2024, 1, 1, 6) + datetime.timedelta(hours=14 * i)) for i in range(52)]
 
@@ -419,6 +454,25 @@ def sample_random(spark, directory):
     return _row(spark, directory, CUTOFF).sample(fraction=0.01, seed=42)
 
 
+@query("""WITH n AS (SELECT count(*) AS n_rows FROM lineitem)
+   SELECT fraction, n_rows, TRUE AS is_subset, TRUE AS repeats, TRUE AS other_seed_differs, TRUE AS within_bounds
+   FROM n, (VALUES (0.01), (0.3)) AS shares(fraction)""")
+def sample_random_facts(spark, directory):
+    """Row samples of a larger table: rows of it, the same for a seed, others for another, in number within six deviations."""
+    rows = read_table(spark, directory, "lineitem").select(F.monotonically_increasing_id().alias("row"), "l_orderkey")
+    n, facts = rows.count(), []
+    for share in (0.01, 0.3):
+        once, again, other = (rows.sample(fraction=share, seed=seed) for seed in (42, 42, 43))
+        size = once.count()
+        subset = once.join(rows, ["row", "l_orderkey"], "left_anti").isEmpty() and once.select("row").distinct().count() == size
+        repeats = once.join(again, "row").count() == size == again.count()
+        differs = once.join(other, "row").count() < size
+        bounds = abs(size - n * share) <= 6 * math.sqrt(n * share * (1 - share))
+        facts.append((share, n, subset, repeats, differs, bounds))
+    kind = "fraction double, n_rows long, is_subset boolean, repeats boolean, other_seed_differs boolean, within_bounds boolean"
+    return spark.createDataFrame(facts, kind)
+
+
 @query(with_views(
     f"""SELECT user_id FROM fx_traffic WHERE {_share_sql('user_id', '0.01')} GROUP BY user_id""",
     "fx_traffic"))

@@ -8,7 +8,7 @@ from catalog.inputs import CUTOFFS, view, with_views
 from catalog.quality import NUMERIC, TRAIN_TYPES
 from catalog.registry import registry, rounded
 from propensity.functions import scalars
-from propensity.operators import balance, cleaning, encoding
+from propensity.operators import balance, cleaning, encoding, model as models
 from propensity.plans.user_row import user_rows
 from propensity.session import scratch_path, use_utc
 from propensity.sources.csv_files import read_csv_directory, write_predictions
@@ -153,6 +153,17 @@ def preview(spark, directory):
     return df.orderBy("event_dt_utc", "user_id").limit(5)
 
 
+@query(_train("""SELECT user_id, CAST(f_label_copy AS DOUBLE) AS f_label_copy, CAST(f_chars AS DOUBLE) AS f_chars,
+     CASE WHEN isfinite(f_inf) THEN f_inf END AS f_inf, CAST(0 AS DOUBLE) AS f_absent
+   FROM (SELECT user_id, coalesce(f_label_copy, 0) AS f_label_copy, f_chars, CASE WHEN isfinite(f_inf) THEN f_inf ELSE 0 END AS f_inf FROM fx_train_raw)"""))
+def prep_to_double(spark, directory):
+    """Features in a model's order, all doubles; what is missing or not finite is 0."""
+    aligned = models.align(_raw(spark, directory), ["f_label_copy", "f_chars", "f_inf", "f_absent"])
+    if {kind for name, kind in aligned.dtypes if name != "user_id"} != {"double"}:
+        raise TypeError(f"features are not all doubles: {aligned.dtypes}")
+    return aligned
+
+
 # ---------------------------------------------------------------- split, folds, balance
 
 

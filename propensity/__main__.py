@@ -69,7 +69,7 @@ def train(spark: SparkSession, args) -> None:
 
 
 def score(spark: SparkSession, args) -> None:
-    states = scoring.score(read_csv_directory(spark, args.input), args.model, args.output)
+    states = scoring.score_files(spark, args.input, args.model, args.output)
     for name, state in states.items():
         if state != "matched":
             print(f"{state} feature: {name}")

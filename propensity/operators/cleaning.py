@@ -142,11 +142,16 @@ def parse_timestamp(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def names_of(key: str | Sequence[str] | None) -> list[str]:
+    """The columns of a key: one, several or none."""
+    return [] if key is None else [key] if isinstance(key, str) else list(key)
+
+
 def clean(
-    df: DataFrame, label: str | None = None, key: str = "user_id", drop: Sequence[str] = ()
+    df: DataFrame, label: str | None = None, key: str | Sequence[str] | None = "user_id", drop: Sequence[str] = (), texts: Sequence[str] = ()
 ) -> DataFrame:
-    """A model-ready frame: the key, the integer label, and numeric features without NULLs."""
-    kept = [name for name in (key, label) if name in df.columns]
+    """A model-ready frame: the key, the integer label, numeric features without NULLs, and ``texts`` with blanks as NULL."""
+    kept = list(dict.fromkeys(name for name in (*names_of(key), *([label] if label else []), *texts) if name in df.columns))
     df = drop_columns(df, [name for name in drop if name not in kept])
     df = blanks_to_null(infinities_to_null(drop_empty(df, keep=kept)))
     features = numeric_columns(df, excluded=kept)
@@ -155,5 +160,5 @@ def clean(
     return fill_zero(df.select(*kept, *features), features)
 
 
-def features_of(df: DataFrame, label: str | None = None, key: str = "user_id") -> list[str]:
-    return numeric_columns(df, excluded=[key, *([label] if label else [])])
+def features_of(df: DataFrame, label: str | None = None, key: str | Sequence[str] | None = "user_id") -> list[str]:
+    return numeric_columns(df, excluded=[*names_of(key), *([label] if label else [])])

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from propensity.functions.scalars import DAY
+from propensity.session import require_utc
 
 #: Look-back windows in days, longest first. The longest is also the look-ahead.
 HORIZONS = (30, 15, 5)
@@ -64,6 +65,7 @@ class Cutoff:
 
 def cutoff(df: DataFrame, time_point, ts: str = "event_dt_utc") -> Cutoff:
     """``time_point`` takes the type of the event column, so comparisons leave that column bare."""
+    require_utc(df, ts)
     kind = df.schema[ts].dataType
     at = F.lit(time_point).cast(kind)
     return Cutoff(F.col(ts), at, cache(lambda offset: _moved(at, offset, kind)))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from propensity.functions.scalars import ratio
-from propensity.session import materialize
+from propensity.operators.ranking import numbered
 
 
 def moments(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float | None, float]]:
@@ -54,23 +54,10 @@ def anomalies(df: DataFrame, names: Sequence[str], limit: float = 3.0) -> DataFr
 def categories(df: DataFrame, column: str) -> DataFrame:
     """``value, code``: the distinct values in order, numbered from 0.
 
-    Values are sorted by range and numbered inside their partition; the offsets table has one row
-    per partition. The sort is written out first because its ranges are sampled: both uses must
-    see the same partitions.
+    Values are sorted by range and numbered from partition to partition.
     """
     values = df.select(F.col(column).alias("value")).where("value IS NOT NULL").distinct()
-    in_order = values.repartitionByRange("value").sortWithinPartitions("value")
-    placed = materialize(in_order.withColumn("place", F.monotonically_increasing_id()), "categories")
-    part = F.shiftright("place", 33)
-    counted = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counted.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    inside = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    return (
-        placed.withColumn("part", part)
-        .join(F.broadcast(offsets), "part")
-        .select("value", (F.col("offset") + inside).alias("code"))
-    )
+    return numbered(values.repartitionByRange("value").sortWithinPartitions("value"), "code")
 
 
 def label_encode(df: DataFrame, column: str, output: str) -> DataFrame:

@@ -188,3 +188,19 @@ def hash_cuts(rows: DataFrame, ranks: Callable[[Column], Sequence[Column]]) -> D
     of_ties = F.col("within") - F.col("upto") + F.col("count")
     cuts = exact.select("label", "rank", F.col("place").alias("cut"), of_ties.alias("of_ties"), F.col("count").alias("ties"))
     return materialize(cuts, "cuts")
+
+
+def numbered(ordered: DataFrame, name: str) -> DataFrame:
+    """Add ``name``: the place of each row from 0 in the order a frame is sorted in.
+
+    The sorted frame is written first, as its ranges are sampled; rows are numbered in their partition, and the
+    offsets table has a row per partition.
+    """
+    placed = materialize(ordered.withColumn("_place", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_place", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_offset"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return rows.select(*ordered.columns, (F.col("_offset") + inside).alias(name))

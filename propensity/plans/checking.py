@@ -22,7 +22,7 @@ class Validation:
 def validate(
     df: DataFrame,
     label: str,
-    key: str = "user_id",
+    key: balance.Key = "user_id",
     drop: Sequence[str] = cleaning.NOT_FEATURES,
     folds: int = 5,
     seed: int = 42,
@@ -32,6 +32,7 @@ def validate(
 
     The class decides the AUC here, not the probability, and the classes stay unbalanced.
     """
+    key = training.key_of(df, key)
     prepared = training.prepare(df, label, key, drop, seed=seed)
     fit_on = prepared.where(~F.col("is_test")).drop("is_test")
     features = cleaning.features_of(fit_on, label, key)

@@ -18,6 +18,7 @@ from pyspark.sql.internal import InternalFunction
 from propensity.functions.scalars import DAY, only
 from propensity.operators import clicks as gaps, conversions as bought, traffic as ads
 from propensity.operators.cutoffs import HORIZONS
+from propensity.session import require_utc
 from propensity.sources.tables import CONVERSIONS, TRAFFIC, conform
 
 _SECOND = 1_000_000
@@ -38,6 +39,7 @@ class Slices:
     """The edges of all cut-offs in order, in microseconds, and the number of each edge."""
 
     def __init__(self, df: DataFrame, time_points: Sequence, horizons: Sequence[int], ts: str = "event_dt_utc"):
+        require_utc(df, ts)
         self.kind, self.ts = df.schema[ts].dataType, F.col(ts)
         points = [F.lit(point).cast(self.kind) for point in time_points]
         found = df.sparkSession.sql("SELECT 1").select(*[micros(p).alias(f"p{i}") for i, p in enumerate(points)]).first()

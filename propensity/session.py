@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import TimestampNTZType
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -14,6 +15,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(df: DataFrame, ts: str) -> None:
+    """Times without a zone are taken as the session's: in any other zone than UTC, hours that a change of clocks skips would be lost."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if isinstance(df.schema[ts].dataType, TimestampNTZType) and zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"'{ts}' has no zone and the session is in {zone}: set spark.sql.session.timeZone to UTC (use_utc)")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

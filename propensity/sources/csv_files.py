@@ -2,27 +2,58 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+#: More than any file: one file is one task, which stops after its first lines.
+_WHOLE_FILES = str(1 << 50)
 
-def list_csv(spark: SparkSession, directory: str) -> list[str]:
-    """Paths of the ``*.csv`` files; only the listing is read, not the contents."""
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(directory)
-    )
-    return sorted(row.path for row in listing.select("path").collect())
 
+def _first_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``path, line`` of the first line with text of every ``*.csv`` file, from one job that reads no further.
+
+    A session of its own holds the file settings: the caller's stay as they are.
+    """
+    session = spark.newSession()
+    for setting in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{setting}", _WHOLE_FILES)
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, line in enumerate(batch.column(1).to_pylist()):
+                if line.strip():
+                    yield batch.slice(at, 1)
+                    return
+
+    lines = session.read.option("pathGlobFilter", "*.csv").text(paths)
+    return lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")).mapInArrow(first, "path string, line string")
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.csv(path, header=True).columns)
+
+def _names(line: str) -> tuple[str, ...]:
+    """Column names of a header line; empty and repeated ones get their place, as Spark names them."""
+    names = next(csv.reader([line.lstrip("\ufeff")], skipinitialspace=False))
+    again = [n.lower() for n in names]
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if again.count(n.lower()) > 1 else n for i, n in enumerate(names))
+
+
+def csv_groups(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Paths of the files of each header, both in order; files without a line are left out. One job, however many files there are."""
+    alike = _first_lines(spark, paths).groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(alike, key=lambda r: r.paths[0]):
+        groups.setdefault(_names(row.line), []).extend(unquote(path) for path in row.paths)
+    return groups
 
 
 def read_csv(
-    spark: SparkSession, paths: str | list[str], schema: dict[str, str] | None = None
+    spark: SparkSession, paths: str | list[str], schema: dict[str, str] | None = None, header: tuple[str, ...] | None = None
 ) -> DataFrame:
     """Read CSV files that share one header.
 
@@ -31,8 +62,9 @@ def read_csv(
     """
     if schema is None:
         return spark.read.csv(paths, header=True, inferSchema=True)
-    first = paths if isinstance(paths, str) else paths[0]
-    fields = [f"`{name}` {schema.get(name, 'string')}" for name in _header(spark, first)]
+    if header is None:
+        header = next(iter(csv_groups(spark, paths if isinstance(paths, str) else paths[0])))
+    fields = [f"`{name}` {schema.get(name, 'string')}" for name in header]
     return spark.read.csv(paths, header=True, schema=", ".join(fields))
 
 
@@ -42,17 +74,12 @@ def read_csv_directory(
     """Every CSV file of a directory, united by column name; absent columns are NULL.
 
     A plain directory read matches columns by position, so files are grouped by their header
-    line first and each group is one scan. Headers are metadata: one small read per file.
+    line first and each group is one scan. All headers are read by one job; types are inferred once a group.
     """
-    paths = list_csv(spark, directory)
-    if not paths:
+    groups = csv_groups(spark, directory)
+    if not groups:
         raise FileNotFoundError(f"no CSV files in {directory}")
-    with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(lambda path: _header(spark, path), paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for header, path in zip(headers, paths):
-        groups.setdefault(header, []).append(path)
-    parts = [read_csv(spark, members, schema) for members in groups.values()]
+    parts = [read_csv(spark, members, schema, header) for header, members in groups.items()]
     if schema is None:
         parts = _without_empty(parts)
     united = reduce(

@@ -185,3 +185,13 @@ def test_missing_columns_are_named(tables):
 def test_other_horizons(tables):
     row = user_row(*tables, AT, horizons=(30, 15, 3)).where("user_id = 9008").first()
     assert (row.total_impressions_3d, row.total_impressions_15d, row.total_impressions_30d) == (0, 6, 14)
+
+
+def test_times_without_a_zone_need_utc(spark, tables):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        for rows in (lambda: user_row(*tables, AT), lambda: user_rows(*tables, [AT])):
+            with pytest.raises(ValueError, match="UTC"):
+                rows()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

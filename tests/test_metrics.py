@@ -25,6 +25,18 @@ def test_auc_counts_ties_half(spark, levels):
     assert metrics.auc_of_probabilities(df) == pytest.approx(_area(pairs))
 
 
+def test_infinite_and_missing_scores(spark):
+    """Infinities are scores; NULL and NaN are below all, minus infinity too."""
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(1, 0, inf), (0, 0, 0.5), (0, 0, -inf), (None, 0, 3.0)], TYPES)
+    assert metrics.auc_of_probabilities(df) == 1.0
+    rows = [(1, -inf), (1, None), (1, 0.0), (0, nan), (0, -0.0), (0, None), (0, inf)]
+    df = spark.createDataFrame([(y, 0, p) for y, p in rows], TYPES).repartition(3)
+    order = {None: -2, nan: -2, -inf: -1, 0.0: 0, inf: 1}
+    plain = [(y, -2 if p is None or p != p else order[p]) for y, p in rows]
+    assert metrics.auc_of_probabilities(df) == pytest.approx(_area(plain))
+
+
 def test_hard_auc_is_the_auc_of_the_class(spark):
     draw = random.Random(5)
     pairs = [(draw.randrange(2), draw.randrange(2)) for _ in range(300)]

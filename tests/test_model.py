@@ -103,6 +103,47 @@ def test_bad_requests_fail_early(frame):
 
 
 def test_training_without_a_key(spark, frame):
+    """The test rows are the same under any layout."""
     without = frame.drop("user_id").withColumn("dma_code", F.lit(7) + F.col("high_potential"))
-    result = training.train(without, "high_potential", trees=2, depth=2)
-    assert result.test.count() > 0 and "dma_code" not in result.test.columns
+    results = [training.train(without.repartition(n), "high_potential", trees=2, depth=2) for n in (1, 6)]
+    tests = [sorted(map(repr, r.test.collect())) for r in results]
+    assert tests[0] == tests[1] and len(tests[0]) == 120 and "dma_code" not in results[0].test.columns
+
+
+def test_training_on_snapshots(spark, frame):
+    """Several rows a user: a key of two columns, and all rows of a user on one side."""
+    rows = frame.selectExpr("*", "explode(sequence(1, 3)) AS at")
+    plain = training.train(rows, "high_potential", key=["at", "user_id"], trees=2, depth=2)
+    assert plain.test.count() == plain.test.select("at", "user_id").distinct().count() == 360
+    grouped = training.train(rows, "high_potential", key=["at", "user_id"], group="user_id", trees=2, depth=2)
+    assert grouped.test.count() == 3 * grouped.test.select("user_id").distinct().count() == 360
+    scored = scoring.score_frame(grouped.model, rows, ["at", "user_id"])
+    assert scored.columns == ["at", "user_id", "prediction", "probability"] and scored.count() == 1800
+
+
+def test_scale_and_codes_are_saved_with_the_model(spark, frame, tmp_path):
+    rows = frame.withColumn("shop", F.when(F.col("a") == 0, None).otherwise(F.concat(F.lit("s"), F.col("a").cast("int"))))
+    path = str(tmp_path / "model")
+    trained = training.train(rows, "high_potential", trees=2, depth=2, scale=True, encode=["shop"], balancing="none", save_to=path)
+    loaded = PipelineModel.load(path)
+    assert models.contract(loaded) == {"a": "double", "b": "double", "shop": "string"}
+    strange = spark.createDataFrame([("x", 3.0, "unseen"), ("y", 3.0, None), ("z", 3.0, "s1")], "user_id string, a double, shop string")
+    values = [r.features.toArray().tolist() for r in loaded.transform(strange).orderBy("user_id").collect()]
+    assert [v[2] for v in values] == [6.0, 6.0, 0.0] and values[0][0] == values[1][0]
+    before, after = (scoring.score_frame(m, rows).orderBy("user_id").collect() for m in (trained.model, loaded))
+    assert before == after and models.alignment(strange, models.contract(loaded)) == {"a": "matched", "b": "missing", "shop": "matched"}
+
+
+def test_text_in_a_number_feature_is_reported(spark, frame, trained, tmp_path):
+    text = frame.withColumn("a", F.when(F.col("a") == 3, "three").otherwise(F.col("a").cast("string")))
+    states = scoring.score(text, trained[1], str(tmp_path / "out"))
+    lost = frame.where("a = 3").count()
+    assert states["a"] == f"cast, {lost} values are no numbers" and states["b"] == "matched"
+    same = frame.withColumn("a", F.concat(F.lit(" "), F.col("a").cast("string")))
+    both = [scoring.score_frame(trained[0].model, df).orderBy("user_id").collect() for df in (frame, same)]
+    assert both[0] == both[1]
+    with pytest.raises(ValueError, match="no number"):
+        scoring.score_frame(trained[0].model, frame.withColumn("a", F.array("a")))
+    text.coalesce(2).write.csv(str(tmp_path / "in"), header=True)
+    states = scoring.score_files(spark, str(tmp_path / "in"), trained[1], str(tmp_path / "out"))
+    assert states["a"] == f"matched, {lost} values are no numbers" and states["b"] == "matched" and states["note"] == "extra"

