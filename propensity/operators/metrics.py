@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import Column, DataFrame, functions as F
 
 from propensity.functions.scalars import ratio
-from propensity.session import materialize
 
 # The metric names looked for in logs, and the number that follows each.
 LOG_METRICS = (
@@ -83,34 +83,28 @@ def auc_of_probabilities(
 
     As in ``confusion``, a missing label is negative; a missing score (NULL or NaN) is below all others.
 
-    Scores are counted per distinct value; the counts are sorted in parallel and added up from partition to partition, so that no
-    value is seen by the driver and no bins are used. Infinities are scores like others.
+    Known scores, infinities among them, are counted per distinct value and sorted in parallel, without bins; the missing ones lose to
+    all of them and tie with each other.
     """
     number = F.col(probability).cast("double")
     pair = scored.select(
-        F.coalesce(F.col(label) == 1, F.lit(False)).alias("positive"),
-        F.when(~F.isnan(number), F.struct(F.lit(1).alias("known"), F.when(number == 0, 0.0).otherwise(number).alias("score"))).alias("score"),
+        F.coalesce(F.col(label) == 1, F.lit(False)).alias("positive"), F.when(number == 0, 0.0).when(~F.isnan(number), number).alias("score")
     )
-    each = pair.groupBy(F.coalesce("score", F.struct(F.lit(0).alias("known"), F.lit(0.0).alias("score"))).alias("score")).agg(
-        F.count_if("positive").alias("pos"), F.count_if(~F.col("positive")).alias("neg")
-    )
-    # written with their places, as the ranges of a sort are sampled: both uses must see the same partitions
-    ordered = each.repartitionByRange("score").sortWithinPartitions("score").withColumn("part", F.spark_partition_id())
-    ordered = materialize(ordered, "scores")
-    ends = ordered.groupBy("part").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ends.select("part", F.coalesce(F.sum("neg").over(earlier), F.lit(0)).alias("offset"))  # a row per partition
-    inside = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("offset") + F.coalesce(F.sum("neg").over(inside), F.lit(0))
-    exact = "decimal(38,1)"
-    won = F.col("pos").cast("decimal(19,0)") * (below.cast("decimal(19,0)") + F.col("neg").cast("decimal(19,0)") / 2)
-    row = (
-        ordered.join(F.broadcast(offsets), "part")
-        .withColumn("won", won.cast(exact))
-        .agg(F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .first()
-    )
-    return float(row.won) / (row.pos * row.neg) if row.pos and row.neg else 0.0
+    known, positive = F.col("score").isNotNull(), F.col("positive")
+    counts = pair.agg(
+        F.count_if(positive & known).alias("pos"),
+        F.count_if(~positive & known).alias("neg"),
+        F.count_if(positive & ~known).alias("pos_missing"),
+        F.count_if(~positive & ~known).alias("neg_missing"),
+    ).first()
+    pairs = (counts.pos + counts.pos_missing) * (counts.neg + counts.neg_missing)
+    if not pairs:
+        return 0.0
+    won = counts.pos * counts.neg_missing + counts.pos_missing * counts.neg_missing / 2
+    if counts.pos and counts.neg:
+        evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName="areaUnderROC", numBins=0)
+        won += evaluator.evaluate(pair.where(known).select("score", positive.cast("double").alias("label"))) * counts.pos * counts.neg
+    return won / pairs
 
 
 def evaluation(
