@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.internal import InternalFunction
 
 from propensity.operators.ranking import hash_cuts, hash_order, order_hash, places_at_ranks
-from propensity.session import materialize
+from propensity.session import materialize, scratch
 
 #: Up to so many users are kept as whole rows in a bounded heap per task; beyond, the cut is searched by rank.
 HEAP_ROWS = 100_000
@@ -69,19 +69,21 @@ def _cut(known: DataFrame, wanted, key: str, seed: int) -> DataFrame:
     The cut is found first from keys and probabilities, written once, so that the result is a filter of the scored table:
     nothing is sorted as a whole, and any share of users may have the same probability.
     """
-    narrow = materialize(known.select(F.col(key).alias("key"), F.col("probability").cast("double").alias("probability")), "scored")
-    size = narrow.count()
-    chosen = wanted(size)
-    if chosen == 0:
-        return known.where(F.lit(False))
-    last = size - chosen + 1
-    spot = places_at_ranks(narrow, {"probability": [last]})["probability", last]
-    probability, room = F.col("probability").cast("double"), spot.ties - spot.place + 1
-    if room == spot.ties:
-        return known.where(probability >= spot.value)
-    tied = narrow.where(probability == spot.value).select(F.lit(0).alias("label"), hash_order([F.col("key")], seed).alias("place"))
-    cut = hash_cuts(tied, lambda total: [F.lit(room)]).first()["cut"]
-    return known.where((probability > spot.value) | ((probability == spot.value) & _within(hash_order([F.col(key)], seed), cut)))
+    probability, place = F.col("probability").cast("double"), hash_order([F.col(key)], seed)
+    with scratch(known.sparkSession):
+        narrow = materialize(known.select(F.col(key).alias("key"), probability.alias("probability")), "scored")
+        size = narrow.count()
+        chosen = wanted(size)
+        if chosen == 0:
+            return known.where(F.lit(False))
+        last = size - chosen + 1
+        spot = places_at_ranks(narrow, {"probability": [last]})["probability", last]
+        room = spot.ties - spot.place + 1
+        if room == spot.ties:
+            return known.where(probability >= spot.value)
+        tied = narrow.where(F.col("probability") == spot.value).select(F.lit(0).alias("label"), hash_order([F.col("key")], seed).alias("place"))
+        cut = hash_cuts(tied, lambda total: [F.lit(room)]).first()["cut"]
+    return known.where((probability > spot.value) | ((probability == spot.value) & _within(place, cut)))
 
 
 def _within(place: Column, cut) -> Column:

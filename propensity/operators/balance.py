@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from propensity.functions.scalars import hash_number, in_share, row_digest
 from propensity.operators.ranking import hash_cuts, hash_order, hash_range, ranges_before
-from propensity.session import materialize
+from propensity.session import materialize, scratch
 
 #: Copies of a row, or draws of a class, that are made in one piece.
 PIECE = 65_536
@@ -50,15 +50,16 @@ def _cut(df: DataFrame, label: str, key: Key, ranks: Callable[[Column], Sequence
     Rows that share a given key stay together: what a cut divides goes before it. Without a key equal rows are divided exactly.
     """
     place = hash_order(identity(df, key), seed)
-    rows = materialize(df.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), place.alias("place")), "places")
-    found = hash_cuts(rows, ranks)
-    if key is not None:
-        found = found.withColumn("of_ties", F.col("ties"))
-    cuts = found.groupBy("label").agg(
-        F.collect_list(F.struct("cut", "of_ties")).alias("_cuts"),
-        F.collect_set(F.when(F.col("of_ties") < F.col("ties"), F.col("cut"))).alias("_divided"),
-    )
-    cuts = materialize(cuts, "cuts")
+    with scratch(df.sparkSession):
+        rows = materialize(df.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), place.alias("place")), "places")
+        found = hash_cuts(rows, ranks)
+        if key is not None:
+            found = found.withColumn("of_ties", F.col("ties"))
+        cuts = found.groupBy("label").agg(
+            F.collect_list(F.struct("cut", "of_ties")).alias("_cuts"),
+            F.collect_set(F.when(F.col("of_ties") < F.col("ties"), F.col("cut"))).alias("_divided"),
+        )
+        cuts = materialize(cuts, "cuts", outer=True)
     placed = _of_class(df.withColumn("_place", place), label, cuts)
 
     def before(copy: Column) -> Column:

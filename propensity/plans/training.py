@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from propensity.operators import balance, cleaning, metrics, model as models
-from propensity.session import materialize
+from propensity.session import materialize, scratch
 
 
 @dataclass(frozen=True)
@@ -36,12 +36,13 @@ def prepare(
     """
     key = key_of(df, key)
     kept = list(dict.fromkeys([*cleaning.names_of(key), *([group] if group else [])]))
-    cleaned = materialize(cleaning.clean(df, label, kept, drop, texts), "cleaned")
-    if group is not None:
-        split = balance.split_by_group(cleaned, label, group, test_size, seed)
-    else:
-        split = balance.stratified_split(cleaned, label, key, test_size, seed)
-    return materialize(split, "split", partition_by="is_test")
+    with scratch(df.sparkSession):
+        cleaned = materialize(cleaning.clean(df, label, kept, drop, texts), "cleaned")
+        if group is not None:
+            split = balance.split_by_group(cleaned, label, group, test_size, seed)
+        else:
+            split = balance.stratified_split(cleaned, label, key, test_size, seed)
+        return materialize(split, "split", partition_by="is_test", outer=True)
 
 
 def train(
@@ -74,15 +75,16 @@ def train(
     test = prepared.where("is_test").drop("is_test")
     kept = [*cleaning.names_of(key), *([group] if group else [])]
     features = [*cleaning.features_of(fit_on, label, kept), *encode]
-    if balancing == "oversample":
-        fit_on = materialize(balance.oversample(fit_on, label, key, seed), "balanced")
-    elif balancing == "weights":
-        fit_on = balance.class_weights(fit_on, label)
-        options["weight"] = "class_weight"
-    if encode:
-        options["encode"] = encode
-    pipeline: Pipeline = estimator(features, label, seed=seed, **options)
-    fitted = models.fit(pipeline, fit_on)
+    with scratch(df.sparkSession):
+        if balancing == "oversample":
+            fit_on = materialize(balance.oversample(fit_on, label, key, seed), "balanced")
+        elif balancing == "weights":
+            fit_on = balance.class_weights(fit_on, label)
+            options["weight"] = "class_weight"
+        if encode:
+            options["encode"] = encode
+        pipeline: Pipeline = estimator(features, label, seed=seed, **options)
+        fitted = models.fit(pipeline, fit_on)
     if save_to is not None:
         fitted.write().overwrite().save(save_to)
     scored = models.score(fitted, test).select(*dict.fromkeys(kept), label, "prediction", "probability")

@@ -76,6 +76,28 @@ def test_materialize_reads_back_the_same(spark):
     assert "LogicalRDD" not in back._jdf.queryExecution().toString()
 
 
+def test_scratch_is_deleted_and_results_stay(spark):
+    df = spark.range(5)
+    with session.scratch(spark):
+        inner, gone = session.materialize(df, "inner"), session.materialize(df, "gone")
+        session.discard(gone)
+        with session.scratch(spark):
+            deep = session.materialize(inner, "deep")
+            kept = session.materialize(deep, "kept", outer=True)
+        assert kept.count() == 5
+        result = session.materialize(kept.union(inner), "result", outer=True)
+    assert result.count() == 10
+    for frame in (inner, gone, deep, kept):
+        with pytest.raises(Exception, match="(?i)exist|not found"):
+            spark.read.parquet(frame._propensity_path)
+    with pytest.raises(ZeroDivisionError):
+        with session.scratch(spark):
+            lost = session.materialize(df, "lost")
+            raise ZeroDivisionError
+    with pytest.raises(Exception, match="(?i)exist|not found"):
+        spark.read.parquet(lost._propensity_path)
+
+
 def test_audience_as_csv(spark, tmp_path):
     df = spark.createDataFrame([("u1", 2.0, 1, 0.75)], "user_id string, x double, prediction int, probability double")
     csv_files.write_audience(df, str(tmp_path / "out"), format="csv")
