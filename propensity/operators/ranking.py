@@ -63,7 +63,7 @@ def order_bits(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
     def signed(x: Column, bits: Column) -> Column:
         size = F.when(x == 0, F.lit(0).cast("long")).when(F.abs(x) == float("inf"), F.lit(0x7FF0 << 48).cast("long")).otherwise(bits)
-        return F.when(~F.isnan(x), size * F.when(x < 0, -1).otherwise(1))
+        return F.when(x.isNotNull() & ~F.isnan(x), size * F.when(x < 0, -1).otherwise(1))
 
     return steps.select(*[signed(F.col(f"x{i}"), F.col(f"e{i}")).alias(f"c{i}") for i in numbers])
 
