@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from propensity.llm import common
 from propensity.llm.components import components
-from propensity.session import materialize
+from propensity.session import discard, materialize, scratch
 
 #: A hash of more sets than this is hot: it comes last in the common order.
 HOT = 64
@@ -44,6 +44,8 @@ STEP = 16
 TILE = 2048
 #: Tiles of so few rows are compared one by one.
 SMALL_TILE = 12
+#: Rows of a hash up to which its tile gets folded bitmaps: their weaker bound lets through some more of so few pairs.
+FOLDED_ROWS = 64
 STAR_ROUNDS = 2
 #: Hubs that a node is compared with in a round.
 HUBS = 3
@@ -131,6 +133,12 @@ def folded(bits: bytes, size: int) -> np.ndarray:
     return out
 
 
+def sketch(hashes: np.ndarray) -> tuple[bytes, bytes]:
+    """The bitmap, and the same folded to about a cell a hash, a quarter of the bytes: enough to tell most unlike sets apart."""
+    bits = bitmap(hashes)
+    return bits, folded(bits, max(32, len(bits) // 4)).tobytes()
+
+
 def may_link(n: int, m: int, differing: int, percent: int) -> bool:
     """Whether sets of n and m hashes that differ in at least so many can link."""
     both = (n + m - differing) / 2
@@ -214,8 +222,8 @@ def _shared(prefixes: DataFrame, percent: int) -> DataFrame:
     return prefixes.join(enough.select("node"), "node", "left_semi")
 
 
-def _remade(docs: DataFrame, size: int, ids: DataFrame, nodes: DataFrame, name: str, make) -> DataFrame:
-    """(doc_id, node, n, ``name``) of the given nodes, made from the texts of the documents ``ids`` that stand for them."""
+def _remade(docs: DataFrame, size: int, ids: DataFrame, nodes: DataFrame, names: list[str], make) -> DataFrame:
+    """(doc_id, node, n, ``names``) of the given nodes, which ``make`` gives as a tuple, made from the texts of the documents ``ids`` that stand for them."""
     wanted = docs.sparkSession.sparkContext.broadcast(common.filter_bits(ids.select(F.xxhash64("doc_id").alias("h")), "h"))
     key = docs.schema["doc_id"].dataType.simpleString()
 
@@ -232,10 +240,12 @@ def _remade(docs: DataFrame, size: int, ids: DataFrame, nodes: DataFrame, name:
                     rows.append(row)
                     made.append(make(hashes))
             told = np.array(found, np.int64).reshape(-1, 2)
-            columns = [kept.column(0).take(pa.array(rows, pa.int64())), pa.array(told[:, 0]), pa.array(told[:, 1]), pa.array(made, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", name])
+            columns = [kept.column(0).take(pa.array(rows, pa.int64())), pa.array(told[:, 0]), pa.array(told[:, 1])]
+            columns += [pa.array([values[i] for values in made], pa.binary()) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", *names])
 
-    told = common.in_batches(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")), run, f"doc_id {key}, node long, n long, {name} binary")
+    schema = ", ".join([f"doc_id {key}, node long, n long", *(f"{name} binary" for name in names)])
+    told = common.in_batches(docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h")), run, schema)
     return told.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -271,7 +281,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, docs: DataFrame, size: int, perce
     if nodes.isEmpty():
         return left
     ids = sets.join(nodes, "node", "left_semi")
-    arrays = materialize(_remade(docs, size, ids, nodes, "hashes", np.ndarray.tobytes), "arrays")
+    arrays = materialize(_remade(docs, size, ids, nodes, ["hashes"], lambda hashes: (hashes.tobytes(),)), "arrays")
     return common.in_batches(beside(left, arrays, "hashes"), exact, "a long, b long")
 
 
@@ -300,6 +310,7 @@ def _tiled(shared: DataFrame, sets: DataFrame, percent: int, best: bool) -> Data
     """Candidate pairs across components, from tiles of the documents of a hash.
 
     With ``best``, only the pair of each two components whose bitmaps differ least: what does not link is met again without.
+    Rows of a hash that few sets have carry folded bitmaps, as most rows are of such; ``_linked`` bounds what is left by the whole ones.
     """
     runs = shared.groupBy("h").agg(F.min("n").alias("smallest"))
     # as in ``reachable``, for the smallest set of the hash: a row that can't meet it meets none
@@ -311,8 +322,9 @@ def _tiled(shared: DataFrame, sets: DataFrame, percent: int, best: bool) -> Data
         rows.join(runs, "h")
         .withColumn("own", F.pmod(F.xxhash64("node"), pieces).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .join(sets.select("node", "bits"), "node")
-        .select("h", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "n", "node", "root", "own", "at", "bits")
+        .join(sets.select("node", "bits", "small"), "node")
+        .withColumn("signs", F.when(F.col("rows") > FOLDED_ROWS, F.col("bits")).otherwise(F.col("small")))
+        .select("h", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "n", "node", "root", "own", "at", "signs")
     )
 
     def compare(batches: Iterator) -> Iterator:
@@ -348,7 +360,7 @@ def reachable(n, m, i, j, percent: int):
 
 
 def tile_pairs(rows: list[tuple], percent: int, best: bool = False) -> set[tuple[int, int]]:
-    """Pairs of a tile's rows (h, p, q, n, node, root, own, at, bits), sorted by n, that may link.
+    """Pairs of a tile's rows (h, p, q, n, node, root, own, at, bitmap), sorted by n, that may link.
 
     Bands are the sizes that share a bitmap width; a band meets itself and, on folded bitmaps, larger bands in reach.
     ``best`` keeps the pair of each two roots with the fewest differing bits.
@@ -411,31 +423,44 @@ def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     key repeats; rows of one key may lie in different components. A null key takes part in links, but names no component
     (a component of null keys only has a null id). Other columns of ``docs`` are ignored, whatever their names.
     """
-    session = docs.sparkSession
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    with scratch(docs.sparkSession):
+        return materialize(_components(docs, size, percent), "classes", outer=True)
+
+
+def _components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The result of ``linked_components``, from tables that are deleted as soon as nothing reads them again."""
+    session = docs.sparkSession
     hot = session.sparkContext.broadcast(common.filter_bits(_counts(docs, size).where(F.col("n") > HOT), "h"))
-    scanned = materialize(_scanned(docs, size, percent, hot), "scanned")
-    prefixes = materialize(_prefixes(scanned), "prefixes")
+    whole = materialize(_scanned(docs, size, percent, hot), "whole")
+    prefixes = materialize(_prefixes(whole), "prefixes")
+    # whether a row's task listed its prefix is all that is kept of it
+    scanned = materialize(whole.select("doc_id", "node", "n", (F.size("first") > 0).alias("listed")), "scanned")
+    discard(whole)
     shared = materialize(_shared(prefixes, percent), "shared")
+    discard(prefixes)
     nodes = materialize(shared.select("node").distinct(), "nodes")
-    ids = scanned.where("size(first) > 0").join(nodes, "node", "left_semi")
-    sets = materialize(_remade(docs, size, ids, nodes, "bits", bitmap), "sets")
+    ids = scanned.where("listed").join(nodes, "node", "left_semi")
+    sets = materialize(_remade(docs, size, ids, nodes, ["bits", "small"], sketch), "sets")
     roots = None
     for step in range(STAR_ROUNDS + 2):
         rows = shared.withColumn("root", F.col("node"))
         if roots is not None:
-            rows = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            rows = shared.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         # hashes that more than one component has
         split = rows.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
-        shared = materialize(rows.join(split, "h").select("h", "node", "n", "at", "root"), "rooted")
+        rooted = materialize(rows.join(split, "h").select("h", "node", "n", "at", "root"), "rooted")
         if step < STAR_ROUNDS:
-            pairs = _stars(shared, step, percent)
+            pairs = _stars(rooted, step, percent)
         else:
-            pairs = _tiled(shared, sets, percent, best=step == STAR_ROUNDS)
-        more = materialize(_linked(pairs, sets, docs, size, percent), "links")
-        shared = shared.drop("root")
+            pairs = _tiled(rooted, sets, percent, best=step == STAR_ROUNDS)
+        with scratch(session):
+            more = materialize(_linked(pairs, sets, docs, size, percent), "links", outer=True)
         # what is known goes on as one link a node
-        roots = materialize(components(more if roots is None else more.union(roots)), "roots")
+        with scratch(session):
+            joined = materialize(components(more if roots is None else more.union(roots)), "roots", outer=True)
+        discard(more, shared, *([] if roots is None else [roots]))
+        shared, roots = rooted, joined
     classes = scanned.join(roots, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("root")
     )
