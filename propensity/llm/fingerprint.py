@@ -19,8 +19,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
+from pyspark.sql.internal import InternalFunction
 
 from propensity.llm import common
 from propensity.session import materialize
@@ -106,69 +107,85 @@ def row(key, text: str, mark: Fingerprint, cut: list[str], after: str, after_mar
     return key, len(text), sha, mark.text(), other.text(), likeness(mark, other), likeness(mark, after_mark)
 
 
+def _rank_number(key: str, kind: T.DataType) -> Column:
+    """A long that never falls as the key rises; equal for keys that are close. NULL keys are NULL."""
+    column = F.col(key)
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return column.cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    if isinstance(kind, T.NumericType):
+        bounded = F.greatest(F.least(column.cast("double"), F.lit(9e18)), F.lit(-9e18))
+        return F.when(F.isnan(column.cast("double")), F.lit((1 << 63) - 1)).when(column.isNotNull(), F.floor(bounded))
+    first = F.rpad(F.substring(F.hex(column.cast("string")), 1, 14), 14, "0")  # seven bytes
+    return F.conv(first, 16, 10).cast("long")
+
+
+def _ranged(docs: DataFrame, parts: int) -> tuple[DataFrame, int]:
+    """``docs`` with ``digest`` and ``part``, a number that rises with (doc_id, digest), and how many there may be.
+
+    The bounds are quantiles of the keys, so that ranges hold about as many rows; a key that takes several
+    quantiles is spread over as many ranges by its digest. Bounds are numbers in the plan: ranges are the same whenever they are computed.
+    """
+    number = _rank_number("doc_id", docs.schema["doc_id"].dataType)
+    docs = docs.withColumn("digest", F.xxhash64("text"))
+    keys = docs.select(F.coalesce(number, F.lit(-(1 << 63))).alias("k"))
+    bounds = keys.agg(F.percentile_approx("k", [i / parts for i in range(1, parts)], 10 * parts)).first()[0] or [] if parts > 1 else []
+    if not bounds:
+        return docs.withColumn("part", F.lit(0)), 1
+    values = sorted(set(bounds))
+    times = [bounds.count(v) for v in values]
+    before = [sum(times[:i]) for i in range(len(values) + 1)]
+    array = lambda numbers, kind: F.array(*[F.lit(n).cast(kind) for n in numbers])
+    found = InternalFunction.array_binary_search(array(values, "long"), F.coalesce(number, F.lit(-(1 << 63))))
+    share = (F.col("digest").cast("double") / 2.0**64 + 0.5) * F.get(array(times, "int"), F.col("found"))
+    inside = F.get(array(before, "int"), F.col("found")) + F.least(F.floor(share).cast("int"), F.get(array(times, "int"), F.col("found")) - 1)
+    apart = F.get(array(before, "int"), -F.col("found") - 1)
+    placed = docs.withColumn("found", found).withColumn("part", F.when(F.col("found") >= 0, inside).otherwise(apart)).drop("found")
+    return placed, len(bounds) + 1
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
 
-    The next document is the next row by descending key (then by text; null keys last), and after the last the first; one row
-    alone is its own next. Null texts are empty; two empty texts are equal (likeness 1). Other columns are ignored.
+    The next document is the next row by descending key (rows of one key by a hash of the text; null keys last), and after the last
+    the first; one row alone is its own next. Null texts are empty; two empty texts are equal (likeness 1). Other columns are ignored.
 
-    Rows are sorted into ranges of keys by one shuffle. Within a range the next row is at hand; the last row of
-    each range is finished by a join with the first row of the next one.
+    Rows are dealt into ranges of keys by one shuffle of the texts, the only copy that is made of them. A range is read from its smallest key
+    up, so that the next document of a row has just been read; that of the first row is the greatest row of the range
+    below, which is sent along.
     """
     docs = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-
-    def batch_of(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
-        types = [key_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types)]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    def within(batches: Iterator) -> Iterator:
-        part, before, first = TaskContext.get().partitionId(), None, None
+    session, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    tasks = int(session.conf.get("spark.sql.shuffle.partitions"))
+    ranged, parts = _ranged(docs, 4 * tasks)
+
+    tops = ranged.groupBy("part").agg(F.max(F.struct("doc_id", "digest")).alias("top"))
+    tops = materialize(tops, "tops")  # a row per range
+    order = Window.orderBy("part")
+    below = F.coalesce(F.lag("top").over(order), F.last("top").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    wanted = tops.select("part", below.alias("top")).select(F.col("part").alias("above"), F.col("top.doc_id").alias("id"), F.col("top.digest").alias("hash"))
+    borders = ranged.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("hash")))
+    borders = borders.dropDuplicates(["above"]).select(F.col("above").alias("part"), F.lit(0).alias("role"), F.lit(None).cast(kind).alias("doc_id"), "digest", "text")
+    rows = ranged.select("part", F.lit(1).alias("role"), "doc_id", "digest", "text").unionByName(borders)
+    in_order = rows.repartition(tasks, "part").sortWithinPartitions("part", "role", F.asc_nulls_first("doc_id"), "digest", "text")
+
+    def run(batches: Iterator) -> Iterator:
+        after = None  # the text read before, and its fingerprint
         for batch in batches:
-            rows, key_type = [], batch.column(0).type
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found, key_type = [], batch.column(2).type
+            for role, doc, body in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4))):
                 cut = pieces(body)
                 mark = Fingerprint().changed(cut)
-                if before is not None:
-                    rows.append(row(*before, body, mark))
-                else:
-                    first = (doc, body)
-                before = (doc, body, mark, cut)
-            yield _marked(batch_of(rows, key_type), part, None, 0)
-        if first is not None:
-            ends = [first, before[:2]]
-            filler = [(d, None, None, None, None, None, None) for d, _ in ends]
-            yield _marked(batch_of(filler, key_type), part, [t for _, t in ends], 1)
-
-    ordered = docs.repartitionByRange(F.desc_nulls_last("doc_id"), "text").sortWithinPartitions(F.desc_nulls_last("doc_id"), "text")
-    done = materialize(common.in_batches(ordered, within, schema + ", part int, role int, text string"), "fingerprints")
-
-    firsts = done.where("role = 1").select("part", "doc_id", "text")
-    lasts = done.where("role = 2").select("part", "doc_id", "text")
-    parts = firsts.select("part")  # one row a range: its number only
-    lowest = parts.agg(F.min("part").alias("lowest"))
-    following = parts.withColumn("following", F.lead("part").over(Window.orderBy("part"))).join(F.broadcast(lowest))
-    following = following.select("part", F.coalesce("following", "lowest").alias("following"))
-    after = firsts.select(F.col("part").alias("following"), F.col("text").alias("after"))
-    pairs = lasts.join(following, "part").join(after, "following").select("doc_id", "text", "after")
-
-    def across(batches: Iterator) -> Iterator:
-        for batch in batches:
-            rows = []
-            for doc, body, after in zip(*(c.to_pylist() for c in batch.columns)):
-                cut = pieces(body)
-                rows.append(row(doc, body, Fingerprint().changed(cut), cut, after, Fingerprint().changed(pieces(after))))
-            yield batch_of(rows, batch.column(0).type)
+                if role:
+                    found.append(row(doc, body, mark, cut, *after))
+                after = body, mark
+            types = [key_type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+            columns = [pa.array(c, t) for c, t in zip(zip(*found) if found else [[]] * len(types), types)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return done.where("role = 0").select(*names).unionByName(common.in_batches(pairs, across, schema))
-
-
-def _marked(batch: pa.RecordBatch, part: int, texts: list[str] | None, role: int) -> pa.RecordBatch:
-    """Add the range, the role (0 row, 1 first and 2 last of its range) and the text of the ends."""
-    n = batch.num_rows
-    roles = [1, 2] if role else [0] * n
-    columns = [*batch.columns, pa.array([part] * n, pa.int32()), pa.array(roles, pa.int32()), pa.array(texts or [None] * n, pa.string())]
-    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "part", "role", "text"])
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return common.in_batches(in_order, run, schema)

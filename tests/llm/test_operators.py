@@ -165,6 +165,32 @@ def test_fingerprints(spark):
     assert len(fingerprint.fingerprints(frame(spark, [(1, "one alone")])).collect()) == 1
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "date", "double", "decimal(20,3)"])
+def test_next_document_over_ranges(spark, kind):
+    """One key and the null key hold a third of the rows each; keys of any type; the same under two layouts."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = [(i, f"text {i} " + sentence(i, 6)) for i in range(60)] + [(7, f"of seven {i}") for i in range(60)] + [(None, f"of none {i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    made = {"date": "date_add(DATE '2024-01-01', doc_id)", "string": "concat('key ', lpad(doc_id, 3, '0'))"}.get(kind, f"CAST(doc_id AS {kind})")
+    df = df.selectExpr(f"{made} AS doc_id", "text")
+    order = [r.text for r in df.orderBy(F.desc_nulls_last("doc_id"), F.desc(F.xxhash64("text"))).collect()]
+    after = dict(zip(order, order[1:] + order[:1]))
+    found = []
+    for parts in ("3", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            found.append(fingerprint.fingerprints(df.repartition(int(parts))).collect())
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    by_mark = {fingerprint.Fingerprint().changed(fingerprint.pieces(t)).text(): t for t in order}
+    for rows in found:
+        assert len(rows) == 180
+        for r in rows:
+            text = by_mark[r.fingerprint]
+            assert r.edited_sha256 == hashlib.sha256(fingerprint.edited(text, after[text]).encode()).hexdigest()
+    assert sorted(map(repr, found[0])) == sorted(map(repr, found[1]))
+
+
 def test_fingerprints_ignore_order_and_undo():
     a, b = ["one", "two", "three"], ["four"]
     mark = fingerprint.Fingerprint().changed(a)
