@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from propensity.llm import common
-from propensity.session import materialize
+from propensity.session import materialize, scratch
 
 SEED_WORDS = 3
 FEW = 64
@@ -30,6 +30,8 @@ RUN = 25
 #: Words kept around a hit, as a multiple of the longest item's.
 SLACK = 1.25
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Words of a passage that are aligned at once, unless the item needs more.
+WINDOW_WORDS = 4096
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -120,7 +122,20 @@ def run_of(item: np.ndarray, words: np.ndarray) -> int:
 
 
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
-    """Best local alignment of an item with a passage: score, first word and end in the passage."""
+    """Best local alignment of an item with a passage: score, first word and end in the passage.
+
+    A long passage is aligned in windows. An alignment that scores has at most as many matches as the item has words, which pay for twice
+    as many gaps, so it takes up three times the item's words at most; windows overlap by that.
+    """
+    reach = 3 * len(item)
+    size = max(WINDOW_WORDS, 2 * reach)
+    if len(words) <= size:
+        return _align(item, words)
+    found = [(_align(item, words[at : at + size]), at) for at in range(0, len(words) - reach, size - reach)]
+    return max(((score, at + start, at + end) for (score, start, end), at in found), key=lambda x: (x[0], -x[1]))
+
+
+def _align(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:
     cells = np.zeros((len(item) + 1, len(words) + 1), np.int32)
     gaps = -GAP * np.arange(len(words) + 1, dtype=np.int32)
     for i, word in enumerate(item, 1):
@@ -153,15 +168,18 @@ def contaminated(
     Items of fewer than SEED_WORDS words can't be told from chance and match nothing; null texts have no words. Equal rows of
     either table give one row; of equally good passages the first is told. Null keys are kept. Other columns are ignored.
     """
-    told = _told(docs, benchmark, threshold, key, text, item_key, item_text)
+    with scratch(docs.sparkSession):
+        told = materialize(_told(docs, benchmark, threshold, key, text, item_key, item_text), "told", outer=True)
     best = told.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", -F.col("start_word"), -F.col("end_word"))).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.score").alias("score"), (-F.col("b.col2")).alias("start_word"), (-F.col("b.col3")).alias("end_word"))
 
 
 def without(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` whose own text holds no copy, by key (null keys too) and hash of the text; all columns stay."""
-    told = _told(docs, benchmark, threshold, key, text, "item_id", "text")
-    told = materialize(told.select(F.col("doc_id").alias("key told"), F.col("place").alias("place told")).distinct(), "contaminated")
+    with scratch(docs.sparkSession):
+        told = _told(docs, benchmark, threshold, key, text, "item_id", "text")
+        told = told.select(F.col("doc_id").alias("key told"), F.col("place").alias("place told")).distinct()
+        told = materialize(told, "contaminated", outer=True)
     same = docs[key].eqNullSafe(told["key told"]) & (_place(docs[text]) == told["place told"])
     return docs.join(told, same, "left_anti")
 
@@ -191,6 +209,9 @@ def _told(docs: DataFrame, benchmark: DataFrame, threshold: float, key: str, tex
     )
     texts = found.select("passage", "doc_id", "place", "start", F.col("words").alias("passage_words")).dropDuplicates(["passage"])
     pairs = candidates.join(items.select("item_id", "words").dropDuplicates(["item_id", "words"]), "item_id").join(texts, "passage")
+    # words of the item that the passage lacks can't be matched: most candidates end here, before any alignment
+    matched = F.size("words") - F.size(F.array_except("words", "passage_words"))
+    pairs = pairs.where(matched >= F.least(F.lit(float(threshold)) * F.size("words"), F.lit(float(RUN))))
     pairs = pairs.select("doc_id", "item_id", "start", "words", "passage_words", "place")
     kinds = {f.name: f.dataType.simpleString() for f in pairs.schema}
 

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+from propensity.session import materialize
 from tests.llm.fixtures import components, frame, sentence
 from tests.llm.test_operators import plain_spans
 
@@ -40,7 +41,7 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     }
     before = None
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, str(tmp_path)).localCheckpoint()
+        docs = materialize(stage(spark, docs, str(tmp_path)), name)
         want = plain[name](want)
         assert Counter((r.doc_id, r.text) for r in docs.collect()) == Counter(want), name
         assert want != before, name
