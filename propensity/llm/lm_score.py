@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from propensity.llm import common
 from propensity.session import materialize
@@ -238,20 +238,15 @@ def score(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text") ->
     entries = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "entry"))
     entries = entries.select("block", "at", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"))
 
-    frequent = entries.where(f"n > 1 and length(word) <= {WORD_BYTES}").groupBy("word").agg(F.sum("n").alias("n"))
-    chosen = [bytes(r.word) for r in frequent.orderBy(F.desc("n"), "word").limit(SHORTLIST).collect()]
+    # all blocks are summed before anything is ranked or left out, so that the words do not depend on the layout
+    vocabulary = materialize(entries.groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
+    frequent = vocabulary.where(f"c > 1 and length(word) <= {WORD_BYTES}").orderBy(F.desc("c"), "word").limit(SHORTLIST).collect()
+    chosen, counts = [bytes(r.word) for r in frequent], {i + 2: r.c for i, r in enumerate(frequent)}
     short = session.createDataFrame([(w, i + 2) for i, w in enumerate(chosen)], "word binary, class int")
     marked = entries.join(F.broadcast(short), "word", "left")  # SHORTLIST rows of WORD_BYTES at most
-    totals = marked.where("class is not null").groupBy("class").agg(F.sum("n").alias("c")).collect()
-    counts = {r["class"]: r.c for r in totals}
-
-    same = Window.partitionBy("word")
-    tail = (
-        marked.where("class is null")
-        .select("block", "at", _bucket("word").alias("class"), F.sum("n").over(same).alias("c"), (F.row_number().over(same.orderBy("block")) == 1).alias("first"))
-    )
-    tail = materialize(tail, "tail")
-    buckets = tail.where("first and c > 0").groupBy("class").agg(F.sum("c").alias("tokens"), F.count("*").alias("kinds")).collect()
+    others = vocabulary.join(F.broadcast(short), "word", "left_anti")
+    tail = marked.where("class is null").join(others, "word").select("block", "at", _bucket("word").alias("class"), "c")
+    buckets = others.where("c > 0").groupBy(_bucket("word").alias("class")).agg(F.sum("c").alias("tokens"), F.count("*").alias("kinds")).collect()
     ends = blocks.select(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
 
     mass = np.zeros(CLASSES)
