@@ -8,10 +8,10 @@ text is rejected.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -26,12 +26,14 @@ LEVEL = 6
 MARGIN = 0.01
 UNKNOWN = "und"
 
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def letters(text: str | None) -> bytes:
-    """Lower-case words of letters, one space apart; empty if there is no letter."""
-    return _NO_LETTERS.sub(" ", (text or "").lower()).strip().encode()
+    """Lower-case words of letters and the marks on them, one space apart; empty if there is no letter."""
+    plain = _NO_LETTERS.sub(" ", (text or "").lower()).strip()
+    return plain.encode() if _LETTER.search(plain) else b""
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
