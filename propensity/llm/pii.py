@@ -45,6 +45,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
+_NO_DIGIT = re.compile(r"[^0-9]+")
 _LETTER = re.compile(r"[^\W\d_]")
 _WORD = re.compile(r"\S+")
 
@@ -127,12 +128,17 @@ def _outside(starts: list[int], ends: list[int], start: int, end: int) -> bool:
     return i == len(ends) or end <= starts[i]
 
 
+def entity_of(kind: str, written: str) -> str:
+    """The address or number itself, however it is written: digits of cards and phones, lower-case addresses."""
+    return f"{kind}:" + (_NO_DIGIT.sub("", written) if kind in ("card", "phone") else written.lower())
+
+
 def _near(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     rows, seen = [], set()
     merged = _merged(spans)
     for k, a, b in spans:
         terms = around(text, a, b)
-        entity, context = _hash(f"{k}:{text[a:b].lower()}"), _hash(" ".join(t for t, _, _ in terms))
+        entity, context = _hash(entity_of(k, text[a:b])), _hash(" ".join(t for t, _, _ in terms))
         # a run of letters that the span cuts is one match with letters of the span
         cut = {a if _LETTER.match(text, a) else None, b if _LETTER.match(text, b - 1) else None}
         terms = [(t, at) for t, at, end in terms if at not in cut and end not in cut and _outside(*merged, at, end)]
