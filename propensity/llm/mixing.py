@@ -89,9 +89,11 @@ def mix(
 
     ``place`` orders the uses of a block. Documents without tokens (null texts too) use no budget: they come once, in round 0 and block
     0, with a null weight and no repeats. A null source is a source. Repeated rows are documents of their own; equal hashes go by
-    key. Other columns are ignored.
+    key and rows of one key by a hash of the text, so that equal rows alone may change places; rows without a key are told by that hash. Other columns are ignored.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), tokens(F.col(text)).alias("n"))
+    rows = docs.select(
+        F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), tokens(F.col(text)).alias("n"), F.xxhash64(F.col(text).cast("string")).alias("h")
+    )
     rows = materialize(rows, "tokens")
     of = weights(rows, repeat, entropy, block_tokens)
     slices = max(1, -(-rows.count() // SLICE_ROWS))
@@ -100,7 +102,7 @@ def mix(
     # one row a source: Spark broadcasts the written table where its size allows, and splits skewed sources where not
     used = used.join(known, used["source"].eqNullSafe(known["named"])).drop("named")
     used = used.withColumn("round", F.explode(F.sequence(F.lit(0), (F.ceil("repeats") - 1).cast("int"))))
-    text_key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    text_key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.coalesce("h", F.lit(0)).cast("string")))
     used = used.withColumn("rank", F.md5(F.concat_ws(":", F.lit(SEED), "round", text_key).cast("binary")))
     # hexadecimal digits in order: slices are ranges of ranks
     used = used.withColumn("slice", F.floor(F.conv(F.substring("rank", 1, 8), 16, 10).cast("long") * slices / F.lit(1 << 32)).cast("long"))
@@ -108,7 +110,7 @@ def mix(
     earlier = Window.partitionBy("source", "round").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
     sums = sums.select(F.col("source").alias("s"), F.col("round").alias("r"), F.col("slice").alias("c"), "before")
-    within = Window.partitionBy("source", "round", "slice").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "round", "slice").orderBy("rank", "doc_id", "h").rowsBetween(Window.unboundedPreceding, -1)
     used = used.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
     same = used["source"].eqNullSafe(sums["s"]) & (used["round"] == sums["r"]) & (used["slice"] == sums["c"])
     placed = used.join(sums, same).withColumn("at", F.col("round") * F.col("tokens") + F.col("before") + F.col("inside"))

@@ -333,3 +333,63 @@ def test_mixing(spark):
     plenty = mixing.mix(docs, repeat=None, entropy=1.2, block_tokens=500)
     weights = {r.source: r.weight for r in plenty.collect() if r.weight}
     assert -sum(w * math.log(w) for w in weights.values()) >= 1.2 - 1e-6
+
+
+def test_shortlist_does_not_depend_on_the_layout(spark):
+    """Words that occur once in each of many blocks are as frequent as those of one block."""
+    rows = [(i, sentence(500, 40)) for i in range(40)] + [(100 + i, sentence(600 + i, 30)) for i in range(8)]
+    known = []
+    for parts in (1, 40):
+        scored = lm_score.score(frame(spark, rows).repartition(parts, "doc_id"), F.col("doc_id") >= 100)
+        known.append({r.doc_id: (r.n_known, r.train_tokens, round(r.base_score, 9)) for r in scored.collect()})
+    assert known[0] == known[1]
+    vocabulary = Counter(w for i, t in rows if i < 100 for w in t.split())
+    assert max(vocabulary.values()) >= 40
+    # words of the shortlist are told apart from their bucket, so a frequent word scores above a rare one under any layout
+    common_text, rare = " ".join(w for w, n in vocabulary.most_common(5)), " ".join(sentence(999, 5).split())
+    for parts in (1, 40):
+        scored = lm_score.score(frame(spark, [*rows, (200, common_text), (201, rare)]).repartition(parts, "doc_id"), F.col("doc_id") >= 100)
+        by_id = {r.doc_id: r.score for r in scored.collect()}
+        assert by_id[200] > by_id[201]
+
+
+@pytest.mark.parametrize("text", ["\u00bd \u00b2", "\u2167 12", "\u0301 \u093e", "123 .,", "", None])
+def test_texts_without_a_letter_have_no_language(text):
+    told = language.Sizes({"aa": b"the and of to in with from" * 4, "bb": b"der die und nicht mit von zu" * 4})
+    assert told.predict(text) == ("und", 0.0)
+
+
+def test_marks_stay_with_their_letters():
+    assert language.letters("\u0939\u093f\u0928\u094d\u0926\u0940 2x") == "\u0939\u093f\u0928\u094d\u0926\u0940 x".encode()
+
+
+def test_a_number_is_one_entity_however_it_is_written(spark):
+    card = ["4111 1111 1111 1111", "4111-1111-1111-1111"]
+    rows = [(i, f"{sentence(i, 6)} Zorbax {card[i % 2]} {sentence(50 + i, 6)}") for i in range(8)] + [(90, f"{sentence(90, 9)} Zorbax {sentence(91, 9)}")]
+    told = pii.digests(pii.spans(frame(spark, rows))).where("doc_id = 90").first()
+    assert "term" in told.spans
+    assert pii.entity_of("phone", "+1 (555) 123-4567") == pii.entity_of("phone", "+15551234567")
+    assert pii.entity_of("email", "A@B.org") == pii.entity_of("email", "a@b.ORG")
+
+
+def test_mixing_of_rows_without_a_key(spark):
+    """Blocks are the same under two layouts."""
+    rows = [(None, f"text {i} " + sentence(i, 20)) for i in range(40)] + [(5, sentence(70 + i, 9)) for i in range(10)]
+    mixed = [
+        sorted(map(repr, mixing.mix(frame(spark, rows).repartition(n), block_tokens=64).collect())) for n in (1, 9)
+    ]
+    assert mixed[0] == mixed[1] and len({r.split("place=")[1][:40] for r in mixed[0]}) > 40
+
+
+def test_alignment_in_windows():
+    """A copy anywhere in a very long passage is found with its score and place."""
+    draw = np.random.default_rng(3)
+    item = draw.integers(0, 1 << 40, 60)
+    for at in (0, 4000, 4090, 8190, 99_940):
+        words = draw.integers(0, 1 << 40, 100_000)
+        words[at : at + 60] = item
+        words[at + 30] = 0
+        assert decontaminate.align(item, words) == (2 * 59 - 1, at, at + 60)
+    words = draw.integers(0, 1 << 40, 1_000_000)
+    words[500_000 : 500_060] = item
+    assert decontaminate.align(item, words) == (120, 500_000, 500_060)
