@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from propensity.llm import decontaminate, language, mixing, ngram_join, pii
+from propensity.llm import common, decontaminate, language, mixing, ngram_join, pii
 from propensity.llm.common import read, remainder
 from propensity.session import materialize
 
@@ -28,9 +28,12 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids = materialize(ids, "ids")
     gone = ids.where("first != doc_id").select("doc_id")
     again = ids.where("first = doc_id and rows > 1").select("doc_id")
+    # most documents are neither: their texts stay where they are
+    apart, docs = common.parted(docs, F.xxhash64("doc_id"), gone.union(again).select(F.xxhash64("doc_id").alias("h")), "h")
     kept = docs.join(gone, "doc_id", "left_anti")
     once = kept.join(again, "doc_id", "left_anti")
-    return once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+    once = once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+    return apart.unionByName(once)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Rows of an Arrow batch: bounds what a Python worker holds when texts are very long.
 BATCH_ROWS = 256
@@ -169,6 +169,21 @@ def maybe_in(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def parted(df: DataFrame, hashed: Column, wanted: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose hash is surely not in ``column`` of ``wanted``, and all others.
+
+    Only the others need to meet ``wanted`` in a join: long rows that have no part in it are not shuffled.
+    """
+    ship(df.sparkSession)
+    bits = df.sparkSession.sparkContext.broadcast(filter_bits(wanted, column))
+
+    @F.arrow_udf("boolean")
+    def maybe(hashes: pa.Array) -> pa.Array:
+        return pa.array(maybe_in(bits.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return df.where(~maybe(hashed)), df.where(maybe(hashed))
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 

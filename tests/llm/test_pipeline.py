@@ -48,3 +48,36 @@ def test_stages_equal_plain_versions(spark, tmp_path):
         before = want
     name, stage = corpus_pipeline.STAGES[-1]
     assert {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()} == {i for i, _ in want}
+
+
+def shuffled(df):
+    """Rows that each shuffle of the texts moved when ``df`` was run."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "ShuffleExchangeExec" and "text" in node.output().mkString(" "):
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        below = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else []
+        children = node.children()
+        todo += below + [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_texts_that_stay_are_not_shuffled(spark, tmp_path):
+    item = sentence(70, 40)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(i, drawn(i, "en")) for i in range(60)] + [(100, drawn(5, "en")), (7, drawn(7, "en")), (101, item), (None, drawn(5, "en"))]
+    docs = materialize(frame(spark, rows), "documents")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        alone = corpus_pipeline.deduplicate(spark, docs, str(tmp_path))
+        moved = shuffled(alone)
+        clean = corpus_pipeline.decontaminated(spark, docs, str(tmp_path))
+        moved_clean = shuffled(clean)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moved and max(moved) == 3 and moved_clean == [1]
+    assert Counter(r.doc_id for r in alone.collect()) == Counter([*range(60), 101, None])
+    assert Counter(r.doc_id for r in clean.collect()) == Counter([*range(60), 7, 100, None])
