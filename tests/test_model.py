@@ -4,9 +4,11 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from catalog import models as catalog_models
 from propensity.operators import cleaning, model as models
 from propensity.plans import scoring, training
 from propensity.sources.csv_files import read_csv_directory
+from tests.conftest import SMALL_DIR
 
 
 @pytest.fixture(scope="module")
@@ -147,3 +149,18 @@ def test_text_in_a_number_feature_is_reported(spark, frame, trained, tmp_path):
     text.coalesce(2).write.csv(str(tmp_path / "in"), header=True)
     states = scoring.score_files(spark, str(tmp_path / "in"), trained[1], str(tmp_path / "out"))
     assert states["a"] == f"matched, {lost} values are no numbers" and states["b"] == "matched" and states["note"] == "extra"
+
+
+def test_share_of_pairs_in_order_is_counted_without_making_them(spark):
+    rows = [(int(i * 37 % 11 < 5), float(i * 29 % 23) / 23) for i in range(200)] + [(1, None), (0, None), (1, float("nan")), (0, float("nan")), (None, 0.5)]
+    frame = spark.createDataFrame(rows, "y int, s double")
+    order = lambda s: float("inf") if s != s else s
+    pairs = [(a, b) for y, a in rows if y == 1 for z, b in rows if z == 0]
+    won = sum((order(a) > order(b)) + (order(a) == order(b)) / 2 for a, b in pairs if a is not None and b is not None)
+    assert 0 < won < len(pairs) and catalog_models._share_in_order(frame) == pytest.approx(won / len(pairs), abs=1e-12)
+    assert catalog_models._share_in_order(frame.where("y = 1")) == 0.0 == catalog_models._share_in_order(frame.where("false"))
+    assert "JOIN" not in catalog_models._BY_DEFINITION
+
+
+def test_models_of_a_directory_share_their_feature_rows(spark):
+    assert catalog_models.labelled_rows(spark, SMALL_DIR) is catalog_models.labelled_rows(spark, SMALL_DIR)
